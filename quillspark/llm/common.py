@@ -21,7 +21,7 @@ _U = np.uint64
 #: Odd multipliers of the word mixer.
 _K1, _K2, _K3, _K4 = (_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 #: Words kept in a worker's word-to-hash cache before it is emptied.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -162,7 +162,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
     filled = sketches.where("n_shingles > 0 and doc_id is not null")
     classes = durable(filled.groupBy("set_hash").agg(F.min("doc_id").alias("rep")), "classes")
     facts = durable(
-        filled.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", F.col("n_shingles").alias("n"), "bits0", "bits1", "bands"),
+        filled.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", F.col("n_shingles").alias("n"), "bits0", "bits1", "bands"),
         "facts",
     )
     banded = facts.select("doc_id", F.explode("bands").alias("band"))
@@ -177,10 +177,10 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = durable(source.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_set_maker(shingle_words), "doc_id long, shingles array<long>"), "sets")
+        sets = durable(source.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(_set_maker(shingle_words), "doc_id long, shingles array<long>"), "sets")
         both = pairs.join(sets.toDF("a", "a_set"), "a").join(sets.toDF("b", "b_set"), "b")
         common = both.select("a", "b", "a_n", "b_n", F.size(F.array_intersect("a_set", "b_set")).cast("long").alias("common"))
-        return common.where(F.expr(f"100 * common >= {percent} * (a_n + b_n - common)")).select("a", "b")
+        return common.where(F.expr(f"100 * common >= {percent} * (a_n + b_n - common)")).select("a", "b").distinct()
 
     hubs = shared.select("doc_id", F.explode(F.array("low", "high")).alias("hub")).where("doc_id != hub")
     pairs = durable(bounded(hubs.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()), "pairs")
