@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quillspark.llm import oracles
 from quillspark.llm.common import table
+from quillspark.llm import toxicity
 from quillspark.llm.near_dedup import near_duplicates
 
 
@@ -13,5 +14,9 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup,)}
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity)}
 ORACLES: dict[str, str] = {"op7_minhash_near_dedup": oracles.OP7}
