@@ -24,3 +24,55 @@ with recursive w as (
 select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, m.component_id, d.doc_id = m.component_id as kept
 from documents d join m on m.a = d.doc_id left join n on n.doc_id = d.doc_id
 """
+
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP4 = f"""
+with d as (
+  select doc_id, {_TERMS} as ws from documents
+), b as (
+  select item_id, {_TERMS} as ws from benchmark
+), w as (
+  select distinct item_id, least(len(ws), 10) as n, unnest(list_transform(range(1, greatest(len(ws) - 10, 0) + 2), lambda i: array_to_string(ws[i:i + least(len(ws), 10) - 1], ' '))) as g
+  from b where len(ws) > 0
+), p as (
+  select d.doc_id, s.n, unnest(range(1, len(ws) - s.n + 2)) as i, d.ws from d cross join (select distinct n from w) s where len(ws) >= s.n
+), h as (
+  select p.doc_id, p.i, p.n, w.item_id from p join w on w.n = p.n and w.g = array_to_string(p.ws[p.i:p.i + p.n - 1], ' ')
+), c as (
+  select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + n)) as j from h) group by doc_id
+), t as (
+  select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as items from (select distinct doc_id, item_id::varchar as item_id from h) group by doc_id
+)
+select d.doc_id, len(d.ws)::bigint as n_words, coalesce(c.n_hit, 0)::bigint as n_hit, coalesce(t.n_items, 0)::bigint as n_items,
+  sha256(coalesce(t.items, '')) as items_sha256, coalesce(c.n_hit, 0) > 0 as contaminated
+from d left join c using (doc_id) left join t using (doc_id)
+"""
+
+OP2 = r"""
+with l as (
+  select doc_id, u.pos, u.line, len(regexp_extract_all(u.line, '[^\x20\x09-\x0D]+')) as n
+  from (select doc_id, string_split(text, chr(10)) as ls from documents where text is not null), unnest(ls) with ordinality as u(line, pos)
+), k as (
+  select *, row_number() over (partition by doc_id order by pos) as r from l where n > 0
+), c as (
+  select a.doc_id, a.r, b.pos, b.line, b.n, sum(b.n) over (partition by a.doc_id, a.r order by b.r) as cum
+  from k a join k b on a.doc_id = b.doc_id and b.r between a.r and a.r + 7
+), w as (
+  select doc_id, r, min(pos) as start, max(pos) as stop, string_agg(line, chr(10) order by pos) as content
+  from c where cum - n < 8 group by doc_id, r having max(cum) >= 8
+), f as (
+  select *, row_number() over (partition by content order by doc_id, r) as copy from w
+), x as (
+  select distinct doc_id, unnest(range(start, stop + 1)) as pos from f where copy > 1
+), i as (
+  select doc_id, pos, pos - row_number() over (partition by doc_id order by pos) as island from x
+), t as (
+  select doc_id, count(*) as n_removed, count(distinct island) as n_runs from i group by doc_id
+), s as (
+  select l.doc_id, string_agg(l.line, chr(10) order by l.pos) as kept from l left join x on x.doc_id = l.doc_id and x.pos = l.pos where x.pos is null group by l.doc_id
+)
+select d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::bigint as n_lines, coalesce(t.n_removed, 0)::bigint as n_removed,
+  coalesce(t.n_runs, 0)::bigint as n_runs, sha256(coalesce(s.kept, '')) as kept_sha256
+from documents d left join t using (doc_id) left join s using (doc_id)
+"""

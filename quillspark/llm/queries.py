@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from quillspark.llm import oracles
 from quillspark.llm.common import table
 from quillspark.llm import toxicity
+from quillspark.llm import decontam
+from quillspark.llm import line_dedup
 from quillspark.llm.near_dedup import near_duplicates
 
 
@@ -18,5 +20,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity)}
-ORACLES: dict[str, str] = {"op7_minhash_near_dedup": oracles.OP7}
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents"), min_words=8)
+
+
+QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity, op4_decontamination, op2_line_dedup)}
+ORACLES: dict[str, str] = {"op7_minhash_near_dedup": oracles.OP7, "op4_decontamination": oracles.OP4, "op2_line_dedup": oracles.OP2}
