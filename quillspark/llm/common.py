@@ -16,6 +16,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _U = np.uint64
 #: Odd multipliers of the word mixer.
@@ -55,6 +56,14 @@ def plain(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def widened(df: DataFrame, **more: str) -> StructType:
+    """df's schema with more columns; a new one, since StructType.add changes its own."""
+    schema = StructType(list(df.schema.fields))
+    for name, kind in more.items():
+        schema.add(name, kind)
+    return schema
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, filled on demand, bounded."""
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import WordHashes, durable, plain, word_shingles
+from quillspark.llm.common import WordHashes, durable, plain, widened, word_shingles
 
 #: The most labelled rows of each class that are learnt from.
 TRAIN_TOXIC, TRAIN_CLEAN = 10_000, 20_000
@@ -263,14 +263,13 @@ def keep_civil(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_c
     """The rows of docs whose score is below 0.5, all columns."""
     names = docs.columns
     held = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").alias("__scored"))
-    schema = docs.schema.add("__score", "double")
     run = _scorer(lexicon)
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in run(batches):
             yield batch.rename_columns([*names, "__score"])
 
-    return held.mapInArrow(named, schema).where("__score < 0.5").drop("__score")
+    return held.mapInArrow(named, widened(docs, __score="double")).where("__score < 0.5").drop("__score")
 
 
 def held_out(id_column) -> object:
