@@ -11,6 +11,7 @@ from quillspark.llm import toxicity
 from quillspark.llm import decontam
 from quillspark.llm import line_dedup
 from quillspark.llm import packing
+from quillspark.llm import quality
 from quillspark.llm.near_dedup import near_duplicates
 
 
@@ -34,5 +35,9 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity, op4_decontamination, op2_line_dedup, op1_best_fit_packing)}
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity, op4_decontamination, op2_line_dedup, op1_best_fit_packing, op9_quality_rules)}
 ORACLES: dict[str, str] = {"op7_minhash_near_dedup": oracles.OP7, "op4_decontamination": oracles.OP4, "op2_line_dedup": oracles.OP2}
