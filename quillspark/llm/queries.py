@@ -13,6 +13,8 @@ from quillspark.llm import line_dedup
 from quillspark.llm import packing
 from quillspark.llm import quality
 from quillspark.llm import substring_dedup
+from quillspark.llm import secrets_scan
+from quillspark.llm import pii
 from quillspark.llm.near_dedup import near_duplicates
 
 
@@ -44,5 +46,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(table(spark, sf_dir, "documents"), length=400)
 
 
-QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity, op4_decontamination, op2_line_dedup, op1_best_fit_packing, op9_quality_rules, op10_substring_dedup)}
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_scan.digest(table(spark, sf_dir, "documents"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity, op4_decontamination, op2_line_dedup, op1_best_fit_packing, op9_quality_rules, op10_substring_dedup, op6_secret_scans, op3_pii)}
 ORACLES: dict[str, str] = {"op7_minhash_near_dedup": oracles.OP7, "op4_decontamination": oracles.OP4, "op2_line_dedup": oracles.OP2}
