@@ -15,6 +15,7 @@ from quillspark.llm import quality
 from quillspark.llm import substring_dedup
 from quillspark.llm import secrets_scan
 from quillspark.llm import pii
+from quillspark.llm import token_counts
 from quillspark.llm.near_dedup import near_duplicates
 
 
@@ -54,5 +55,9 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity, op4_decontamination, op2_line_dedup, op1_best_fit_packing, op9_quality_rules, op10_substring_dedup, op6_secret_scans, op3_pii)}
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity, op4_decontamination, op2_line_dedup, op1_best_fit_packing, op9_quality_rules, op10_substring_dedup, op6_secret_scans, op3_pii, op5_token_counts)}
 ORACLES: dict[str, str] = {"op7_minhash_near_dedup": oracles.OP7, "op4_decontamination": oracles.OP4, "op2_line_dedup": oracles.OP2}
