@@ -8,15 +8,17 @@ Plan
    one evaluation gives two sketch entries. ``BAND_ROWS`` entries form a band.
 2. Documents of equal sets are one class, represented by the smallest doc_id.
 3. Representatives that share a band are candidates. Instead of all pairs of a bucket, each
-   member is paired with the bucket's smallest and largest doc_id.
+   member is paired with two hubs: the bucket's smallest doc_id, and its most central member, the one whose
+   bands have the most members in all (the copy that the others were made from keeps the most minima).
 4. Candidates that survive size and bit-sketch bounds are confirmed on the full sets.
 5. Confirmed links are contracted to components by alternating large-star and small-star.
-6. Buckets that still hold several components are revisited: pairs from different
-   components which pass the bounds are confirmed as well, so no link that could join two
-   components is lost. Pairs inside one component cannot change the result.
+6. Buckets that still hold several components are revisited. Components that meet in such buckets form a
+   family; its members are dealt into blocks of bounded size, and each pair of blocks finds, on the
+   full sets, the links between different components. Only links leave that step, so no link that could
+   join two components is lost, and no pair is emitted that is none. Pairs inside one component cannot change the result.
 
 With 100 entries in 25 bands of 4, a pair at the threshold of 0.85 shares no band with a
-probability of (1 - 0.85**4)**25 = 1e-8. The bit-sketch bound (at most 26 of 100 bits differ) is
+probability of (1 - 0.85**4)**25 = 1e-8. The bit-sketch bound (at most 20 of 100 bits differ) is
 over five standard deviations away from what a pair at the threshold has.
 
 Edge cases: null texts and texts without words have the empty set, are linked with nothing and
@@ -39,7 +41,11 @@ PERMUTATIONS, BAND_ROWS = 50, 4
 ENTRIES = 2 * PERMUTATIONS
 BANDS = ENTRIES // BAND_ROWS
 #: Bits of the sketch that may differ.
-MOST_BITS = 26
+MOST_BITS = 20
+#: Shingles of a block of a family.
+BLOCK_SHINGLES = 1_000_000
+#: Postings of a block that are looked at at once.
+POSTINGS = 500_000
 #: Shingles gathered before a block is sketched: small enough to stay in a core's cache.
 BLOCK = 200_000
 
@@ -130,6 +136,39 @@ def _set_maker(width: int):
     return run
 
 
+def _cross_linker(percent: int):
+    """Links between members of different components, of one pair of blocks."""
+
+    def run(table: pa.Table) -> pa.Table:
+        doc, component = table.column("doc_id").to_numpy(), table.column("component").to_numpy()
+        lists = table.column("shingles").combine_chunks()
+        values, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(doc)), sizes)
+        names, at, times = np.unique(values, return_inverse=True, return_counts=True)
+        order = np.argsort(at, kind="stable")
+        begin, of = np.concatenate([[0], np.cumsum(times)]), owner[order]
+        # What a set has in common with any other is at most what it has in common with all.
+        common = np.bincount(owner, weights=times[at] > 1, minlength=len(doc))
+        _, group, members = np.unique(component, return_inverse=True, return_counts=True)
+        rank = np.argsort(np.argsort(-members, kind="stable"), kind="stable")[group]  # the largest component is not a start
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        a, b = [], []
+        for x in np.flatnonzero((rank > 0) & (100 * common >= percent * sizes)):
+            mine = at[starts[x] : starts[x + 1]]
+            mine = mine[times[mine] > 1]
+            hits = np.zeros(len(doc), np.int64)
+            for part in np.split(mine, np.flatnonzero(np.diff(np.cumsum(times[mine]) // POSTINGS)) + 1):
+                counts = times[part]
+                inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                hits += np.bincount(of[np.repeat(begin[part], counts) + inner], minlength=len(doc))
+            for y in np.flatnonzero((rank < rank[x]) & ((100 + percent) * hits >= percent * (sizes + sizes[x]))):
+                a.append(int(doc[x]))
+                b.append(int(doc[y]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """node, component (its smallest reachable node) of every node that has a link (a, b)."""
     edges = durable(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
@@ -165,36 +204,35 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
         filled.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", F.col("n_shingles").alias("n"), "bits0", "bits1", "bands"),
         "facts",
     )
-    banded = facts.select("doc_id", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    banded = facts.select("doc_id", F.posexplode("bands").alias("k", "band"))
+    buckets = banded.groupBy("band").agg(F.min("doc_id").alias("low"), F.count("*").alias("members")).where("members > 1")
     shared = durable(banded.join(buckets, "band"), "shared")
-    facts = facts.drop("bands")
-
-    def bounded(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) that can reach the threshold, by size and by sketch."""
-        a, b = (facts.select(*[F.col(c).alias(f"{p}_{c}" if c != "doc_id" else p) for c in facts.columns]) for p in "ab")
-        return pairs.join(a, "a").join(b, "b").where(_plausible("a", "b", percent)).select("a", "b", "a_n", "b_n")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = durable(source.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(_set_maker(shingle_words), "doc_id long, shingles array<long>"), "sets")
-        both = pairs.join(sets.toDF("a", "a_set"), "a").join(sets.toDF("b", "b_set"), "b")
-        common = both.select("a", "b", "a_n", "b_n", F.size(F.array_intersect("a_set", "b_set")).cast("long").alias("common"))
-        return common.where(F.expr(f"100 * common >= {percent} * (a_n + b_n - common)")).select("a", "b").distinct()
-
-    hubs = shared.select("doc_id", F.explode(F.array("low", "high")).alias("hub")).where("doc_id != hub")
-    pairs = durable(bounded(hubs.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()), "pairs")
-    links = durable(confirmed(pairs), "links")
+    central = shared.groupBy("doc_id").agg(F.sum("members").alias("weight"))
+    hubs = shared.join(central, "doc_id").groupBy("band").agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("minus"))).alias("top")).select("band", (-F.col("top.minus")).alias("hub"))
+    near = shared.select("doc_id", F.col("low").alias("hub")).unionByName(shared.join(hubs, "band").select("doc_id", "hub")).where("doc_id != hub")
+    sets = durable(source.join(central.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(_set_maker(shingle_words), "doc_id long, shingles array<long>"), "sets")
+
+    def side(frame: DataFrame, p: str, *keys: str) -> DataFrame:
+        return frame.select(*keys, *[F.col(c).alias(f"{p}_{c}" if c != "doc_id" else p) for c in frame.columns if c not in keys])
+
+    known = facts.drop("bands")
+    pairs = near.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
+    pairs = pairs.join(side(known, "a"), "a").join(side(known, "b"), "b").where(_plausible(percent)).select("a", "b", "a_n", "b_n")
+    both = pairs.join(side(sets, "a"), "a").join(side(sets, "b"), "b")
+    links = durable(both.where(_linked(percent)).select("a", "b").distinct(), "links")
     groups = durable(connected_components(links), "groups")
 
     placed = shared.select("band", "doc_id").join(groups.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    split = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band")
-    open_rows = durable(placed.join(split, "band", "left_semi").join(facts, "doc_id"), "open")
-    a, b = (open_rows.select("band", *[F.col(c).alias(f"{p}_{c}" if c != "doc_id" else p) for c in open_rows.columns if c != "band"]) for p in "ab")
-    across = a.join(b, "band").where(F.col("a_component") < F.col("b_component")).where(_plausible("a", "b", percent))
-    across = across.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), F.when(F.col("a") < F.col("b"), F.col("a_n")).otherwise(F.col("b_n")).alias("x_n"), F.when(F.col("a") < F.col("b"), F.col("b_n")).otherwise(F.col("a_n")).alias("y_n"))
-    rest = durable(across.distinct().toDF("a", "b", "a_n", "b_n").join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-    more = durable(confirmed(rest), "links")
+    split = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band", "lo")
+    open_rows = durable(placed.join(split, "band").groupBy("doc_id", "component", "lo").agg(F.lit(1)).drop("1"), "open")
+    families = connected_components(open_rows.select(F.col("component").alias("a"), F.col("lo").alias("b")))
+    members = open_rows.select("doc_id", "component").distinct().join(families.select(F.col("node").alias("component"), F.col("component").alias("family")), "component")
+    members = durable(members.join(sets, "doc_id"), "members")
+    blocks = members.groupBy("family").agg(F.ceil(F.sum(F.size("shingles")) / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    dealt = members.join(blocks, "family").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("family", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "doc_id", "component", "shingles")
+    more = durable(dealt.groupBy("family", "low", "high").applyInArrow(_cross_linker(percent), "a long, b long"), "links")
     if not more.isEmpty():
         groups = durable(connected_components(links.unionByName(more)), "groups")
 
@@ -204,8 +242,13 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _plausible(a: str, b: str, percent: int):
-    return F.expr(
-        f"100 * least({a}_n, {b}_n) >= {percent} * greatest({a}_n, {b}_n)"
-        f" and bit_count({a}_bits0 ^ {b}_bits0) + bit_count({a}_bits1 ^ {b}_bits1) <= {MOST_BITS}"
+def _plausible(percent: int) -> str:
+    return (
+        f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)"
+        f" and bit_count(a_bits0 ^ b_bits0) + bit_count(a_bits1 ^ b_bits1) <= {MOST_BITS}"
     )
+
+
+def _linked(percent: int) -> str:
+    """100 * common >= percent * (a_n + b_n - common), on the full sets."""
+    return f"(100 + {percent}) * size(array_intersect(a_shingles, b_shingles)) >= {percent} * (a_n + b_n)"
