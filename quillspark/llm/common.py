@@ -94,3 +94,14 @@ def word_shingles(ids: np.ndarray, width: int) -> np.ndarray:
         h ^= h >> _U(31)
         h *= _K2
     return mixed(h)
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """Inner join of rows with a table that has one row and the count of rows for a key.
+
+    Keys with a thousandth of all rows or more are at most a thousand, so they are broadcast; all
+    others are joined by shuffle, where no key can then be a large part of a task.
+    """
+    heavy = F.broadcast(counted.where(F.col(count) * 1000 >= total))
+    light = counted.where(F.col(count) * 1000 < total)
+    return rows.join(heavy, keys).unionByName(rows.join(heavy.select(keys), keys, "left_anti").join(light, keys))
