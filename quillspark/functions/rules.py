@@ -1,0 +1,139 @@
+"""Rules on titles, drug classes and indications, as Column expressions. Word lists are fixed values."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from quillspark.functions.text import strip
+
+# What stands between drugs of a title, by the role of the drug after it.
+SECONDARY = (
+    "single agent or in combination with", "monotherapy and/or in combination with", "monotherapy or in combination with",
+    "alone or in combination with", "or in combination with", "with or without", "alone or with", "plus/minus", "and/or", "±",
+)
+COMPARATOR = ("compared with", "to compare with", "comparing to", "to compare", "comparing", "versus", "vs")
+PRIMARY = (
+    "single agent and in combination with", "monotherapy and in combination with", "alone and in combination with", "given together with",
+    "in combination with", "combined with", "in combo with", "followed by", "plus", "with", "and", "or", "+",
+)
+MARK = {"secondary": "\x01", "comparator": "\x02", "primary": "\x03"}
+# What is never a drug.
+EXCLUDED = r"(?i)^(?:placebo|chemotherapy|radiotherapy|immunotherapy|fluoropyrimidine|nct[0-9]+|intravenous|subcutaneous|oral|topical|i\.v\.|s\.c\.|inhibitor|blockade|antagonist|agonist|blocker)$"
+DOSAGE = r"(?i)\s*\b[0-9]+(?:\.[0-9]+)?\s?(?:mg|mcg)\b"
+# Labels too general to be a class.
+GENERIC = ("Chemotherapy", "Immunotherapy", "Radiation Therapy", "Immunosuppressant", "Anti-tumor", "Anti-cancer", "Antibody", "Targeted Therapy", "Small Molecule", "Antineoplastic Agent", "Adjuvant")
+# Abbreviations and what they stand for.
+ABBREVIATIONS = {"ADC": "Antibody Drug Conjugate", "ICI": "Immune Checkpoint Inhibitor", "TKI": "Tyrosine Kinase Inhibitor", "BITE": "Bispecific T-cell Engager"}
+# Texts that make a class whatever else they say, by pattern.
+OVERRIDES = (
+    (r"(?i)\b(?:pet imaging|diagnostic|radiotracer|18f-|68ga-|technetium)", "Diagnostic Imaging Agent"),
+    (r"(?i)\b(?:magnesium|calcium|potassium|zinc|iron)\b", "Mineral Supplement"),
+    (r"(?i)\bvaccine", "Vaccine"),
+    (r"(?i)platelet-rich plasma", "Plasma Therapy"),
+    (r"(?i)\b(?:androgen deprivation|adt|hormonal therapy)\b", "Hormonal Therapy"),
+)
+# Regimens and their parts.
+REGIMENS = {"CHOP": ("Cyclophosphamide", "Doxorubicin", "Vincristine", "Prednisone"), "FOLFIRI": ("Folinic Acid", "Fluorouracil", "Irinotecan")}
+CLASS_PRIORITY = {"MoA": 1, "Chemical": 2, "Mode": 3, "Therapeutic": 4}
+
+
+def _between(words: tuple[str, ...]) -> str:
+    quoted = "|".join("".join(f"\\{c}" if c in "+/." else c for c in w) for w in words)
+    return rf"(?i)(?:^|[\s,]+)(?:{quoted})\s+"
+
+
+def marked(title: Column) -> Column:
+    """The title with a mark of the role before each drug but the first; longer phrases go first."""
+    out = F.regexp_replace(title, r"(?i)\bas a (single agent)", "$1")
+    for role, words in (("secondary", SECONDARY), ("comparator", COMPARATOR), ("primary", PRIMARY)):
+        out = F.regexp_replace(out, _between(words), MARK[role])
+    return out
+
+
+def by_role(title: Column, role: str) -> Column:
+    """The drugs of a title that have a role; the first drug is primary. Exclusions and dosages are taken out."""
+    parts = F.filter(F.split(F.regexp_replace(marked(title), r"([\x01-\x03])", "\x04$1"), "\x04"), lambda p: p != "")
+    mine = F.filter(parts, lambda p: (p.startswith(MARK[role])) | ((~p.rlike(r"^[\x01-\x03]")) & F.lit(role == "primary")))
+    return F.filter(F.transform(mine, lambda p: strip(F.regexp_replace(F.regexp_replace(p, r"[\x01-\x03]", ""), DOSAGE, ""))), lambda p: (p != "") & ~p.rlike(EXCLUDED))
+
+
+def with_primary(primary: Column, secondary: Column) -> tuple[Column, Column]:
+    """Primary is never empty while there is another drug: the first secondary is promoted."""
+    promote = (F.size(primary) == 0) & (F.size(secondary) > 0)
+    return F.when(promote, F.slice(secondary, 1, 1)).otherwise(primary), F.when(promote, F.slice(secondary, 2, 1000)).otherwise(secondary)
+
+
+def kept_drugs(names: Column) -> Column:
+    return F.filter(names, lambda n: ~n.rlike(EXCLUDED))
+
+
+def cell_name(name: Column) -> Column:
+    """Stem-cell procedures become cells, CAR-T becomes CAR-T Cell."""
+    bare = strip(F.regexp_replace(name, r"(?i)\s*\btransplant(?:ation)?\b", ""))
+    return F.when(bare.rlike(r"(?i)^car[- ]?t(?:[- ]cells?)?$"), "CAR-T Cell").otherwise(bare)
+
+
+def title_case(text: Column) -> Column:
+    """First letters in upper case; gene names (letters, then digits) in capitals; other words in capitals or with digits stay."""
+    word = lambda w: F.when(w.rlike(r"^[a-z]+[0-9]+$"), F.upper(w)).when(w.rlike(r"[0-9]") | (w.rlike(r"[A-Z]") & ~w.rlike(r"[a-z]")), w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1000)))
+    return F.array_join(F.transform(F.split(text, " "), word), " ")
+
+
+def singular(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, r"ies$", "y"), r"([^sui])s$", "$1")
+
+
+def class_name(text: Column) -> Column:
+    """Abbreviations, blockers, anti-targets and target order; then title case and singular."""
+    out = F.regexp_replace(strip(text), r"\s+", " ")
+    for short, long in ABBREVIATIONS.items():
+        out = F.when(F.upper(out) == short, F.lit(long)).otherwise(out)
+    out = F.regexp_replace(out, r"(?i)\b(?:blockers?|blockade)\b", "Inhibitor")
+    out = F.regexp_replace(out, r"(?i)^anti-([A-Za-z0-9/]+) (antibody|antibodies|therapy)$", "$1-Targeted $2")
+    names = F.transform(F.split(F.regexp_extract(out, r"^([A-Z0-9]+(?:/[A-Z0-9]+)+)-", 1), "/"), lambda t: F.struct(F.regexp_extract(t, r"^([A-Z]*)", 1).alias("letters"), F.lpad(F.regexp_extract(t, r"([0-9]*)$", 1), 6, "0").alias("number"), t.alias("name")))
+    targets = F.array_join(F.transform(F.array_sort(names), lambda t: t["name"]), "/")  # CD3 before CD20
+    out = F.when(out.rlike(r"^[A-Z0-9]+(?:/[A-Z0-9]+)+-"), F.concat(targets, F.regexp_replace(out, r"^[A-Z0-9/]+-", "-"))).otherwise(out)
+    out = F.regexp_replace(out, r"(?i)\b(cells?)$", "Cell Therapy")
+    return singular(title_case(out))
+
+
+def overridden(text: Column) -> Column:
+    """The one class that a text's words force, or null."""
+    return F.coalesce(*[F.when(text.rlike(p), F.lit(c)) for p, c in OVERRIDES])
+
+
+def classes(texts: Column) -> Column:
+    """Class names of texts: overrides, then formatting, then exclusions; NA if none is left."""
+    named = F.transform(texts, lambda t: F.coalesce(overridden(t), class_name(t)))
+    left = F.array_except(named, F.array(*[F.lit(g) for g in GENERIC]))
+    return F.when(F.size(left) > 0, left).otherwise(F.array(F.lit("NA")))
+
+
+def parts_of(drug: Column) -> Column:
+    """A regimen's drugs; an unknown one is itself."""
+    known = F.coalesce(*[F.when(F.upper(drug) == r, F.array(*[F.lit(c) for c in cs])) for r, cs in REGIMENS.items()])
+    return F.coalesce(known, F.array(drug))
+
+
+def source_of(title: Column, session: Column, disease: str) -> tuple[Column, Column]:
+    """Which single source names a disease, and its text: the title, else the session, else none."""
+    name = F.when(title.rlike(disease), "abstract_title").when(session.rlike(disease), "session_title").otherwise("none")
+    return name, F.when(name == "abstract_title", title).when(name == "session_title", session).otherwise("")
+
+
+def indication(text: Column) -> Column:
+    """One indication: without gender, ethnicity and what induced it, single spaces, title case, singular."""
+    out = F.regexp_replace(text, r"(?i)\b(?:male|female|men|women|chinese|asian)\b", "")
+    out = F.regexp_replace(out, r"(?i)\b[a-z]+[- ](?:induced|related|associated)\b", "")
+    return singular(title_case(strip(F.regexp_replace(out, r"\s+", " "))))
+
+
+def supported(evidence: Column, source: Column) -> Column:
+    """Whether the evidence occurs in the source, in any case."""
+    return F.coalesce(F.contains(F.lower(source), F.lower(evidence)), F.lit(False))
+
+
+def well_formed(text: Column) -> Column:
+    """Separator and spacing rules of an indication list."""
+    return ~text.rlike(r"\s;;|;;\s|^\s|\s$|\s\s|[^;];[^;]|,")
