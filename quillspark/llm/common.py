@@ -14,7 +14,7 @@ import uuid
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -43,12 +43,21 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def durable(df: DataFrame, name: str) -> DataFrame:
-    """Writes df once as Parquet in the shared folder and returns a reader of it."""
+def durable(df: DataFrame, name: str, most_rows: int | None = None, file_rows: int = 200_000) -> DataFrame:
+    """Writes df once as Parquet in the shared folder and returns a reader of it, whose attribute `rows` is its row count.
+
+    most_rows: a bound on its rows, where one is known, from which the number of files follows: narrow tables don't
+    become one tiny file a shuffle partition, and large ones keep as many files as they need.
+    """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/quillspark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if most_rows is not None:
+        df = df.coalesce(max(spark.sparkContext.defaultParallelism, -(-most_rows // file_rows)))
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.rows = seen.get["n"]
+    return written
 
 
 def plain(docs: DataFrame, *columns: str) -> DataFrame:

@@ -263,16 +263,17 @@ def dedup_substrings(docs: DataFrame, length: int, id_col: str = "doc_id", text_
     kind = source.schema["doc_id"].dataType.simpleString()
     scanned = durable(source.withColumn("sha", F.sha2("text", 256)).mapInArrow(_anchorer(length), f"doc_id {kind}, version long, sha string, n_bytes long, ranges {RANGES}"), "ranges")
     ranged = scanned.select("doc_id", "version", F.explode("ranges").alias("r")).select("doc_id", "version", "r.*")
-    twice = durable(ranged.groupBy("hash").agg(F.count("*").alias("n"), (F.min("segment") < F.max("segment")).alias("various")).where("n > 1"), "twice")
-    found = durable(join_counted(ranged, twice, ["hash"], "n", ranged.count()), "found").drop("n")
-    each = durable(found.groupBy("hash", "segment", "various").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "version", "at", "lo", "hi")).alias("one")), "segments")
-    suspects = durable(_of_document(source, found.select("doc_id", "version").distinct().hint("shuffle_hash"), "left_semi"), "suspects")
+    total = ranged.count()
+    twice = durable(ranged.groupBy("hash").agg(F.count("*").alias("n"), (F.min("segment") < F.max("segment")).alias("various")).where("n > 1"), "twice", total // 2)
+    found = durable(join_counted(ranged, twice, ["hash"], "n", total).drop("n"), "found", 2 * total)
+    each = durable(found.groupBy("hash", "segment", "various").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "version", "at", "lo", "hi")).alias("one")), "segments", found.rows)
+    suspects = durable(_of_document(source, found.select("doc_id", "version").distinct(), "left_semi"), "suspects", scanned.rows, 10_000)
 
     wanted = each.where("various").select("hash", "segment", "one.*").groupBy("doc_id", "version").agg(F.collect_list(F.struct("hash", "segment", "at", "lo", "hi")).alias("ranges"))
-    segments = _of_document(suspects, wanted.hint("shuffle_hash"), "inner").select("text", "ranges").mapInArrow(_segmenter(length), "hash long, segment long, lead int, last int, bytes binary")
-    segments = durable(segments, "bytes")
+    segments = _of_document(suspects, wanted, "inner").select("text", "ranges").mapInArrow(_segmenter(length), "hash long, segment long, lead int, last int, bytes binary")
+    segments = durable(segments, "bytes", each.rows, 50_000)
     variety = each.where("various").groupBy("hash").agg(F.count("*").alias("variety"))
-    large = durable(variety.where(F.col("variety") > LARGE), "large")
+    large = durable(variety.where(F.col("variety") > LARGE), "large", each.rows)
     if large.isEmpty():
         small, marks = segments, None
     else:
@@ -284,13 +285,13 @@ def dedup_substrings(docs: DataFrame, length: int, id_col: str = "doc_id", text_
         marks = join_counted(strings, durable(equal, "equal"), ["hash", "ahead", "string"], "n", total).select("hash", "segment", F.col("start").alias("first"), F.col("start").alias("last"))
     ordered = small.repartition(F.col("hash")).sortWithinPartitions("hash", "segment")
     expansion = ordered.mapInArrow(_expander(length), "hash long, segment long, first int, last int")
-    marks = durable(expansion if marks is None else expansion.unionByName(marks), "marks")
+    marks = durable(expansion if marks is None else expansion.unionByName(marks), "marks", each.rows, 50_000)
 
     once, more = each.where("copies = 1"), each.where("copies > 1").select("hash", "segment", "copies")
     partial = marks.join(once.select("hash", "segment", "one"), ["hash", "segment"]).select("one.doc_id", "one.version", (F.col("one.lo") + F.col("first")).alias("start"), (F.col("one.lo") + F.col("last") + length).alias("stop"))
-    whole = join_counted(found, more, ["hash", "segment"], "copies", found.count()).select("doc_id", "version", F.col("lo").alias("start"), (F.col("hi") + length).alias("stop"))
-    spans = durable(partial.unionByName(whole).groupBy("doc_id", "version").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops")), "spans")
-    cut = _of_document(suspects, spans.hint("shuffle_hash"), "inner").select("doc_id", "text", "starts", "stops")
+    whole = join_counted(found, more, ["hash", "segment"], "copies", found.rows).select("doc_id", "version", F.col("lo").alias("start"), (F.col("hi") + length).alias("stop"))
+    spans = durable(partial.unionByName(whole).groupBy("doc_id", "version").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops")), "spans", scanned.rows, 50_000)
+    cut = _of_document(suspects, spans, "inner").select("doc_id", "text", "starts", "stops")
     cut = cut.mapInArrow(_cutter, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     zero = F.lit(0).cast("long")
     clear = _of_document(scanned.drop("ranges"), spans.select("doc_id", "version"), "left_anti")
