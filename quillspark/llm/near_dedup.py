@@ -18,8 +18,8 @@ Plan
    join two components is lost, and no pair is emitted that is none. Pairs inside one component cannot change the result.
 
 With 100 entries in 25 bands of 4, a pair at the threshold of 0.85 shares no band with a
-probability of (1 - 0.85**4)**25 = 1e-8. The bit-sketch bound (at most 20 of 100 bits differ) is
-over five standard deviations away from what a pair at the threshold has.
+probability of (1 - 0.85**4)**25 = 1e-8. Of 100 sketch bits, 20 may differ there,
+five standard deviations over the expected 7.5.
 
 Edge cases: null texts and texts without words have the empty set, are linked with nothing and
 are kept. Rows with a null doc_id are linked with nothing. A repeated doc_id gives a row each time.
@@ -40,8 +40,7 @@ from quillspark.llm.common import WordHashes, durable, plain, word_shingles
 PERMUTATIONS, BAND_ROWS = 50, 4
 ENTRIES = 2 * PERMUTATIONS
 BANDS = ENTRIES // BAND_ROWS
-#: Bits of the sketch that may differ.
-MOST_BITS = 20
+
 #: Shingles of a block of a family.
 BLOCK_SHINGLES = 1_000_000
 #: Postings of a block that are looked at at once.
@@ -169,25 +168,23 @@ def _cross_linker(percent: int):
     return run
 
 
-def connected_components(links: DataFrame) -> DataFrame:
-    """node, component (its smallest reachable node) of every node that has a link (a, b)."""
-    edges = durable(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
-    seen = None
+def connected_components(links: DataFrame, most: int) -> DataFrame:
+    """node, component (its smallest reachable node) of every node that has a link (a, b). most: a bound on the links."""
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        edges = durable(
-            large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v")).where("u != v").distinct(),
-            "edges",
-        )
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == seen:
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v")).where("u != v").distinct()
+        edges = durable(small, "edges", 2 * most)
+        # Done when all are stars: every node has one edge down, and what it leads to has none.
+        roots = edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi")
+        if roots.isEmpty() and edges.groupBy("u").count().where("count > 1").isEmpty():
             break
-        seen = now
+        most = edges.rows
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return durable(nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), "groups", 2 * edges.rows)
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -199,18 +196,18 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
     source = plain(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
     sketches = durable(source.mapInArrow(_sketcher(shingle_words), SKETCH), "sketches")
     filled = sketches.where("n_shingles > 0 and doc_id is not null")
-    classes = durable(filled.groupBy("set_hash").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = durable(filled.groupBy("set_hash").agg(F.min("doc_id").alias("rep")), "classes", sketches.rows)
     facts = durable(
         filled.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", F.col("n_shingles").alias("n"), "bits0", "bits1", "bands"),
-        "facts",
-    )
+        "facts", classes.rows, 100_000,
+    )
     banded = facts.select("doc_id", F.posexplode("bands").alias("k", "band"))
     buckets = banded.groupBy("band").agg(F.min("doc_id").alias("low"), F.count("*").alias("members")).where("members > 1")
-    shared = durable(banded.join(buckets, "band"), "shared")
+    shared = durable(banded.join(buckets, "band"), "shared", BANDS * facts.rows, 1_000_000)
     central = shared.groupBy("doc_id").agg(F.sum("members").alias("weight"))
     hubs = shared.join(central, "doc_id").groupBy("band").agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("minus"))).alias("top")).select("band", (-F.col("top.minus")).alias("hub"))
     near = shared.select("doc_id", F.col("low").alias("hub")).unionByName(shared.join(hubs, "band").select("doc_id", "hub")).where("doc_id != hub")
-    sets = durable(source.join(central.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(_set_maker(shingle_words), "doc_id long, shingles array<long>"), "sets")
+    sets = durable(source.join(central.select("doc_id"), "doc_id", "left_semi").mapInArrow(_set_maker(shingle_words), "doc_id long, shingles array<long>"), "sets", facts.rows, 10_000)
 
     def side(frame: DataFrame, p: str, *keys: str) -> DataFrame:
         return frame.select(*keys, *[F.col(c).alias(f"{p}_{c}" if c != "doc_id" else p) for c in frame.columns if c not in keys])
@@ -219,22 +216,22 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
     pairs = near.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
     pairs = pairs.join(side(known, "a"), "a").join(side(known, "b"), "b").where(_plausible(percent)).select("a", "b", "a_n", "b_n")
     both = pairs.join(side(sets, "a"), "a").join(side(sets, "b"), "b")
-    links = durable(both.where(_linked(percent)).select("a", "b").distinct(), "links")
-    groups = durable(connected_components(links), "groups")
+    links = durable(both.where(_linked(percent)).select("a", "b").distinct(), "links", 2 * shared.rows)
+    groups = connected_components(links, links.rows)
 
     placed = shared.select("band", "doc_id").join(groups.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     split = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band", "lo")
-    open_rows = durable(placed.join(split, "band").groupBy("doc_id", "component", "lo").agg(F.lit(1)).drop("1"), "open")
-    families = connected_components(open_rows.select(F.col("component").alias("a"), F.col("lo").alias("b")))
+    open_rows = durable(placed.join(split, "band").groupBy("doc_id", "component", "lo").agg(F.lit(1)).drop("1"), "open", shared.rows)
+    families = connected_components(open_rows.select(F.col("component").alias("a"), F.col("lo").alias("b")), open_rows.rows)
     members = open_rows.select("doc_id", "component").distinct().join(families.select(F.col("node").alias("component"), F.col("component").alias("family")), "component")
-    members = durable(members.join(sets, "doc_id"), "members")
+    members = durable(members.join(sets, "doc_id"), "members", open_rows.rows, 10_000)
     blocks = members.groupBy("family").agg(F.ceil(F.sum(F.size("shingles")) / BLOCK_SHINGLES).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     dealt = members.join(blocks, "family").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("family", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "doc_id", "component", "shingles")
     more = durable(dealt.groupBy("family", "low", "high").applyInArrow(_cross_linker(percent), "a long, b long"), "links")
     if not more.isEmpty():
-        groups = durable(connected_components(links.unionByName(more)), "groups")
+        groups = connected_components(links.unionByName(more), links.rows + more.rows)
 
     joined = classes.join(groups, classes.rep == groups.node, "left").select("set_hash", F.coalesce("component", "rep").alias("component_id"))
     out = sketches.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_hash")).alias("set_hash")).join(joined, "set_hash", "left")
@@ -242,10 +239,16 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def _most_bits(percent: int) -> int:
+    """Sketch bits that may differ: five standard deviations over what is expected at the threshold."""
+    p = (1 - percent / 100) / 2
+    return int(ENTRIES * p + 5 * (ENTRIES * p * (1 - p)) ** 0.5)
+
+
 def _plausible(percent: int) -> str:
     return (
         f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)"
-        f" and bit_count(a_bits0 ^ b_bits0) + bit_count(a_bits1 ^ b_bits1) <= {MOST_BITS}"
+        f" and bit_count(a_bits0 ^ b_bits0) + bit_count(a_bits1 ^ b_bits1) <= {_most_bits(percent)}"
     )
 
 
