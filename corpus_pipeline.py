@@ -30,7 +30,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each near-duplicate group."""
     kept = near_dedup.near_duplicates(docs, SHINGLE_WORDS, PERCENT).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept.hint("shuffle_hash"), docs.doc_id.eqNullSafe(F.col("_kept")), "left_semi")
+    return docs.join(kept, docs.doc_id.eqNullSafe(F.col("_kept")), "left_semi")
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
