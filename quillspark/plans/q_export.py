@@ -15,7 +15,7 @@ from quillspark.plans.registry import query
 from quillspark.sources import documents as D
 from quillspark.sources import sinks as K
 from quillspark.sources import tables as S
-from quillspark.sources.scratch import scratch_path
+from quillspark.sources.scratch import scratch_path, written
 from quillspark.streaming import status as M
 
 # Step documents of an order: its lines stand for the drugs of a record.
@@ -30,23 +30,31 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The steps' documents. They are a table on disk, as checkpoints of steps are, made in one pass over the lines."""
     rows = V.drugs(spark, d)
-    by = rows.groupBy("abstract_id")
-    extraction = by.agg(_names(rows, F.col("class_type") == "MoA").alias("primary_drugs"), _names(rows, F.col("class_type") == "Chemical").alias("secondary_drugs"), _names(rows, F.col("class_type") == "Mode").alias("comparator_drugs"), F.array(F.lit("by type")).alias("reasoning"))
-    validation = by.agg(F.when(F.max("severity") == "medium", "REVIEW").otherwise("PASS").alias("validation_status"), (F.max("pos") > 3).alias("grounded_search_performed"), F.lit(None).cast("array<string>").alias("search_results"), _names(rows, F.col("tokens") > 48).alias("missed_drugs"), _names(rows, F.col("severity") == "high", "severity").alias("issues_found"), F.lit("checked").alias("validation_reasoning")).where("abstract_id % 3 <> 0")
+    lists = rows.groupBy("abstract_id").agg(
+        _names(rows, F.col("class_type") == "MoA").alias("primary"), _names(rows, F.col("class_type") == "Chemical").alias("secondary"), _names(rows, F.col("class_type") == "Mode").alias("comparator"),
+        F.max("severity").alias("severity"), F.max("pos").alias("pos"), _names(rows, F.col("tokens") > 48).alias("missed"), _names(rows, F.col("severity") == "high", "severity").alias("issues"), _names(rows, F.col("pos") == 1, "drug_class").alias("explicit"),
+    )
     per_drug = rows.groupBy("abstract_id", "drug").agg(F.min("pos").alias("pos"), F.array_sort(F.collect_set("drug_class")).alias("all"), _names(rows, F.col("status") == "success", "drug_class").alias("done"))
-    entries = lambda items: F.transform(F.array_sort(F.collect_list(F.struct("pos", F.col("drug").alias("key"), F.col(items).alias("items")))), lambda e: F.struct(e["key"].alias("key"), e["items"].alias("items")))
-    maps = per_drug.withColumn("self", F.array("drug")).groupBy("abstract_id").agg(entries("self").alias("components"), entries("all").alias("classes"), entries("done").alias("selections"))
-    explicit = by.agg(_names(rows, F.col("pos") == 1, "drug_class").alias("explicit_drug_classes"), F.lit(None).cast("array<string>").alias("extraction_details"))
+    maps = R.nested(per_drug, ["abstract_id"], ["pos", "drug"], ["drug", "all", "done"])
+    facts = written(lists.join(maps, "abstract_id"), "step-outputs")
+    entries = lambda items: F.transform("entries", lambda e: F.struct(e["drug"].alias("key"), items(e).alias("items")))
+    nothing = F.lit(None).cast("array<string>")
+    pick = lambda **columns: facts.select("abstract_id", *[c.alias(n) for n, c in columns.items()])
+    c = F.col
+    validation = pick(
+        validation_status=F.when(c("severity") == "medium", "REVIEW").otherwise("PASS"), grounded_search_performed=c("pos") > 3, search_results=nothing, missed_drugs=c("missed"), issues_found=c("issues"), validation_reasoning=F.lit("checked")
+    )
     return {
-        "drug_extraction": extraction,
-        "drug_validation": validation,
-        "drug_class_step1": maps.select("abstract_id", "components"),
-        "drug_class_step2": maps.select("abstract_id", "classes", F.lit(None).cast("array<string>").alias("details")),
-        "drug_class_step3": maps.select("abstract_id", "selections", F.lit(None).cast("array<string>").alias("reasoning")),
-        "drug_class_step4": explicit,
-        "drug_class_step5": explicit.where("abstract_id % 2 = 0").select("abstract_id", F.col("explicit_drug_classes").alias("refined_explicit_classes"), F.array().cast("array<string>").alias("removed_classes"), F.lit("kept").alias("reasoning")),
-        "drug_class_validation": maps.select("abstract_id", F.col("selections").alias("missed")),
+        "drug_extraction": pick(primary_drugs=c("primary"), secondary_drugs=c("secondary"), comparator_drugs=c("comparator"), reasoning=F.array(F.lit("by type"))),
+        "drug_validation": validation.where("abstract_id % 3 <> 0"),
+        "drug_class_step1": pick(components=entries(lambda e: F.array(e["drug"]))),
+        "drug_class_step2": pick(classes=entries(lambda e: e["all"]), details=nothing),
+        "drug_class_step3": pick(selections=entries(lambda e: e["done"]), reasoning=nothing),
+        "drug_class_step4": pick(explicit_drug_classes=c("explicit"), extraction_details=nothing),
+        "drug_class_step5": pick(refined_explicit_classes=c("explicit"), removed_classes=F.array().cast("array<string>"), reasoning=F.lit("kept")).where("abstract_id % 2 = 0"),
+        "drug_class_validation": pick(missed=entries(lambda e: e["done"])),
     }
 
 
