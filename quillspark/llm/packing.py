@@ -34,7 +34,7 @@ from quillspark.llm.common import durable, plain, widened
 
 CAPACITY, END_ID = 2048, 0
 #: Words kept in each of a worker's two generations of cached encodings.
-CACHED = 250_000
+CACHED = 400_000
 #: The most matches that are broadcast (40 bytes each).
 MOST_MATCHES = 2_000_000
 #: Pieces of a partition of the range sort.
@@ -204,7 +204,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """rows (with doc_id, piece and length, 1 to capacity) with sequence_id and offset added."""
     context = rows.sparkSession.sparkContext
     rows = durable(rows, "pieces")
-    parts = max(1, -(-rows.count() // PARTITION_PIECES), min(context.defaultParallelism, 64))
+    parts = max(1, -(-rows.rows // PARTITION_PIECES), min(context.defaultParallelism, 64))
     by_length = rows.repartitionByRange(parts, F.col("length").desc(), F.col("doc_id"), F.col("piece"))
     ranked = durable(by_length.mapInArrow(_ranked, widened(rows, task="long", task_rank="long")), "ranked")
     before, lengths = {}, {}
