@@ -152,7 +152,7 @@ def _distance(x: list, center, inverse):
 
 def _with_parameters(rows: DataFrame, parameters: DataFrame) -> DataFrame:
     """Joins a group's estimates to its rows. Groups with a thousandth of all rows or more are at most a thousand and are broadcast; the others join by shuffle."""
-    total = rows.count()
+    total = rows.rows
     large = F.broadcast(parameters.where(F.col("n") * 1000 >= total))
     small = parameters.where(F.col("n") * 1000 < total)
     return rows.join(large, "grp").unionByName(rows.join(large.select("grp"), "grp", "left_anti").join(small, "grp"))
@@ -171,13 +171,13 @@ def estimates(stats: DataFrame) -> DataFrame:
                 start = _parameters(r.grp, r.n, quartiles[:, 1], np.diag(((quartiles[:, 2] - quartiles[:, 0]) / 1.349) ** 2))
                 yield start.assign(logdet=1e300)
 
-    parameters = durable(medians.mapInPandas(begun, PARAMETERS), "estimates")
+    parameters = durable(medians.mapInPandas(begun, PARAMETERS), "estimates", rows.rows, 100_000)
     moments = [F.count("*").alias("n"), F.first("logdet").alias("logdet"), F.first("center").alias("center"), F.first("inverse").alias("inverse"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(FEATURES)], *[F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"q{i}_{j}") for i, j in PAIRS]]
     before = None
     for _ in range(STEPS):
         near = _with_parameters(rows, parameters).withColumn("d", _distance([F.col(c) for c in FEATURES], F.col("center"), F.col("inverse")))
         bins = near.withColumn("bin", F.floor(F.log(F.greatest("d", F.lit(1e-6))) * BINS)).groupBy("grp", "bin").agg(*moments)
-        parameters = durable(bins.groupBy("grp").applyInPandas(_concentrated, PARAMETERS), "estimates")
+        parameters = durable(bins.groupBy("grp").applyInPandas(_concentrated, PARAMETERS), "estimates", parameters.rows, 10_000)
         now = parameters.agg(F.round(F.sum("logdet"), 3)).first()[0]
         if now == before:
             break
@@ -192,7 +192,7 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", grou
     overall = parameters.where("grp = ''").select(*[F.col(c).alias(f"all_{c}") for c in ("center", "inverse", "scale")])
     own = parameters.where("grp <> ''").join(F.broadcast(overall), how="left")  # one row
     pick = lambda c: F.when(F.col("n") >= LEAST_GROUP, F.col(c)).otherwise(F.col(f"all_{c}")).alias(c)
-    chosen = durable(own.select("grp", "n", pick("center"), pick("inverse"), pick("scale")), "chosen")
+    chosen = durable(own.select("grp", "n", pick("center"), pick("inverse"), pick("scale")), "chosen", parameters.rows, 10_000)
     placed = _with_parameters(stats, chosen)
     distance = _distance([F.col(c) for c in FEATURES], F.col("center"), F.col("inverse")) / F.col("scale")
     failed = F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words")
