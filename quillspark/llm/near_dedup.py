@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import WordHashes, durable, plain, word_shingles
+from quillspark.llm.common import WordHashes, durable, join_counted, plain, word_shingles
 
 PERMUTATIONS, BAND_ROWS = 50, 4
 ENTRIES = 2 * PERMUTATIONS
@@ -196,14 +196,14 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
     source = plain(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
     sketches = durable(source.mapInArrow(_sketcher(shingle_words), SKETCH), "sketches")
     filled = sketches.where("n_shingles > 0 and doc_id is not null")
-    classes = durable(filled.groupBy("set_hash").agg(F.min("doc_id").alias("rep")), "classes", sketches.rows)
+    classes = durable(filled.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes", sketches.rows)
     facts = durable(
         filled.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", F.col("n_shingles").alias("n"), "bits0", "bits1", "bands"),
-        "facts", classes.rows, 100_000,
+        "facts", classes.rows, 20_000,
     )
     banded = facts.select("doc_id", F.posexplode("bands").alias("k", "band"))
     buckets = banded.groupBy("band").agg(F.min("doc_id").alias("low"), F.count("*").alias("members")).where("members > 1")
-    shared = durable(banded.join(buckets, "band"), "shared", BANDS * facts.rows, 1_000_000)
+    shared = durable(banded.join(buckets, "band"), "shared", BANDS * facts.rows, 250_000)
     central = shared.groupBy("doc_id").agg(F.sum("members").alias("weight"))
     hubs = shared.join(central, "doc_id").groupBy("band").agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("minus"))).alias("top")).select("band", (-F.col("top.minus")).alias("hub"))
     near = shared.select("doc_id", F.col("low").alias("hub")).unionByName(shared.join(hubs, "band").select("doc_id", "hub")).where("doc_id != hub")
@@ -233,10 +233,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
     if not more.isEmpty():
         groups = connected_components(links.unionByName(more), links.rows + more.rows)
 
-    joined = classes.join(groups, classes.rep == groups.node, "left").select("set_hash", F.coalesce("component", "rep").alias("component_id"))
-    out = sketches.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_hash")).alias("set_hash")).join(joined, "set_hash", "left")
-    own = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept"))
+    placed = classes.join(groups, classes.rep == groups.node, "left").select("set_hash", "copies", F.coalesce("component", "rep").alias("component_id"))
+    placed = durable(placed, "placed", classes.rows)
+    alone = sketches.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    out = join_counted(filled.select("doc_id", "n_shingles", "set_hash"), placed, ["set_hash"], "copies", sketches.rows).select("doc_id", "n_shingles", "component_id").unionByName(alone)
+    return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
 
 
 def _most_bits(percent: int) -> int:

@@ -76,3 +76,23 @@ select d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::bigint as n_li
   coalesce(t.n_runs, 0)::bigint as n_runs, sha256(coalesce(s.kept, '')) as kept_sha256
 from documents d left join t using (doc_id) left join s using (doc_id)
 """
+
+OP10 = r"""
+with d as (
+  select doc_id, encode(coalesce(text, '')) as b from documents
+), s as (
+  select doc_id, p, b[p + 1:p + 1] as byte, case when p + 400 <= octet_length(b) then hash(b[p + 1:p + 400]) end as w from (select doc_id, b, unnest(range(0, octet_length(b))) as p from d)
+), n as (
+  select w from s where w is not null group by w having count(*) > 1
+), r as (
+  select s.doc_id, s.p, s.byte, n.w is not null as start from s left join n using (w)
+), c as (
+  select doc_id, p, byte, coalesce(bool_or(start) over (partition by doc_id order by p rows between 399 preceding and current row), false) as gone from r
+), g as (
+  select *, gone and not coalesce(lag(gone) over (partition by doc_id order by p), false) as first from c
+), t as (
+  select doc_id, count(*) filter (gone) as n_removed, count(*) filter (first) as n_spans, string_agg(hex(byte), '' order by p) filter (not gone) as kept from g group by doc_id
+)
+select d.doc_id, octet_length(d.b)::bigint as n_bytes, coalesce(t.n_removed, 0)::bigint as n_removed, coalesce(t.n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(t.kept, ''))) as kept_sha256
+from d left join t using (doc_id)
+"""

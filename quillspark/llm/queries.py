@@ -60,4 +60,4 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity, op4_decontamination, op2_line_dedup, op1_best_fit_packing, op9_quality_rules, op10_substring_dedup, op6_secret_scans, op3_pii, op5_token_counts)}
-ORACLES: dict[str, str] = {"op7_minhash_near_dedup": oracles.OP7, "op4_decontamination": oracles.OP4, "op2_line_dedup": oracles.OP2}
+ORACLES: dict[str, str] = {"op7_minhash_near_dedup": oracles.OP7, "op4_decontamination": oracles.OP4, "op2_line_dedup": oracles.OP2, "op10_substring_dedup": oracles.OP10}

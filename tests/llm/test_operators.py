@@ -246,3 +246,27 @@ def test_empty_tables(spark):
         token_counts.section_tokens(empty, BYTE_BPE, public_tokenizers.PATTERN), pii.digest(empty), secrets_scan.digest(empty), quality.digest(empty), toxicity.digest(empty, labels),
     ):
         assert df.count() == 0
+
+
+def test_anchors_do_not_depend_on_chunks(monkeypatch):
+    """Each start of a string has the same anchor however long texts are cut, and no start is left out."""
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcde ") for _ in range(n)) for n in (9000, 100, 399, 400, 401, 5000)] + ["z" * 3000, ""]
+
+    def anchors():
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array([t.encode() for t in texts], pa.binary()), pa.array(["s"] * len(texts))], names=["doc_id", "version", "text", "sha"])
+        found = {}
+        for out in substring_dedup._anchorer(400)(iter([batch])):
+            for doc, ranges in zip(out.column(0).to_pylist(), out.column(4).to_pylist(), strict=True):
+                for r in ranges:
+                    for p in range(r["lo"], r["hi"] + 1):
+                        assert (doc, p) not in found
+                        found[doc, p] = (r["hash"], r["at"])
+        return found
+
+    whole = anchors()
+    assert set(whole) == {(i, p) for i, t in enumerate(texts) for p in range(len(t) - 399)}
+    monkeypatch.setattr(substring_dedup, "CHUNK", 2000)
+    assert anchors() == whole
