@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import or_empty, strip
+from quillspark.sources.scratch import written
 
 # The header names that stand for a field, in order of preference.
 ALIASES = {
@@ -50,10 +51,8 @@ def with_places(df: DataFrame, order: list[str], name: str) -> DataFrame:
 
     Rows are range-sorted; the tasks' sizes, one number a task, are summed up and added to the place within the task.
     """
-    from pyspark.sql import Window
-
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
+    ranged = written(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "ranged")  # bounds of ranges are drawn once
     local = ranged.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = sizes.alias("a").join(sizes.alias("b"), F.col("b._part") < F.col("a._part"), "left").groupBy("a._part").agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_before"))
