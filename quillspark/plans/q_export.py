@@ -125,9 +125,9 @@ def p14_metrics_pivot(spark: SparkSession, d: str) -> DataFrame:
     return X.metrics_export(base, steps)
 
 
-@query(V.sql("select site, string_agg(name, '|' order by name) as names, (select count(distinct u) from unnest(list(url)) t(u)) as n_sources from (select page_id % 40 as site, 'p' || lpad(page_id::varchar, 6, '0') as name, url from search_results) group by site", "search_results"))
+@query(V.sql("select site, string_agg(name, '|' order by name) as names, (select count(distinct u) from unnest(list(url)) t(u)) as n_sources from (select page_id // 5 as site, 'p' || lpad(page_id::varchar, 6, '0') as name, url from search_results) group by site", "search_results"))
 def p15_search_outcome(spark: SparkSession, d: str) -> DataFrame:
-    rows = V.search_results(spark, d).groupBy((F.col("page_id") % 40).alias("site")).agg(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("p"), F.lpad(F.col("page_id").cast("string"), 6, "0")).alias("name"), "url"))).alias("found"))
+    rows = V.search_results(spark, d).groupBy(F.expr("page_id div 5").alias("site")).agg(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("p"), F.lpad(F.col("page_id").cast("string"), 6, "0")).alias("name"), "url"))).alias("found"))
     out = rows.select("site", X.search_outcome(F.col("found")).alias("o"))
     return out.select("site", F.array_join("o.names", "|").alias("names"), F.size("o.sources").cast("long").alias("n_sources"))
 
@@ -180,6 +180,49 @@ def s03_s10_typed_records(spark: SparkSession, d: str) -> DataFrame:
     return S.records(_as_csv(spark, raw), ("abstract_id", "abstract_title", "session_title"))
 
 
+@query(V.sql("select abstract_id, abstract_title, session_title from abstracts where abstract_id <> ''", "abstracts"))
+def s04_indication_inputs(spark: SparkSession, d: str) -> DataFrame:
+    rows = V.abstracts(spark, d).select(F.col("abstract_id").alias("Id"), F.col("abstract_title").alias("TITLE"), F.col("session_title").alias("Session "))
+    named = rows.select(*[S.field(rows.columns, f).alias(f) for f in ("abstract_id", "abstract_title", "session_title")])
+    return named.where("abstract_id <> ''")
+
+
+def _extractions(spark: SparkSession, d: str) -> DataFrame:
+    """Recorded extractions: none for some records, an error for others."""
+    v = V.validations(spark, d)
+    return v.select("abstract_id", F.array("validation_status").alias("primary_drugs"), F.when(F.col("validation_status") == "FAIL", "timed out").alias("error"))
+
+
+@query(V.sql("select a.abstract_id, a.abstract_title, v.validation_status as primary_drugs, array_to_string(string_split(a.firm, ';;'), '|') as firms from abstracts a join validations v using (abstract_id) where a.abstract_id <> '' and a.abstract_title <> ''", "abstracts", "validations"))
+def s05_drug_class_inputs(spark: SparkSession, d: str) -> DataFrame:
+    rows = V.abstracts(spark, d).where("abstract_id <> '' and abstract_title <> ''").join(_extractions(spark, d), "abstract_id")
+    return rows.select("abstract_id", "abstract_title", T.listed(F.col("primary_drugs")).alias("primary_drugs"), F.array_join(T.parsed_list(F.col("firm")), "|").alias("firms"))
+
+
+@query(V.sql("select abstract_id, validation_status as primary_drugs from abstracts join validations using (abstract_id) where validation_status <> 'FAIL'", "abstracts", "validations"))
+def s06_validation_inputs(spark: SparkSession, d: str) -> DataFrame:
+    rows = V.abstracts(spark, d).select("abstract_id").join(_extractions(spark, d), "abstract_id").where(T.or_empty(F.col("error")) == "")
+    return rows.select("abstract_id", T.listed(F.col("primary_drugs")).alias("primary_drugs"))
+
+
+@query(V.sql("select a.abstract_id, a.session_title from abstracts a where exists (select 1 from validations v where v.abstract_id = a.abstract_id and v.validation_status <> 'FAIL')", "abstracts", "validations"))
+def s07_step_exists(spark: SparkSession, d: str) -> DataFrame:
+    done = _extractions(spark, d).where("error is null")
+    return V.abstracts(spark, d).select("abstract_id", "session_title").join(done.select("abstract_id"), "abstract_id", "left_semi")
+
+
+@query(V.sql("select abstract_id, abstract_title <> '' as for_step2, true as for_later_steps from abstracts where abstract_id <> ''", "abstracts"))
+def s09_step_inputs(spark: SparkSession, d: str) -> DataFrame:
+    rows = V.abstracts(spark, d).where("abstract_id <> ''")
+    return rows.select("abstract_id", (F.col("abstract_title") != "").alias("for_step2"), F.lit(True).alias("for_later_steps"))
+
+
+@query(V.sql("select abstract_id, coalesce(validation_status, '(none)') as document from abstracts left join validations using (abstract_id)", "abstracts", "validations"))
+def s12_missing_is_null(spark: SparkSession, d: str) -> DataFrame:
+    rows = V.abstracts(spark, d).select("abstract_id").join(_extractions(spark, d), "abstract_id", "left")
+    return rows.select("abstract_id", F.coalesce(F.get("primary_drugs", F.lit(0)), F.lit("(none)")).alias("document"))
+
+
 @query("select p_partkey::varchar as abstract_id, case p_size % 3 when 0 then p_name when 1 then '' else p_brand end as primary_drugs from part")
 def s08_embedded_json(spark: SparkSession, d: str) -> DataFrame:
     r = F.col("p_size") % 3
@@ -281,6 +324,13 @@ def l10_l11_agent_loop(spark: SparkSession, d: str) -> DataFrame:
     return L.agent_loop(rows, lambda rest: rest.withColumn("reached", F.least(F.col("reached") + 15, F.lit(45)).cast("long")), F.col("reached") >= 45, most=4)
 
 
+@query(V.sql("select abstract_id, case when validation_status = 'PASS' then 'PASS' else 'REVIEW' end as validation_status, validation_status = 'PASS' as validation_success from abstracts join validations using (abstract_id)", "abstracts", "validations"))
+def l09_errors_become_review(spark: SparkSession, d: str) -> DataFrame:
+    """A failed validation never stops a batch: it is a REVIEW that says so."""
+    answers = L.replay(V.validations(spark, d).where("validation_status = 'PASS'").select("abstract_id", F.lit("PASS").alias("response")))(V.validations(spark, d))
+    return answers.select("abstract_id", F.coalesce("response", F.lit("REVIEW")).alias("validation_status"), F.col("error").isNull().alias("validation_success"))
+
+
 @query(V.sql("+u as (select abstract_id, case when max(severity) = 'medium' then 'partial' else 'complete' end as drug from drugs group by 1) select abstract_id, drug, case when drug = 'complete' then 'complete' else 'skipped' end as drug_class, case drug when 'partial' then 'partial' else 'success' end as status from u", "drugs"))
 def c09_workflow(spark: SparkSession, d: str) -> DataFrame:
     first = V.drugs(spark, d).groupBy("abstract_id").agg(F.when(F.max("severity") == "medium", "partial").otherwise("complete").alias("drug"))

@@ -339,9 +339,9 @@ def w03_first_detail(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("abstract_id", F.get("entries", F.lit(0))["drug_class"].alias("drug_class"))
 
 
-@query("select p_partkey, row_number() over (partition by p_type order by p_partkey) as number from part")
+@query("select p_partkey, row_number() over (partition by p_partkey // 50 order by p_partkey) as number from part")
 def w04_enumerate(spark: SparkSession, d: str) -> DataFrame:
-    return R.numbered_rows(V.table(spark, d, "part"), ["p_partkey"], "number", ["p_type"]).select("p_partkey", F.col("number").cast("long").alias("number"))
+    return R.numbered_rows(V.table(spark, d, "part").withColumn("page", F.expr("p_partkey div 50")), ["p_partkey"], "number", ["page"]).select("p_partkey", F.col("number").cast("long").alias("number"))
 
 
 @query(V.sql("select abstract_id, step, status, attempt_id from attempts qualify row_number() over (partition by abstract_id, step order by ts desc, attempt_id desc) = 1", "attempts"))
@@ -399,9 +399,9 @@ def u04_distinct_classes(spark: SparkSession, d: str) -> DataFrame:
     return V.drugs(spark, d).select("drug", "drug_class").distinct()
 
 
-@query(V.sql("select site, string_agg(distinct url, ',' order by url) as urls from (select page_id % 40 as site, url from search_results) group by site", "search_results"))
+@query(V.sql("select site, string_agg(distinct url, ',' order by url) as urls from (select page_id // 5 as site, url from search_results) group by site", "search_results"))
 def u05_source_urls(spark: SparkSession, d: str) -> DataFrame:
-    return V.search_results(spark, d).groupBy((F.col("page_id") % 40).alias("site")).agg(F.array_join(F.array_sort(F.collect_set("url")), ",").alias("urls"))
+    return V.search_results(spark, d).groupBy(F.expr("page_id div 5").alias("site")).agg(F.array_join(F.array_sort(F.collect_set("url")), ",").alias("urls"))
 
 
 @query(V.sql("select conv_id, turn, role from messages union all select conv_id, 1000 + turn, role from messages where role = 'user'", "messages"))

@@ -136,16 +136,16 @@ def x16_truncate(spark: SparkSession, d: str) -> DataFrame:
     return V.search_results(spark, d).select("page_id", T.shortened(F.col("raw_content")).alias("content"))
 
 
-@query(V.sql("select site, string_agg('### Result ' || i || chr(10) || 'URL: ' || url || chr(10) || substr(raw_content, 1, 80), chr(10) || chr(10) order by i) as block from (select *, row_number() over (partition by site order by url, page_id) as i from (select *, page_id % 40 as site from search_results)) group by site", "search_results"))
+@query(V.sql("select site, string_agg('### Result ' || i || chr(10) || 'URL: ' || url || chr(10) || substr(raw_content, 1, 80), chr(10) || chr(10) order by i) as block from (select *, row_number() over (partition by site order by url, page_id) as i from (select *, page_id // 5 as site from search_results)) group by site", "search_results"))
 def x17_result_block(spark: SparkSession, d: str) -> DataFrame:
-    rows = V.search_results(spark, d).groupBy((F.col("page_id") % 40).alias("site")).agg(F.array_sort(F.collect_list(F.struct("url", "page_id", F.substring("raw_content", 1, 80).alias("content")))).alias("r"))
+    rows = V.search_results(spark, d).groupBy(F.expr("page_id div 5").alias("site")).agg(F.array_sort(F.collect_list(F.struct("url", "page_id", F.substring("raw_content", 1, 80).alias("content")))).alias("r"))
     return rows.select("site", T.numbered(F.col("r"), lambda i, x: F.concat(F.lit("### Result "), i, F.lit("\nURL: "), x["url"], F.lit("\n"), x["content"])).alias("block"))
 
 
-@query("select p_type, string_agg(i || '. [' || p_partkey || '] ' || p_name, chr(10) order by i) as rules from (select *, row_number() over (partition by p_type order by p_partkey) as i from part) group by p_type")
+@query("select page, string_agg(i || '. [' || p_partkey || '] ' || p_name, chr(10) order by i) as rules from (select *, p_partkey // 20 as page, row_number() over (partition by p_partkey // 20 order by p_partkey) as i from part) group by page")
 def x18_rule_lines(spark: SparkSession, d: str) -> DataFrame:
-    rows = V.table(spark, d, "part").groupBy("p_type").agg(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))).alias("r"))
-    return rows.select("p_type", T.numbered(F.col("r"), lambda i, x: F.concat(i, F.lit(". ["), x["p_partkey"].cast("string"), F.lit("] "), x["p_name"]), "\n").alias("rules"))
+    rows = V.table(spark, d, "part").groupBy(F.expr("p_partkey div 20").alias("page")).agg(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))).alias("r"))
+    return rows.select("page", T.numbered(F.col("r"), lambda i, x: F.concat(i, F.lit(". ["), x["p_partkey"].cast("string"), F.lit("] "), x["p_name"]), "\n").alias("rules"))
 
 
 _MODEL = "case p_partkey % 3 when 0 then p_name when 1 then p_brand || '/' || p_name else p_brand || '/' || p_name || '/' || p_type end"
@@ -195,7 +195,7 @@ def k11_file_name(spark: SparkSession, d: str) -> DataFrame:
     return V.table(spark, d, "part").select("p_partkey", T.file_name(F.concat(F.lit("a/"), "p_name", F.lit("\\b:"), "p_brand")).alias("file_name"))
 
 
-@query(V.sql("""select nation, '[' || string_agg('"' || lower(name) || '"', ', ' order by lower(name)) || ']' as firms_key, case when count(*) = 1 then '(drug AND ' || min(name) || ')' else '(drug AND (' || string_agg(name, ' OR ' order by name) || '))' end as search_query from firms group by nation""", "firms"))
+@query(V.sql("""select team, '[' || string_agg('"' || lower(name) || '"', ', ' order by lower(name)) || ']' as firms_key, case when count(*) = 1 then '(drug AND ' || min(name) || ')' else '(drug AND (' || string_agg(name, ' OR ' order by name) || '))' end as search_query from (select *, firm_id // 4 as team from firms) group by team""", "firms"))
 def o06_s19_firms_key(spark: SparkSession, d: str) -> DataFrame:
-    names = V.firms(spark, d).groupBy("nation").agg(F.array_sort(F.collect_list("name")).alias("names"))
-    return names.select("nation", T.firms_key(F.col("names")).alias("firms_key"), T.search_query(F.lit("drug"), F.col("names")).alias("search_query"))
+    names = V.firms(spark, d).groupBy(F.expr("firm_id div 4").alias("team")).agg(F.array_sort(F.collect_list("name")).alias("names"))
+    return names.select("team", T.firms_key(F.col("names")).alias("firms_key"), T.search_query(F.lit("drug"), F.col("names")).alias("search_query"))
