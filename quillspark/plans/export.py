@@ -11,8 +11,8 @@ from quillspark.sources.sinks import validation_text
 
 # The ten steps of a record's status, and what is known of each.
 STEPS = ("drug_extraction", "drug_validation", "drug_class_step1", "drug_class_step2", "drug_class_step3", "drug_class_step4", "drug_class_step5", "drug_class_validation", "indication_extraction", "indication_validation")
-METRICS = ("status", "llm_calls", "tokens", "input_tokens", "output_tokens")
-BASE = ("abstract_id", "abstract_title", "status", "last_updated", "duration_seconds", "llm_calls", "input_tokens", "output_tokens")
+METRICS = ("status", "llm_calls", "input_tokens", "output_tokens", "tokens")
+BASE = ("abstract_id", "abstract_title", "overall_status", "last_updated", "duration_seconds", "total_llm_calls", "total_input_tokens", "total_output_tokens")
 
 
 def _documents(rows: DataFrame, documents: dict[str, DataFrame]) -> DataFrame:
@@ -70,10 +70,10 @@ def indication_export(abstracts: DataFrame, extraction: DataFrame, validation: D
     c = F.col
     return rows.select(
         *[F.col(f"`{x}`") for x in abstracts.columns],
-        or_empty(c("e.generated_indication")).alias("indication_generated"), or_empty(c("e.selected_source")).alias("indication_selected_source"),
-        or_empty(c("e.reasoning")).alias("indication_reasoning"), json_text(c("e.rules_retrieved")).alias("indication_rules_retrieved"),
-        validation_text(c("v.validation_status"), c("v.error")).alias("indication_validation_status"), json_text(c("v.issues_found")).alias("indication_validation_issues_found"),
-        json_text(c("v.checks_performed")).alias("indication_validation_checks_performed"), or_empty(c("v.validation_reasoning")).alias("indication_validation_reasoning"),
+        or_empty(c("e.selected_source")).alias("extraction_selected_source"), or_empty(c("e.generated_indication")).alias("extraction_generated_indication"),
+        or_empty(c("e.reasoning")).alias("extraction_reasoning"), json_text(c("e.rules_retrieved")).alias("extraction_rules_retrieved"),
+        validation_text(c("v.validation_status"), c("v.error")).alias("validation_status"), json_text(c("v.issues_found")).alias("validation_issues_found"),
+        json_text(c("v.checks_performed")).alias("validation_checks_performed"), or_empty(c("v.validation_reasoning")).alias("validation_reasoning"),
     )
 
 
@@ -81,7 +81,7 @@ def metrics_export(base: DataFrame, steps: DataFrame) -> DataFrame:
     """One row a record: BASE, METRICS of each of STEPS as cells (empty for none), errors: 59 columns. base has BASE and errors (array); steps is long: abstract_id, step, METRICS. Records without a status are left out."""
     wide = steps.groupBy("abstract_id").pivot("step", list(STEPS)).agg(*[F.first(m).alias(m) for m in METRICS])
     rows = base.join(wide, "abstract_id", "left")
-    return rows.select(*BASE, *[or_empty(F.col(f"{s}_{m}").cast("string")).alias(f"{s}_{m}") for s in STEPS for m in METRICS], listed(F.col("errors"), "; ").alias("errors"))
+    return rows.select(*BASE, *[or_empty(F.col(f"{s}_{m}").cast("string")).alias(f"{s}_{m}") for s in STEPS for m in METRICS], F.when(F.size("errors") > 0, json_text(F.col("errors"))).otherwise("").alias("errors"))
 
 
 def nested_get(document: Column, path: str) -> Column:

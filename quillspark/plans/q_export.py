@@ -83,9 +83,9 @@ def p02_p10_drug_export(spark: SparkSession, d: str) -> DataFrame:
     return X.drug_export(_records(spark, d), _documents(spark, d))
 
 
-@query(V.sql("""select a.abstract_id, a.session_title, case when l.id is null then '' else upper(a.session_title) end as indication_generated, case when l.id is null then '' else 'session_title' end as indication_selected_source, case when l.id is null then '' else 'named' end as indication_reasoning,
-  case when l.id is null then '' else '["r1"]' end as indication_rules_retrieved, case when v.validation_status = 'PASS' then 'PASS' when v.validation_status = 'FAIL' then 'ERROR: timed out' else 'Validation not completed' end as indication_validation_status,
-  case when v.abstract_id is null then '' else '[]' end as indication_validation_issues_found, case when v.abstract_id is null then '' else '{"source":true}' end as indication_validation_checks_performed, case when v.abstract_id is null then '' else 'ok' end as indication_validation_reasoning
+@query(V.sql("""select a.abstract_id, a.session_title, case when l.id is null then '' else upper(a.session_title) end as extraction_generated_indication, case when l.id is null then '' else 'session_title' end as extraction_selected_source, case when l.id is null then '' else 'named' end as extraction_reasoning,
+  case when l.id is null then '' else '["r1"]' end as extraction_rules_retrieved, case when v.validation_status = 'PASS' then 'PASS' when v.validation_status = 'FAIL' then 'ERROR: timed out' else 'Validation not completed' end as validation_status,
+  case when v.abstract_id is null then '' else '[]' end as validation_issues_found, case when v.abstract_id is null then '' else '{"source":true}' end as validation_checks_performed, case when v.abstract_id is null then '' else 'ok' end as validation_reasoning
   from abstracts a left join (select abstract_id as id from validations where validation_status <> 'FAIL') l on l.id = a.abstract_id left join validations v on v.abstract_id = a.abstract_id""", "abstracts", "validations"))
 def p11_p12_indication_export(spark: SparkSession, d: str) -> DataFrame:
     rows, v = V.abstracts(spark, d).select("abstract_id", "session_title"), V.validations(spark, d)
@@ -113,12 +113,12 @@ _CELLS = ", ".join(f"coalesce({s}_{m}, '') as {s}_{m}" for s in X.STEPS for m in
 
 
 @query(f"""with w as (select l_orderkey, {_WIDE} from (select l_orderkey, l_linenumber, max(l_linestatus) as l_linestatus, max(l_quantity) as l_quantity from lineitem group by 1, 2) group by 1)
-  select cast(o_orderkey as varchar) as abstract_id, o_orderpriority as abstract_title, o_orderstatus as status, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') as last_updated, o_totalprice as duration_seconds, 1::bigint as llm_calls, 2::bigint as input_tokens, 3::bigint as output_tokens,
-  case o_orderstatus when 'P' then 'late; partial' else '' end as errors, {_CELLS} from orders left join w on l_orderkey = o_orderkey""")
+  select cast(o_orderkey as varchar) as abstract_id, o_orderpriority as abstract_title, o_orderstatus as overall_status, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') as last_updated, o_totalprice as duration_seconds, 1::bigint as total_llm_calls, 2::bigint as total_input_tokens, 3::bigint as total_output_tokens,
+  case o_orderstatus when 'P' then '["late","partial"]' else '' end as errors, {_CELLS} from orders left join w on l_orderkey = o_orderkey""")
 def p14_metrics_pivot(spark: SparkSession, d: str) -> DataFrame:
     o = V.table(spark, d, "orders")
     n = lambda x: F.lit(x).cast("long")
-    base = o.select(F.col("o_orderkey").cast("string").alias("abstract_id"), F.col("o_orderpriority").alias("abstract_title"), F.col("o_orderstatus").alias("status"), T.utc_stamp(F.col("o_orderdate")).alias("last_updated"), F.col("o_totalprice").alias("duration_seconds"), n(1).alias("llm_calls"), n(2).alias("input_tokens"), n(3).alias("output_tokens"), F.when(F.col("o_orderstatus") == "P", F.array(F.lit("late"), F.lit("partial"))).otherwise(F.array().cast("array<string>")).alias("errors"))
+    base = o.select(F.col("o_orderkey").cast("string").alias("abstract_id"), F.col("o_orderpriority").alias("abstract_title"), F.col("o_orderstatus").alias("overall_status"), T.utc_stamp(F.col("o_orderdate")).alias("last_updated"), F.col("o_totalprice").alias("duration_seconds"), n(1).alias("total_llm_calls"), n(2).alias("total_input_tokens"), n(3).alias("total_output_tokens"), F.when(F.col("o_orderstatus") == "P", F.array(F.lit("late"), F.lit("partial"))).otherwise(F.array().cast("array<string>")).alias("errors"))
     line = V.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("abstract_id"), "l_linenumber").agg(F.max("l_linestatus").alias("s"), F.max("l_quantity").cast("long").alias("tokens"))
     step = F.element_at(F.array(*[F.lit(s) for s in X.STEPS]), F.col("l_linenumber"))
     steps = line.select("abstract_id", step.alias("step"), F.when(F.col("s") == "F", "success").otherwise("pending").alias("status"), n(1).alias("llm_calls"), "tokens", (F.col("tokens") - 1).alias("input_tokens"), n(1).alias("output_tokens"))

@@ -1,17 +1,32 @@
 """Sinks: CSV with fixed columns, documents, retry lists."""
 
-from __future__ import annotations
+import json
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quillspark.functions.text import or_empty
 
 
+@F.pandas_udf(StringType())
+def pretty_json(text: pd.Series) -> pd.Series:
+    """JSON text with an indent of two, other scripts as they are; what is no JSON stays. The one place where Python formats cells."""
+
+    def one(t):
+        try:
+            return json.dumps(json.loads(t), indent=2, ensure_ascii=False) if t else t
+        except ValueError:
+            return t
+
+    return text.map(one, na_action="ignore")
+
+
 def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, single: bool = False) -> None:
     """Rows as quoted CSV with a header; null as an empty cell. single: one file, for results of a bounded size."""
     rows = df.select(*[or_empty(F.col(f"`{c}`").cast("string")).alias(c) for c in (columns or df.columns)])
-    (rows.coalesce(1) if single else rows).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', quoteAll=False, emptyValue="", lineSep="\n")
+    (rows.coalesce(1) if single else rows).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', quoteAll=False, emptyValue="", lineSep="\n", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_text(df: DataFrame, path: str, bom: bool = False) -> None:

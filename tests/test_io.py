@@ -78,3 +78,42 @@ def test_places_follow_the_order_of_the_whole_table(spark):
 def test_limit_zero_is_no_limit(spark):
     assert S.limited(spark.range(5), 0, ["id"]).count() == 5
     assert S.limited(spark.range(5), 2, ["id"]).count() == 2
+
+
+def _write(root, record, step, document):
+    (root / "abstracts" / record).mkdir(parents=True, exist_ok=True)
+    (root / "abstracts" / record / f"{step}.json").write_text(json.dumps(document, indent=2))
+
+
+def test_exports_from_folders_by_command(spark, tmp_path):
+    from quillspark.__main__ import main
+
+    detail = {"extracted_text": "x inhibitor", "class_type": "odd type"}
+    _write(tmp_path, "1", "drug_extraction", {"primary_drugs": [], "Primary Drugs": ["A", "B"], "Reasoning": ["é"]})
+    _write(tmp_path, "1", "drug_class_steps1_3", {"drug_results": [
+        {"drug": "A", "components": ["A1", "A2"], "extractions": {"A1": {"drug_classes": ["old"]}, "A2": {"drug_classes": ["NA"], "extraction_details": [detail]}}, "selections": {"A1": {"selected_drug_classes": ["NA"]}}},
+        {"drug": "B", "components": [], "extractions": {"A1": {"drug_classes": ["new"]}}, "selections": {"B": {"selected_drug_classes": ["X Inhibitor", " Y "], "reasoning": "r"}}, "error": "late"},
+    ]})
+    _write(tmp_path, "1", "drug_class_validation", {"results": [{"drug_name": "A", "validation": {"missed_drug_classes": []}}, {"drug_name": "B", "validation": {"missed_drug_classes": ["Z"]}}]})
+    _write(tmp_path, "1", "status", {"abstract_title": "t", "status": "partial", "metrics": {"llm_calls": 3}, "drug": {"extraction": {"status": "success", "llm_calls": 1, "tokens": 5}}, "indication": {"validation": {"status": "failed", "error": "down"}}, "errors": ["e1"]})
+    _write(tmp_path, "1", "indication_extraction", {"selected_source": "none", "reasoning": "r"})
+    source = tmp_path / "in.csv"
+    source.write_text('﻿Id,title,firms\n1,"a\nb",<3> F\n2,,\n', encoding="utf-8")
+
+    out = lambda name: S.read_csv(spark, str(tmp_path / name)).orderBy("abstract_id").collect()
+    main(["drug-export", "--input", str(source), "--data_dir", str(tmp_path), "--output", str(tmp_path / "drug")])
+    first, second = out("drug")
+    assert (first.drug_extraction_primary_drugs, json.loads(first.drug_extraction_reasoning)) == ("A;;B", ["é"])
+    assert first.drug_class_step1_drug_to_components == '"A": A1;;A2\n"B": '
+    assert first.drug_class_step2_drug_classes == '"A1": new\n"A2": NA'
+    assert first.drug_class_step3_selected_drug_classes == '"A1": NA\n"B": X Inhibitor;;Y'
+    assert first.drug_class_combined_all_classes == "X Inhibitor;;Y"
+    assert first.drug_class_validation_missed_drug_classes == '"B": Z'
+    assert second.title == "" and second.drug_class_combined_all_classes == ""
+    main(["indication-export", "--input", str(source), "--data_dir", str(tmp_path), "--output", str(tmp_path / "indication")])
+    assert [r.validation_status for r in out("indication")] == ["ERROR: down", "Validation not completed"]
+    main(["metrics", "--data_dir", str(tmp_path), "--output", str(tmp_path / "metrics")])
+    (row,) = out("metrics")
+    assert len(row) == 59 and (row.overall_status, row.drug_extraction_tokens, row.drug_class_step1_status, json.loads(row.errors)) == ("partial", "5", "", ["e1"])
+    main(["clean-firms", "--input", str(source), "--output", str(tmp_path / "clean")])
+    assert sorted(r.firms for r in S.read_csv(spark, str(tmp_path / "clean")).collect()) == ["", "F"]
