@@ -11,6 +11,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import xxhash
@@ -65,6 +66,22 @@ def plain(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in columns])
 
 
+_held: dict = {}
+
+
+def held(key: tuple, make: Callable[[], object]) -> object:
+    """An object that a worker keeps between tasks. It keeps one at a time."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def let_go() -> None:
+    """Frees what a worker kept; called by operators that keep nothing, so that memory isn't held for others."""
+    _held.clear()
+
+
 def widened(df: DataFrame, **more: str) -> StructType:
     """df's schema with more columns; a new one, since StructType.add changes its own."""
     schema = StructType(list(df.schema.fields))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import plain
+from quillspark.llm.common import let_go, plain
 
 #: Words of a group of benchmark items.
 GROUP_WORDS = 2_000_000
@@ -166,6 +166,7 @@ def _searcher(broadcasts: list, reach: int):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             texts, size, begin = [], 0, 0
             for k in range(batch.num_rows):

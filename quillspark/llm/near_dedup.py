@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import WordHashes, durable, join_counted, plain, word_shingles
+from quillspark.llm.common import WordHashes, durable, join_counted, let_go, plain, word_shingles
 
 PERMUTATIONS, BAND_ROWS = 50, 4
 ENTRIES = 2 * PERMUTATIONS
@@ -84,6 +84,7 @@ def _sketch(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _sketcher(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         cache = WordHashes()
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
@@ -123,6 +124,7 @@ def _block(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
 
 def _set_maker(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         cache = WordHashes()
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
@@ -207,7 +209,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
     central = shared.groupBy("doc_id").agg(F.sum("members").alias("weight"))
     hubs = shared.join(central, "doc_id").groupBy("band").agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("minus"))).alias("top")).select("band", (-F.col("top.minus")).alias("hub"))
     near = shared.select("doc_id", F.col("low").alias("hub")).unionByName(shared.join(hubs, "band").select("doc_id", "hub")).where("doc_id != hub")
-    sets = durable(source.join(central.select("doc_id"), "doc_id", "left_semi").mapInArrow(_set_maker(shingle_words), "doc_id long, shingles array<long>"), "sets", facts.rows, 10_000)
+    sets = durable(source.join(central.select("doc_id"), "doc_id", "left_semi").mapInArrow(_set_maker(shingle_words), "doc_id long, shingles array<long>"), "sets", facts.rows, 4_000)
 
     def side(frame: DataFrame, p: str, *keys: str) -> DataFrame:
         return frame.select(*keys, *[F.col(c).alias(f"{p}_{c}" if c != "doc_id" else p) for c in frame.columns if c not in keys])
@@ -216,7 +218,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
     pairs = near.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
     pairs = pairs.join(side(known, "a"), "a").join(side(known, "b"), "b").where(_plausible(percent)).select("a", "b", "a_n", "b_n")
     both = pairs.join(side(sets, "a"), "a").join(side(sets, "b"), "b")
-    links = durable(both.where(_linked(percent)).select("a", "b").distinct(), "links", 2 * shared.rows)
+    links = durable(both.where(_linked(percent)).select("a", "b").distinct(), "links", 2 * shared.rows, 20_000)
     groups = connected_components(links, links.rows)
 
     placed = shared.select("band", "doc_id").join(groups.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"))

@@ -30,11 +30,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import durable, plain, widened
+from quillspark.llm.common import durable, held, plain, widened
 
 CAPACITY, END_ID = 2048, 0
 #: Words kept in each of a worker's two generations of cached encodings.
-CACHED = 400_000
+CACHED = 300_000
 #: The most matches that are broadcast (40 bytes each).
 MOST_MATCHES = 2_000_000
 #: Pieces of a partition of the range sort.
@@ -79,16 +79,9 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, text.lower().split()))
 
 
-_encoders: dict[int, Encoder] = {}
-
-
 def encoder(tokenizer_json: str) -> Encoder:
     """The worker's encoder, kept between tasks."""
-    key = hash(tokenizer_json)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(tokenizer_json)
-    return _encoders[key]
+    return held(("encoder", hash(tokenizer_json)), lambda: Encoder(tokenizer_json))
 
 
 def _cutter(tokenizer, capacity: int, end_id: int, with_ids: bool):

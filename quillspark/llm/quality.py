@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import WordHashes, durable, plain, word_shingles
+from quillspark.llm.common import WordHashes, durable, let_go, plain, word_shingles
 
 SUBSET, LEAST_GROUP, STEPS = 0.75, 200, 8
 #: Two-sided normal deviate whose square, per statistic, is the cut: 1 in 10^9 of regular texts.
@@ -85,6 +85,7 @@ def _rates(c: np.ndarray) -> np.ndarray:
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     cache = WordHashes()
     for batch in batches:
         for begin in range(0, batch.num_rows, 512):

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import durable, join_counted, mixed, plain
+from quillspark.llm.common import durable, join_counted, let_go, mixed, plain
 
 ANCHOR = 160
 #: Different segments that fill a block of the expansion, and the most that an anchor may have there.
@@ -92,6 +92,7 @@ def _anchorer(length: int):
             found.setdefault(row, []).append((h[s], segment[s], a[s] + shift, lo[s] + shift, hi[s] + shift))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         step = CHUNK // 2
         for batch in batches:
             for begin in range(0, batch.num_rows, 1024):

@@ -27,23 +27,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import plain
-
-_encoders: dict[int, tuple] = {}
-
+from quillspark.llm.common import held, plain
 
 def _encoder(vocabulary: str, pattern: str) -> tuple:
     """The worker's encoder and the byte length of each token, kept between tasks."""
-    key = hash((vocabulary, pattern))
-    if key not in _encoders:
+
+    def make() -> tuple:
         import tiktoken
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(str.split, vocabulary.splitlines())}
         lengths = np.zeros(max(ranks.values()) + 1, np.int64)
         lengths[list(ranks.values())] = [len(t) for t in ranks]
-        _encoders.clear()
-        _encoders[key] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), lengths
-    return _encoders[key]
+        return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), lengths
+
+    return held(("offsets", hash((vocabulary, pattern))), make)
 
 
 def attributed(ends: np.ndarray, start: np.ndarray, stop: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

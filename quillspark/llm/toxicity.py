@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import WordHashes, durable, plain, widened, word_shingles
+from quillspark.llm.common import WordHashes, durable, let_go, plain, widened, word_shingles
 
 #: The most labelled rows of each class that are learnt from.
 TRAIN_TOXIC, TRAIN_CLEAN = 10_000, 20_000
@@ -120,6 +120,7 @@ def terms(folded: str) -> set[str]:
 
 def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the smallest shingle hash of each text."""
+    let_go()
     cache = WordHashes()
     for batch in batches:
         keys = [int(h.min() >> np.uint64(1)) if len(h := word_shingles(cache.of((t or "").lower().encode().split()), 4)) else 0 for t in batch.column(1).to_pylist()]
@@ -127,12 +128,15 @@ def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for batch in batches:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
-        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            seen[label].update(terms(fold(text or "")))
-        names = list(seen[0] | seen[1])
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([s[n] for n in names], pa.int64()) for s in (seen[1], seen[0]))], names=["term", "toxic", "clean"])
+        for begin in range(0, batch.num_rows, 1000):
+            part = batch.slice(begin, 1000)
+            seen: tuple[Counter, Counter] = (Counter(), Counter())
+            for text, label in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                seen[label].update(terms(fold(text or "")))
+            names = list(seen[0] | seen[1])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([s[n] for n in names], pa.int64()) for s in (seen[1], seen[0]))], names=["term", "toxic", "clean"])
 
 
 def _phrases(lexicon: Lexicon):
@@ -236,6 +240,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def _scorer(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         automaton = lexicon.automaton()
         for batch in batches:
             out = []
