@@ -34,7 +34,7 @@ from quillspark.llm.common import durable, held, plain, widened
 
 CAPACITY, END_ID = 2048, 0
 #: Words kept in each of a worker's two generations of cached encodings.
-CACHED = 300_000
+CACHED = 400_000
 #: The most matches that are broadcast (40 bytes each).
 MOST_MATCHES = 2_000_000
 #: Pieces of a partition of the range sort.
