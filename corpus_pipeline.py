@@ -34,8 +34,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that hold a window of a benchmark item."""
-    return decontam.clean(docs, table(spark, sf_dir, "benchmark"), WINDOW)
+    """Without documents that hold a window of a benchmark item, as a phrase or with all its words nearby."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"), WINDOW, reach=decontam.REACH)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

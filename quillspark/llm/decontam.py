@@ -30,6 +30,10 @@ from quillspark.llm.common import let_go, plain
 GROUP_WORDS = 2_000_000
 #: Words of a block of documents; a longer document is a block of its own.
 BLOCK_WORDS = 1_000_000
+#: Words on either side of a window's longest word that proximity matches may take in production: twice a window.
+REACH = 20
+#: Candidates for proximity matches that are held at once, or those of one window.
+NEAR_ROWS = 2_000_000
 
 #: Bytes of words: digits, lower-case letters and all of a non-ASCII character. A-Z become lower case, others a space.
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
@@ -116,23 +120,34 @@ def answer(group: Group, terms: np.ndarray, doc_start: np.ndarray, doc_of: np.nd
     order = np.argsort(counts[live], axis=1, kind="stable")
     row, at = index.lists(group.windows[live, order[:, 0]].astype(np.int64))
     exact_row, start = row, at - order[row, 0]
-    near_row, near_at = index.lists(group.windows[live, group.centre[live]].astype(np.int64)) if reach else (none, none)
-    low, high = doc_start[doc_of[near_at]], doc_start[doc_of[near_at] + 1] - 2
-    low, high = np.maximum(near_at - reach, low), np.minimum(near_at + reach, high)
-    for j in range(group.windows.shape[1]):
-        if len(exact_row) and j:
+    for j in range(1, group.windows.shape[1]):
+        if len(exact_row):
             offset = order[exact_row, j]
             term = group.windows[live[exact_row], offset].astype(np.int64)
             keep = (term < 0) | index.hold(term, start + offset)
             exact_row, start = exact_row[keep], start[keep]
-        if len(near_row):
-            term = group.windows[live[near_row], j].astype(np.int64)
-            keep = (term < 0) | index.near(term, low, high)
-            near_row, near_at, low, high = near_row[keep], near_at[keep], low[keep], high[keep]
-    near = np.unique(np.stack([doc_of[near_at], group.item_of[live[near_row]]], 1), axis=0) if len(near_row) else np.empty((0, 2), np.int64)
+    near = _proximity(group, index, live, doc_start, doc_of, reach) if reach and len(live) else np.empty((0, 2), np.int64)
     return live[exact_row], start, near[:, 0], near[:, 1]
 
 
+def _proximity(group: Group, index: Postings, live: np.ndarray, doc_start: np.ndarray, doc_of: np.ndarray, reach: int) -> np.ndarray:
+    """Documents and items of proximity matches, from parts of the windows so that NEAR_ROWS bounds what is held."""
+    centres = group.windows[live, group.centre[live]].astype(np.int64)
+    _, first = np.unique(np.cumsum(index.counts[centres]) // NEAR_ROWS, return_index=True)
+    found = []
+    for a, z in zip(first, [*first[1:], len(live)], strict=True):
+        row, at = index.lists(centres[a:z])
+        row += a
+        low, high = doc_start[doc_of[at]], doc_start[doc_of[at] + 1] - 2
+        low, high = np.maximum(at - reach, low), np.minimum(at + reach, high)
+        for j in range(group.windows.shape[1]):
+            term = group.windows[live[row], j].astype(np.int64)
+            keep = (term < 0) | index.near(term, low, high)
+            row, at, low, high = row[keep], at[keep], low[keep], high[keep]
+        found.append(np.unique(np.stack([doc_of[at], group.item_of[live[row]]], 1), axis=0))
+    return np.unique(np.concatenate(found), axis=0)
+
+
 def _searcher(broadcasts: list, reach: int):
     def block(ids: pa.Array, texts: list[list[bytes]]) -> pa.RecordBatch:
         lengths = np.array([len(t) for t in texts], dtype=np.int64)
@@ -206,29 +221,34 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, reach: int = 0
     return texts.mapInArrow(_searcher(broadcasts, reach), FOUND.format(id=texts.schema["doc_id"].dataType.simpleString()))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs without any phrase of the benchmark, all columns."""
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", reach: int = 0) -> DataFrame:
+    """The rows of docs without any phrase of the benchmark nor, with a reach, any proximity match; all columns."""
     context, names = docs.sparkSession.sparkContext, docs.columns
     broadcasts = [context.broadcast(g) for g in _groups(benchmark, window, "item_id", "text")]
     at = names.index(text_col)
-    search = _searcher(broadcasts, 0)
+    search = _searcher(broadcasts, reach)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pair = pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column(at).cast(pa.binary())], names=["k", "text"])
             found = pa.Table.from_batches(list(search(iter([pair])))) if batch.num_rows else None
             if found is not None:
-                clear = pa.array([not x for x in found.column("items").to_pylist()])
+                clear = pa.array([not x and not n for x, n in zip(found.column("items").to_pylist(), found.column("near_items").to_pylist(), strict=True)])
                 yield batch.filter(clear)
 
     return docs.mapInArrow(run, docs.schema)
 
 
-def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of docs."""
+def digest(docs: DataFrame, benchmark: DataFrame, reach: int = 0) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of docs.
+
+    With a reach also n_near and near_items, the items of which a row has proximity matches only; the other columns stay as they are.
+    """
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     listed = F.array_join(F.array_sort(F.transform(F.array_distinct("items"), lambda i: i.cast("string"))), ",")
-    return find(docs, benchmark, window=10).select(
+    near = F.array_sort(F.array_except("near_items", "items"))
+    return find(docs, benchmark, window=10, reach=reach).select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(F.array_distinct("items")).cast("long").alias("n_items"),
         F.sha2(listed, 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+        *([F.size(near).cast("long").alias("n_near"), near.alias("near_items")] if reach else []),
     )

@@ -102,6 +102,39 @@ def test_proximity_matches(spark):
     assert got == {1: ([], [1]), 2: ([], []), 3: ([1], [])}
 
 
+def test_proximity_reaches_the_query_and_the_stage(spark, tmp_path):
+    import corpus_pipeline
+    from quillspark.llm import queries
+
+    words = [f"word{c}" for c in "abcdefghij"]
+    texts = [" ".join(words), " ".join(reversed(words)), " um ".join(words), " x x x x x ".join(words), "x", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, " ".join(words)), (7, " ".join(words)), (8, "absent")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = {0: (1, []), 1: (0, [7]), 2: (0, [7]), 3: (0, []), 4: (0, []), 5: (0, [])}
+    assert {r.doc_id: (r.n_items, r.near_items) for r in queries.op4_proximity(spark, str(tmp_path)).collect()} == want
+    assert sorted(r.doc_id for r in corpus_pipeline.uncontaminated(spark, docs, str(tmp_path)).collect()) == [3, 4, 5]
+    exact = queries.op4_proximity(spark, str(tmp_path)).drop("n_near", "near_items")
+    assert sorted(exact.collect()) == sorted(queries.op4_decontamination(spark, str(tmp_path)).collect())
+
+
+def test_proximity_does_not_depend_on_parts(monkeypatch):
+    rng = random.Random(4)
+    word = lambda: rng.choice("abcdefghijklmnop").encode() * 2
+    texts = [[word() for _ in range(60)] for _ in range(30)]
+    group = decontam.grouped([(i, b" ".join(word() for _ in range(5))) for i in range(40)], 3)
+    lengths = np.array([len(t) for t in texts])
+    doc_start = np.concatenate([[0], np.cumsum(lengths + 1)])
+    terms = np.concatenate([[*(group.vocabulary[w] for w in t), -1] for t in texts]).astype(np.int32)
+
+    def near():
+        return decontam.answer(group, terms, doc_start, np.repeat(np.arange(len(texts)), lengths + 1), 4)[2:]
+
+    whole = near()
+    monkeypatch.setattr(decontam, "NEAR_ROWS", 7)
+    assert len(whole[0]) and all((a == b).all() for a, b in zip(whole, near(), strict=True))
+
+
 def test_packing_is_whole_gapless_and_tight(docs, rows):
     from tokenizers import Tokenizer
 
