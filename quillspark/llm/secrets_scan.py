@@ -6,8 +6,9 @@ Base spans (assign, access, hex) are reported wherever they stand. Weak candidat
 * ``endpoint``: a URL with a host, or a host and port after their keyword,
 * ``key``: a mixed run of 16 or more letters and digits, or 16 to 23 hexadecimal digits.
 
-They are linked with other parts by an interval join: parts of a text are dealt to buckets of ``SCOPE`` code points,
-a part meets those of its own and the next bucket, and two link if at most ``SCOPE`` code points lie between them.
+They are linked with other parts by an interval join: parts of a text are dealt to buckets of ``SCOPE`` code points
+by their start and by their stop, a weak candidate meets those in the buckets of its scope, and two link if at most
+``SCOPE`` code points lie between them, however long they are.
 A weak candidate is reported if its links complement it: an identity or an endpoint needs a secret (assign, hex or key)
 in its scope, and a key needs an access identifier or an identity there.
 
@@ -64,11 +65,11 @@ def linked(parts: DataFrame) -> DataFrame:
     """doc_id, version, more: the weak spans that other parts in their scope complement."""
     rows = parts.where(F.size("weak") > 0).distinct()
     each = rows.select("doc_id", "version", F.explode(F.concat("base", "weak")).alias("s")).select("doc_id", "version", "s.*").distinct()
-    # A part lies in every bucket that it touches; its scope reaches the buckets beside them.
+    # A candidate lies in every bucket that it touches, and its scope reaches the buckets beside them. What begins or ends there meets it.
     touched = lambda low, high: F.explode(F.sequence(F.floor(low / SCOPE), F.floor(high / SCOPE)))
     weak = each.where(F.col("kind").isin(*WEAK)).withColumn("bucket", touched(F.col("start") - SCOPE, F.col("stop") + SCOPE))
     other = each.select(F.col("doc_id").alias("o_id"), F.col("version").alias("o_version"), F.col("kind").alias("o_kind"), F.col("start").alias("o_start"), F.col("stop").alias("o_stop"))
-    other = other.withColumn("o_bucket", F.floor(F.col("o_start") / SCOPE))
+    other = other.withColumn("o_bucket", F.explode(F.array_distinct(F.array(F.floor(F.col("o_start") / SCOPE), F.floor(F.col("o_stop") / SCOPE)))))
     near = weak.join(other, F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("version") == F.col("o_version")) & (F.col("bucket") == F.col("o_bucket")))
     near = near.where(f"o_start - stop <= {SCOPE} and start - o_stop <= {SCOPE} and (o_start >= stop or start >= o_stop)")
     secret = F.col("o_kind").isin("assign", "hex", "key")

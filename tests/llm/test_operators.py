@@ -224,6 +224,19 @@ def test_secrets_match_brute_force(spark, rows):
     assert got[7].spans == "" and got[8].spans == ""
 
 
+def test_secrets_link_to_long_parts(spark):
+    texts = {}
+    for n, pad in [(n, pad) for n in (30, 300, 420, 506, 5000) for pad in (0, 77, 150, 199)]:
+        secret, host = "token=" + "a" * (n - 6), "host: db.example.com"
+        texts["after", n, pad] = f"{'. ' * pad}{secret} {host}"
+        texts["before", n, pad] = f"{'. ' * pad}{host} {secret}"
+        texts["edge", n, pad] = f"{'. ' * pad}{secret}{' ' * 200}{host}"
+        texts["beyond", n, pad] = f"{'. ' * pad}{secret}{' ' * 201}{host}"
+    keys = list(texts)
+    got = {keys[r.doc_id]: "endpoint" in r.spans for r in secrets_scan.digest(spark.createDataFrame([(i, texts[k]) for i, k in enumerate(keys)], "doc_id long, text string")).collect()}
+    assert got == {k: k[0] != "beyond" for k in keys}
+
+
 def test_quality_counts_and_outliers(spark, docs, rows):
     got = quality.digest(docs).collect()
     assert len(got) == len(rows)
