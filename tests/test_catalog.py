@@ -34,3 +34,9 @@ def test_no_python_in_catalog_plans(spark, sf_dir):
 def test_export_reads_only_needed_columns(spark, sf_dir):
     plan = QUERIES["a05_metrics_rollup"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "l_shipdate" not in plan and "l_tax" not in plan
+
+
+def test_result_block_holds_whole_pages(spark, duck, sf_dir):
+    blocks = {r.site: r.block for r in QUERIES["x17_whole_result_block"](spark, sf_dir).collect()}
+    for page_id, content in duck.sql("select page_id, html from pages").fetchall():
+        assert (content if len(content) <= 5000 else content[:5000] + "... [truncated]") in blocks[page_id // 5]
