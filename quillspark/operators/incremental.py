@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.sources.scratch import written
+
 Step = Callable[[DataFrame], DataFrame]
 
 
@@ -17,6 +20,43 @@ def memoised(inputs: DataFrame, done: DataFrame, keys: list[str], step: Step, su
     return done.join(inputs.select(*keys), keys, "left_semi").unionByName(new), kept
 
 
+def resumable(items: DataFrame, kept: DataFrame, keys: list[str], item: str, steps: dict[str, Step], save: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """keys, item, step, status, computed (now, not kept) of the steps that records reach, each over all records before the next.
+
+    A step gets the items without a success in kept (keys, item, step, status), of records that passed the steps before it, and adds `status`.
+    A failed item doesn't stop the others of its step, but its record ends there; so does an item without an answer.
+    save writes the new results of a step and returns them as read again: the barrier, and what a later run resumes from.
+    """
+    at, live, found = [*keys, item], items.select(*keys, item), []
+    for name, step in steps.items():
+        done = kept.where((F.col("step") == name) & (F.col("status") == "success")).select(*at, "status", F.lit(False).alias("computed")).distinct()
+        results, _ = memoised(live, done, at, lambda new: save(step(new).select(*at, "status", F.lit(True).alias("computed")), name))  # noqa: B023
+        found.append(results.withColumn("step", F.lit(name)))
+        stopped = live.join(results.where("status = 'success'"), at, "left_anti").select(*keys).distinct()
+        live = written(live.join(stopped, keys, "left_anti"), "live")
+    return reduce(DataFrame.unionByName, found)
+
+
+def workflow(records: DataFrame, kept: DataFrame, keys: list[str], pipelines: dict[str, tuple[Step, str | None]], save: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """keys, the outcome of each pipeline, and status: failed after an exception, partial_success with errors, else success.
+
+    pipelines: name -> what adds `status` (success, error, exception) and `output` (a list), and the pipeline whose output it needs, if any.
+    A pipeline with a success in kept (keys, pipeline, status, output) is complete and not run; one without its needed output is skipped.
+    After an exception, which no answer also is, a record runs nothing more (not_run); after an error it goes on. save is that of `resumable`.
+    """
+    state, live, outputs = records.select(*keys), records.select(*keys), {}
+    for name, (step, needed) in pipelines.items():
+        done = kept.where((F.col("pipeline") == name) & (F.col("status") == "success")).select(*keys, F.lit("complete").alias("status"), "output")
+        wanted = live if needed is None else live.join(outputs[needed].where(F.size("output") > 0), keys, "left_semi")
+        results, _ = memoised(wanted, done, keys, lambda new: save(step(new).select(*keys, "status", "output"), name))  # noqa: B023
+        outputs[name] = written(wanted.join(results, keys, "left").withColumn("status", F.coalesce("status", F.lit("exception"))), name)
+        reached = live.join(outputs[name].select(*keys, "status"), keys, "left").select(*keys, F.coalesce("status", F.lit("skipped")).alias(name))
+        state = state.join(reached, keys, "left").withColumn(name, F.coalesce(name, F.lit("not_run")))
+        live = written(reached.where(F.col(name) != "exception").select(*keys), "live")
+    any_of = lambda what: F.array_contains(F.array(*pipelines), what)
+    return state.withColumn("status", F.when(any_of("exception"), "failed").when(any_of("error"), "partial_success").otherwise("success"))
+
+
 def cached_lookup(wanted: DataFrame, cache: DataFrame, keys: list[str], results: str, fetch: Step) -> tuple[DataFrame, DataFrame]:
     """Results of all wanted keys, and what was fetched. A cached empty list counts as missing. Each missing key is fetched once."""
     full = cache.where(F.size(results) > 0)

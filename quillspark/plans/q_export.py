@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quillspark.functions import text as T
 from quillspark.operators import providers as L
 from quillspark.operators import records as R
+from quillspark.operators.incremental import Step, workflow
 from quillspark.plans import export as X
 from quillspark.plans import views as V
 from quillspark.plans.registry import query
@@ -338,6 +339,26 @@ def c09_workflow(spark: SparkSession, d: str) -> DataFrame:
     return second.withColumn("status", F.when(F.col("drug") == "partial", "partial").otherwise("success"))
 
 
+@query(
+    "with a as (select o_orderkey as id, o_custkey as c, case when c % 3 = 0 then 'complete' when id % 13 = 0 then 'exception' when id % 7 = 0 then 'error' else 'success' end as drug from orders),"
+    " b as (select *, case when drug = 'exception' then 'not_run' when c % 4 = 0 then 'skipped' when c % 5 = 0 then 'complete' when id % 17 = 0 then 'exception' when id % 11 = 0 then 'error' else 'success' end as drug_class from a),"
+    " e as (select *, case when 'exception' in (drug, drug_class) then 'not_run' when c % 2 = 0 then 'complete' when id % 19 = 0 then 'exception' when id % 5 = 0 then 'error' else 'success' end as indication from b)"
+    " select id, drug, drug_class, indication, case when 'exception' in (drug, drug_class, indication) then 'failed' when 'error' in (drug, drug_class, indication) then 'partial_success' else 'success' end as status from e"
+)
+def c09_three_pipelines(spark: SparkSession, d: str) -> DataFrame:
+    """Drug, drug_class of the primary drugs, indication; the outcomes of what runs are drawn from keys."""
+    records = V.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("c"))
+    names = F.when(F.col("c") % 4 != 0, F.array(F.lit("drug"))).otherwise(F.array().cast("array<string>"))
+    kept = [records.where(f"c % {m} = 0").select("id", F.lit(p).alias("pipeline"), F.lit("success").alias("status"), names.alias("output")) for p, m in (("drug", 3), ("drug_class", 5), ("indication", 2))]
+
+    def pipeline(exception: int, error: int) -> Step:
+        outcome = F.when(F.col("id") % exception == 0, "exception").when(F.col("id") % error == 0, "error").otherwise("success")
+        return lambda new: new.join(records, "id").select("id", outcome.alias("status"), names.alias("output"))
+
+    pipelines = {"drug": (pipeline(13, 7), None), "drug_class": (pipeline(17, 11), "drug"), "indication": (pipeline(19, 5), None)}
+    return workflow(records, kept[0].unionByName(kept[1]).unionByName(kept[2]), ["id"], pipelines, written)
+
+
 @query("select user_id, event_type, max(event_id) as event_id from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as k from events) where k = 1 group by all")
 def c13_stream_latest_state(spark: SparkSession, d: str) -> DataFrame:
     schema = V.table(spark, d, "events").schema

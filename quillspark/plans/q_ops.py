@@ -12,6 +12,7 @@ from quillspark.operators import status as S
 from quillspark.plans import views as V
 from quillspark.plans.q_text import FENCED, LAST, fenced
 from quillspark.plans.registry import query
+from quillspark.sources.scratch import written
 from quillspark.sources.tables import limited, with_places
 
 
@@ -108,6 +109,29 @@ def f11_needs_selection(spark: SparkSession, d: str) -> DataFrame:
     return V.drugs(spark, d).groupBy("abstract_id").agg((F.size(F.collect_set(T.first_truthy(normal, F.col("drug")))) > 1).alias("needs_selection"))
 
 
+@query(
+    "with i as (select l_orderkey as id, l_linenumber as pos, max(l_partkey) as p, max(l_suppkey) as s from lineitem group by all),"
+    " k as (select id, n, (s + n) % 3 = 0 as kept, (p + 7 * n) % 11 <> 0 as good from i, range(1, 6) t(n)),"
+    " o as (select id, n, bool_and(kept or good) as ok, count(*) filter (not kept) as computed, count(*) filter (not kept and not good) as failed from k group by all),"
+    " r as (select *, coalesce(bool_and(ok) over (partition by id order by n rows between unbounded preceding and 1 preceding), true) as reached from o)"
+    " select id, coalesce('step' || min(n) filter (reached and not ok), 'complete') as stopped_at, (sum(computed) filter (reached))::bigint as computed, (sum(failed) filter (reached))::bigint as failed from r group by id"
+)
+def c05_c06_five_steps(spark: SparkSession, d: str) -> DataFrame:
+    """Lines stand for the drugs of a record. Five steps run one after the other over all records, on what no checkpoint has."""
+    items = V.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("pos")).agg(F.max("l_partkey").alias("p"), F.max("l_suppkey").alias("s"))
+    items = written(items, "items")
+    kept = items.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(5)))).where("(s + n) % 3 = 0").select("id", "pos", F.concat(F.lit("step"), "n").alias("step"), F.lit("success").alias("status"))
+
+    def step(n: int) -> I.Step:
+        return lambda new: new.join(items, ["id", "pos"]).withColumn("status", F.when((F.col("p") + 7 * n) % 11 != 0, "success").otherwise("failed"))
+
+    rows = I.resumable(items, kept, ["id"], "pos", {f"step{n}": step(n) for n in range(1, 6)}, written)
+    return rows.groupBy("id").agg(
+        F.coalesce(F.min(F.when(F.col("status") == "failed", F.col("step"))), F.lit("complete")).alias("stopped_at"),
+        F.count_if("computed").alias("computed"), F.count_if(F.col("status") == "failed").alias("failed"),
+    )
+
+
 @query(V.sql("select abstract_id, coalesce(string_agg(distinct drug_class, ';;' order by drug_class) filter (tokens > 40), '') as classes from drugs group by abstract_id having count(*) filter (tokens > 40) = 0", "drugs"))
 def f12_fallback_needed(spark: SparkSession, d: str) -> DataFrame:
     lists = V.drugs(spark, d).groupBy("abstract_id").agg(F.array_sort(F.collect_set(F.when(F.col("tokens") > 40, F.col("drug_class")))).alias("classes"))

@@ -40,3 +40,38 @@ def test_result_block_holds_whole_pages(spark, duck, sf_dir):
     blocks = {r.site: r.block for r in QUERIES["x17_whole_result_block"](spark, sf_dir).collect()}
     for page_id, content in duck.sql("select page_id, html from pages").fetchall():
         assert (content if len(content) <= 5000 else content[:5000] + "... [truncated]") in blocks[page_id // 5]
+
+
+def test_steps_resume_from_what_was_saved(spark):
+    from quillspark.operators.incremental import resumable, workflow
+    from quillspark.sources.scratch import written
+
+    items = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a")], "id long, drug string")
+    none, asked, saved = spark.createDataFrame([], "id long, drug string, step string, status string"), [], []
+
+    def step(bad):
+        def run(new):
+            asked.append(sorted(tuple(r) for r in new.collect()))
+            return new.selectExpr("*", f"if(id = 1 and drug = '{bad}', 'failed', 'success') as status")
+
+        return run
+
+    def save(df, name):
+        saved.append(written(df, name).selectExpr("id", "drug", f"'{name}' as step", "status"))
+        return written(df, name)
+
+    resumable(items, none, ["id"], "drug", {"s1": step("a"), "s2": step("-")}, save)
+    assert asked == [[(1, "a"), (1, "b"), (2, "a")], [(2, "a")]]
+    asked.clear()
+    rows = resumable(items, saved[0].unionByName(saved[1]), ["id"], "drug", {"s1": step("-"), "s2": step("-")}, written)
+    assert asked == [[(1, "a")], [(1, "a"), (1, "b")]] and rows.where("status = 'success'").count() == 6
+
+    records = spark.createDataFrame([(i,) for i in range(4)], "id long")
+    first = lambda new: new.where("id <> 3").selectExpr("id", "if(id = 1, 'error', 'success') as status", "if(id = 2, array(), array('x')) as output")
+    fine = lambda new: new.selectExpr("id", "'success' as status", "array('y') as output")
+    kept = spark.createDataFrame([], "id long, pipeline string, status string, output array<string>")
+    got = workflow(records, kept, ["id"], {"drug": (first, None), "drug_class": (fine, "drug"), "indication": (fine, None)}, written)
+    assert sorted(tuple(r) for r in got.collect()) == [
+        (0, "success", "success", "success", "success"), (1, "error", "success", "success", "partial_success"),
+        (2, "success", "skipped", "success", "success"), (3, "exception", "not_run", "not_run", "failed"),
+    ]
