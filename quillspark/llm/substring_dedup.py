@@ -16,8 +16,10 @@ anchor hash occurs elsewhere can hold repeated starts:
    least of those between them before, or none. Starts whose common prefix with a neighbour reaches `length` are repeated; nothing beyond that length is looked at.
 4. Repeated starts are joined back to all ranges with that segment, merged to spans and cut from the texts.
 
-An anchor with more than ``LARGE`` different segments would not fit a task; the strings at its starts are counted by hash instead,
-with map-side combination. Anchors and segments that are a thousandth of all or more join by broadcast.
+A group of more than ``LARGE`` different segments would not fit a task, so it is divided, by the bytes that its strings must share: strings
+that begin at least half of the possible distance before the anchor share that half, all others share bytes behind the anchor. Each part is grouped by
+those bytes, as a wider anchor, and goes on with its own starts; after at most eight divisions the shared bytes are the whole string,
+and what is left are equal strings, counted as they are. Anchors and segments that are a thousandth of all or more join by broadcast.
 
 Hashes of the segments are 128 bits with the anchor's. They are polynomial, modulo 2**64; the strings against which that is
 weak are longer than a segment. Edge cases: null texts are empty; texts of fewer bytes than `length` stay whole; repeated rows are documents each for itself.
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +40,7 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import durable, join_counted, let_go, mixed, plain
 
 ANCHOR = 160
-#: Different segments that fill a block of the expansion, and the most that an anchor may have there.
+#: Different segments that fill a block of the expansion, and those of one group beyond which it is divided.
 BLOCK_ROWS, LARGE = 4096, 50_000
 #: Bytes that are hashed at once.
 CHUNK = 1 << 21
@@ -111,7 +114,8 @@ def _anchorer(length: int):
                         size += len(piece)
                 if parts:
                     flush(parts, found)
-                columns = [[np.concatenate([x[i] for x in found[k]]) if k in found else np.empty(0, np.int64) for k in range(rows.num_rows)] for i in range(5)]
+                none = [np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64)]  # of the same type: with another, numpy would make all of them floats
+                columns = [[np.concatenate([x[i] for x in found[k]]) if k in found else none[i] for k in range(rows.num_rows)] for i in range(5)]
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in columns[0]])]).astype(np.int32))
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
                 fields = [pa.array(np.concatenate(x).view(np.int64) if x else np.empty(0, np.int64)).cast(t) for x, t in zip(columns, kinds, strict=True)]
@@ -138,6 +142,28 @@ def _segmenter(length: int):
     return run
 
 
+def _divider(length: int):
+    """Two rows for each segment of a group: its starts at least `middle` bytes before the anchor, and those nearer to it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 512):
+                out: list[tuple] = []
+                for r in batch.slice(begin, 512).to_pylist():
+                    middle, text, lead = (r["low"] + r["high"] + 1) // 2, r["bytes"], r["lead"]
+                    for low, high in ((middle, r["high"]), (r["low"], middle - 1)):
+                        first, last = max(0, lead - high), min(r["last"], lead - low)
+                        if first <= last:
+                            shared = text[lead - low : lead - high + length]
+                            key = xxhash.xxh3_64_intdigest(shared, seed=(r["grp"] * 1_000_003 + low) % 2**64) - 2**63
+                            out.append((key, r["hash"], r["segment"], r["base"] + first, lead - first, last - first, low, high, text[first : last + length]))
+                columns = list(zip(*out, strict=True)) or [()] * 9
+                kinds = [pa.int64()] * 3 + [pa.int32()] * 5 + [pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["grp", "hash", "segment", "base", "lead", "last", "low", "high", "bytes"])
+
+    return run
+
+
 def expanded(lead: np.ndarray, last: np.ndarray, segments: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and start (from the row's first) of each start whose string another row has at the same distance from the anchor."""
     rows, before = len(segments), int(lead.max())
@@ -185,42 +211,50 @@ def _runs(row: np.ndarray, start: np.ndarray) -> list[tuple[int, int, int]]:
 
 
 def _expander(length: int):
-    """Rows come sorted by anchor and segment, so a block holds all segments of its anchors."""
+    """Rows come sorted by group and segment, so a block holds all segments of its groups."""
 
-    def block(keys: list, names: list, lead: list, last: list, texts: list) -> pa.RecordBatch:
+    def block(held: list[list]) -> pa.RecordBatch:
+        _, keys, names, base, lead, last, texts = held
         out = _runs(*expanded(np.array(lead), np.array(last), texts, length))
-        columns = [[keys[r] for r, _, _ in out], [names[r] for r, _, _ in out], [a for _, a, _ in out], [z for _, _, z in out]]
+        columns = [[keys[r] for r, _, _ in out], [names[r] for r, _, _ in out], [base[r] + a for r, a, _ in out], [base[r] + z for r, _, z in out]]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["hash", "segment", "first", "last"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, ...] = ([], [], [], [], [])
+        held: list[list] = [[] for _ in range(7)]
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held[0] and held[0][-1] != row[0] and len(held[0]) >= BLOCK_ROWS:
-                    yield block(*held)
-                    held = ([], [], [], [], [])
-                if held[0] and held[0][-1] == row[0] and held[1][-1] == row[1]:
+                    yield block(held)
+                    held = [[] for _ in range(7)]
+                if held[0] and (held[0][-1], held[1][-1], held[2][-1]) == row[:3]:
                     continue  # a repeated row of the table
                 for x, value in zip(held, row, strict=True):
                     x.append(value)
         if held[0]:
-            yield block(*held)
+            yield block(held)
 
     return run
 
 
-def _by_start(length: int):
-    """A hash of the string at each start of a segment."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 512):
-                h, segment, lead, last, texts = (c.to_pylist() for c in batch.slice(begin, 512).columns)
-                strings = [[xxhash.xxh3_64_intdigest(t[i : i + length]) - 2**63 for i in range(z + 1)] for t, z in zip(texts, last, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(segment, pa.int64()), pa.array(lead, pa.int32()), pa.array(strings, pa.list_(pa.int64()))], names=["hash", "segment", "lead", "strings"])
-
-    return run
+def _marks(segments: DataFrame, length: int, most: int) -> DataFrame:
+    """hash, segment, first, last: the runs of repeated starts of each segment. most: a bound on the segments."""
+    columns, found, groups = ["grp", "hash", "segment", "base", "lead", "last", "bytes"], [], segments.withColumn("grp", F.col("hash"))
+    groups = groups.withColumns({"base": F.lit(0), "low": F.lit(0), "high": F.lit(length - ANCHOR)})
+    while True:
+        sizes = groups.groupBy("grp").agg(F.count("*").alias("n"))
+        large = durable(sizes.where(F.col("n") > LARGE), "large", most)
+        small = groups if not large.rows else groups.join(large.select("grp"), "grp", "left_anti")
+        ordered = small.select(columns).repartition(F.col("grp")).sortWithinPartitions("grp", "hash", "segment")
+        found.append(ordered.mapInArrow(_expander(length), "hash long, segment long, first int, last int"))
+        if not large.rows:
+            return durable(reduce(DataFrame.unionByName, found), "marks", most, 50_000)
+        big = groups.join(large.select("grp"), "grp", "left_semi")
+        # Strings that are shared as a whole: one start each.
+        same = durable(big.where("low = high").select("grp", "hash", "segment", F.col("base").alias("first"), F.col("base").alias("last"), "bytes"), "same")
+        equal = durable(same.groupBy("bytes").agg(F.count_distinct("hash", "segment").alias("copies"), F.count("*").alias("n")).where("copies > 1"), "equal")
+        found.append(join_counted(same, equal.drop("copies"), ["bytes"], "n", same.rows).select("hash", "segment", "first", "last"))
+        groups = durable(big.where("low < high").select(*columns, "low", "high").mapInArrow(_divider(length), "grp long, hash long, segment long, base int, lead int, last int, low int, high int, bytes binary"), "divided")
 
 
 def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,20 +307,7 @@ def dedup_substrings(docs: DataFrame, length: int, id_col: str = "doc_id", text_
     wanted = each.where("various").select("hash", "segment", "one.*").groupBy("doc_id", "version").agg(F.collect_list(F.struct("hash", "segment", "at", "lo", "hi")).alias("ranges"))
     segments = _of_document(suspects, wanted, "inner").select("text", "ranges").mapInArrow(_segmenter(length), "hash long, segment long, lead int, last int, bytes binary")
     segments = durable(segments, "bytes", each.rows, 50_000)
-    variety = each.where("various").groupBy("hash").agg(F.count("*").alias("variety"))
-    large = durable(variety.where(F.col("variety") > LARGE), "large", each.rows)
-    if large.isEmpty():
-        small, marks = segments, None
-    else:
-        small = segments.join(large.select("hash"), "hash", "left_anti")
-        strings = segments.join(large.select("hash"), "hash", "left_semi").dropDuplicates(["hash", "segment"]).mapInArrow(_by_start(length), "hash long, segment long, lead int, strings array<long>")
-        strings = durable(strings, "strings").select("hash", "segment", "lead", F.posexplode("strings").alias("start", "string")).withColumn("ahead", F.expr("lead - start"))
-        equal = strings.groupBy("hash", "ahead", "string").agg(F.count("*").alias("n")).where("n > 1")
-        total = strings.count()
-        marks = join_counted(strings, durable(equal, "equal"), ["hash", "ahead", "string"], "n", total).select("hash", "segment", F.col("start").alias("first"), F.col("start").alias("last"))
-    ordered = small.repartition(F.col("hash")).sortWithinPartitions("hash", "segment")
-    expansion = ordered.mapInArrow(_expander(length), "hash long, segment long, first int, last int")
-    marks = durable(expansion if marks is None else expansion.unionByName(marks), "marks", each.rows, 50_000)
+    marks = _marks(segments, length, each.rows)
 
     once, more = each.where("copies = 1"), each.where("copies > 1").select("hash", "segment", "copies")
     partial = marks.join(once.select("hash", "segment", "one"), ["hash", "segment"]).select("one.doc_id", "one.version", (F.col("one.lo") + F.col("first")).alias("start"), (F.col("one.lo") + F.col("last") + length).alias("stop"))
@@ -300,4 +321,5 @@ def dedup_substrings(docs: DataFrame, length: int, id_col: str = "doc_id", text_
 
 
 def digest(docs: DataFrame, length: int) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of docs; edge cases as above."""
     return dedup_substrings(docs, length).drop("kept")
