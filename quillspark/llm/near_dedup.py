@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from quillspark.llm.common import WordHashes, durable, join_counted, let_go, plain, word_shingles
 
@@ -193,8 +194,10 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
     """doc_id, n_shingles, component_id, kept of every row of docs.
 
     Two documents are linked if 100 * |intersection| >= percent * |union| over their shingle sets;
-    component_id is the smallest doc_id reachable over links, kept says that it is the row's own.
+    component_id is the smallest doc_id reachable over links, kept says that it is the row's own. id_col must be of integers.
     """
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} must be of integers, since groups are named by their smallest")
     source = plain(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
     sketches = durable(source.mapInArrow(_sketcher(shingle_words), SKETCH), "sketches")
     filled = sketches.where("n_shingles > 0 and doc_id is not null")
@@ -231,6 +234,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     dealt = members.join(blocks, "family").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("family", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "doc_id", "component", "shingles")
+    # By block pair: dealt by family alone, as the join leaves it, all pairs of a family would meet in one task.
+    dealt = dealt.repartition("family", "low", "high")
     more = durable(dealt.groupBy("family", "low", "high").applyInArrow(_cross_linker(percent), "a long, b long"), "links")
     if not more.isEmpty():
         groups = connected_components(links.unionByName(more), links.rows + more.rows)
