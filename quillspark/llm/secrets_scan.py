@@ -12,8 +12,8 @@ by their start and by their stop, a weak candidate meets those in the buckets of
 A weak candidate is reported if its links complement it: an identity or an endpoint needs a secret (assign, hex or key)
 in its scope, and a key needs an access identifier or an identity there.
 
-Edge cases: null texts are empty. Rows that repeat doc_id and text get the same spans each. A text with very many parts
-only has those of two buckets meet; spans that are wholly inside a base span are not candidates.
+Edge cases: null texts are empty. Rows that repeat doc_id and text get the same spans each. In a text with very many parts
+only those of neighbouring buckets meet; spans that are wholly inside a base span are not candidates.
 """
 
 from __future__ import annotations
@@ -34,9 +34,10 @@ ASSIGN = _WORD + r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
 _ASSIGN_VALUE = "^" + _WORD + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)$"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-IDENTITY = r"""(?i:\b(?:user(?:_?name)?|login|account|client_?id)\b)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,64}"""
-ENDPOINT = r"""(?i:\bhttps?://[a-z0-9.-]+(?::[0-9]{1,5})?|\b(?:host|endpoint|server)\b["']?\x20*[:=]\x20*["']?[a-z0-9-]+(?:\.[a-z0-9-]+)+(?::[0-9]{1,5})?)"""
-KEY = r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{16,64}(?![A-Za-z0-9+/])"
+# Possessive: a repeated group that may give back is matched by recursion, which a long host name would carry too deep.
+IDENTITY = r"""(?i:\b(?:user(?:_?name)?|login|account|client_?id)\b)["']?\x20*+[:=]\x20*+["']?[A-Za-z0-9._@-]{3,}+"""
+ENDPOINT = r"""(?i:\bhttps?://[a-z0-9.-]++(?::[0-9]{1,5})?|\b(?:host|endpoint|server)\b["']?\x20*+[:=]\x20*+["']?[a-z0-9-]++(?:\.[a-z0-9-]++)++(?::[0-9]{1,5})?)"""
+KEY = r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{16,}+"
 
 
 def _mixed(found: Column) -> Column:
@@ -57,16 +58,20 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     df = with_matches(df, "endpoint", "text", ENDPOINT, text.rlike(r"(?i:https?://|host|endpoint|server)"))
     df = with_matches(df, "key", "text", KEY, text.rlike("[0-9]") & text.rlike(r"[A-Za-z0-9+/]{16}"))
     base = F.concat(spans_of("assign", "assign", lambda m: F.length(F.regexp_extract(m, _ASSIGN_VALUE, 1)) >= 6), spans_of("access", "access"), spans_of("hex", "hex"))
-    df = df.select("doc_id", "version", base.alias("base"), F.concat(spans_of("identity", "identity"), spans_of("endpoint", "endpoint"), spans_of("key", "key", _mixed)).alias("weak"))
-    return df.withColumn("weak", F.filter("weak", lambda w: ~F.exists("base", lambda b: (b["start"] <= w["start"]) & (b["stop"] >= w["stop"]))))
+    return df.select("doc_id", "version", base.alias("base"), F.concat(spans_of("identity", "identity"), spans_of("endpoint", "endpoint"), spans_of("key", "key", _mixed)).alias("weak"))
 
 
 def linked(parts: DataFrame) -> DataFrame:
     """doc_id, version, more: the weak spans that other parts in their scope complement."""
     rows = parts.where(F.size("weak") > 0).distinct()
     each = rows.select("doc_id", "version", F.explode(F.concat("base", "weak")).alias("s")).select("doc_id", "version", "s.*").distinct()
-    # A candidate lies in every bucket that it touches, and its scope reaches the buckets beside them. What begins or ends there meets it.
     touched = lambda low, high: F.explode(F.sequence(F.floor(low / SCOPE), F.floor(high / SCOPE)))
+    # What lies wholly inside a base span is not a candidate. Base spans of a kind don't overlap, so a bucket holds few.
+    around = each.where(F.col("kind").isin(*BASE)).select(*[F.col(c).alias(f"b_{c}") for c in ("doc_id", "version", "start", "stop")]).withColumn("b_bucket", touched(F.col("b_start"), F.col("b_stop")))
+    inside = F.col("doc_id").eqNullSafe(F.col("b_doc_id")) & (F.col("version") == F.col("b_version")) & (F.floor(F.col("start") / SCOPE) == F.col("b_bucket"))
+    free = each.where(F.col("kind").isin(*WEAK)).join(around, inside & F.expr("b_start <= start and b_stop >= stop"), "left_anti")
+    each = durable(free.unionByName(each.where(F.col("kind").isin(*BASE))), "parts")
+    # A candidate lies in every bucket that it touches, and its scope reaches the buckets beside them. What begins or ends there meets it.
     weak = each.where(F.col("kind").isin(*WEAK)).withColumn("bucket", touched(F.col("start") - SCOPE, F.col("stop") + SCOPE))
     other = each.select(F.col("doc_id").alias("o_id"), F.col("version").alias("o_version"), F.col("kind").alias("o_kind"), F.col("start").alias("o_start"), F.col("stop").alias("o_stop"))
     other = other.withColumn("o_bucket", F.explode(F.array_distinct(F.array(F.floor(F.col("o_start") / SCOPE), F.floor(F.col("o_stop") / SCOPE)))))
