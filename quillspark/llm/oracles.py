@@ -43,10 +43,20 @@ with d as (
   select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + n)) as j from h) group by doc_id
 ), t as (
   select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as items from (select distinct doc_id, item_id::varchar as item_id from h) group by doc_id
+), q as (
+  select item_id, q, q[list_position(list_transform(q, lambda x: strlen(x)), list_max(list_transform(q, lambda x: strlen(x))))] as centre
+  from (select distinct item_id, unnest(list_transform(range(1, greatest(len(ws) - 10, 0) + 2), lambda i: ws[i:i + least(len(ws), 10) - 1])) as q from b where len(ws) > 0)
+), o as (
+  select doc_id, unnest(range(1, len(ws) + 1)) as p, unnest(ws) as word from d
+), a as (
+  select distinct o.doc_id, q.item_id::varchar as item_id from o join q on q.centre = o.word join d on d.doc_id = o.doc_id where list_has_all(d.ws[greatest(o.p - 20, 1):o.p + 20], q.q)
+), e as (
+  select doc_id, count(*) as n_near, string_agg(item_id, ',' order by item_id) as items from (select doc_id, item_id from a except select doc_id, item_id::varchar from h) group by doc_id
 )
 select d.doc_id, len(d.ws)::bigint as n_words, coalesce(c.n_hit, 0)::bigint as n_hit, coalesce(t.n_items, 0)::bigint as n_items,
-  sha256(coalesce(t.items, '')) as items_sha256, coalesce(c.n_hit, 0) > 0 as contaminated
-from d left join c using (doc_id) left join t using (doc_id)
+  sha256(coalesce(t.items, '')) as items_sha256, coalesce(c.n_hit, 0) > 0 as contaminated,
+  coalesce(e.n_near, 0)::bigint as n_near, sha256(coalesce(e.items, '')) as near_sha256
+from d left join c using (doc_id) left join t using (doc_id) left join e using (doc_id)
 """
 
 OP2 = r"""

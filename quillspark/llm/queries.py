@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillspark.llm import oracles
 from quillspark.llm.common import table
@@ -28,11 +29,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """The phrase matches, and in n_near and near_sha256 the items with proximity matches only."""
+    found = op4_proximity(spark, sf_dir)
+    return found.withColumn("near_sha256", F.sha2(decontam.listed("near_items"), 256)).drop("near_items")
 
 
 def op4_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op4_decontamination with the proximity matches in columns of their own."""
+    """The same, with the items themselves."""
     return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), decontam.REACH)
 
 
@@ -64,5 +67,5 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity, op4_decontamination, op4_proximity, op2_line_dedup, op1_best_fit_packing, op9_quality_rules, op10_substring_dedup, op6_secret_scans, op3_pii, op5_token_counts)}
+QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity, op4_decontamination, op2_line_dedup, op1_best_fit_packing, op9_quality_rules, op10_substring_dedup, op6_secret_scans, op3_pii, op5_token_counts)}
 ORACLES: dict[str, str] = {"op7_minhash_near_dedup": oracles.OP7, "op4_decontamination": oracles.OP4, "op2_line_dedup": oracles.OP2, "op10_substring_dedup": oracles.OP10}

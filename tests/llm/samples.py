@@ -124,6 +124,20 @@ def phrase_hits(text, items, window=10):
     return len(words), len(hit), sorted(found)
 
 
+def near_items(text, items, window=10, reach=20):
+    """Items of which a window has all its words within `reach` words of its longest one."""
+    terms = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(t or ""))
+    words, found = terms(text), set()
+    for item, body in items:
+        w = terms(body)
+        for i in range(max(1, len(w) - window + 1) if w else 0):
+            g = w[i : i + window]
+            centre = max(g, key=lambda x: len(x.encode()))
+            if any(x == centre and set(g) <= set(words[max(0, p - reach) : p + reach + 1]) for p, x in enumerate(words)):
+                found.add(item)
+    return found
+
+
 def luhn(digits):
     total = 0
     for i, c in enumerate(reversed(digits)):
