@@ -66,6 +66,14 @@ def plain(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """The name, made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 _held: dict = {}
 
 

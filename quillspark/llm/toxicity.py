@@ -5,7 +5,9 @@ are lower-cased and lose their accents, look-alike letters of other scripts beco
 that stand in for letters become them, ``l`` and ``1`` fall together with ``i``, and everything else is a space.
 
 Learning (``learn``) takes a sample of the labelled rows, bounded by ``TRAIN_TOXIC`` and ``TRAIN_CLEAN``,
-the rows of least hash of each class. Copies count once, by the smallest shingle hash.
+the rows of least hash of each class; their texts bound all that is learnt, and the lexicon has no other limit.
+Near copies share one weight: a text counts by 1 / n among the n of its class with the same smallest shingle hash, so
+none is dropped and a family of copies can't make its words look toxic.
 Terms are whole words and word stems (a word's first 4 to 8 letters); a term enters the lexicon if
 its share of toxic texts passes a binomial test over all candidates, with its log-odds as weight.
 Exception phrases are pairs of words around a lexicon term that the clean texts hold at least as often.
@@ -15,16 +17,18 @@ Scoring (``score``) is one pass over whole texts, without a shuffle.
 
 Edge cases: null and empty texts have no hits and get the score of such texts (below 0.5 unless most
 of the sample is toxic). Without labelled rows of both classes the lexicon is empty and every score is 0.
-A null doc_id is scored and never used for learning.
+A null doc_id is scored and never used for learning. doc_id may be of any type; of the rows that repeat one, one is learnt from.
 """
 
 from __future__ import annotations
 
 import math
 import unicodedata
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -32,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import WordHashes, durable, let_go, plain, widened, word_shingles
+from quillspark.llm.common import WordHashes, durable, fresh, let_go, plain, widened, word_shingles
 
 #: The most labelled rows of each class that are learnt from.
 TRAIN_TOXIC, TRAIN_CLEAN = 10_000, 20_000
@@ -41,8 +45,6 @@ STEMS = range(4, 9)
 LEAST_WEIGHT, FALSE_TERMS, LEAST_TEXTS = 1.2, 0.05, 4
 #: By how much a longer stem or word must be surer to stand beside, or replace, a shorter stem.
 SURER = 1.0
-#: The most terms of a lexicon.
-MOST_TERMS = 20_000
 
 # Look-alikes of Latin letters in the Greek and Cyrillic scripts, and digits read as letters.
 LOOKALIKES = {
@@ -108,7 +110,8 @@ def weigh(folded: str, automaton: ahocorasick.Automaton) -> tuple[float, float]:
         elif weight > best.get(at, 0.0):
             best[at] = weight
     if void:
-        best = {at: w for at, w in best.items() if not any(a <= at < b for a, b in void)}
+        begins, reach = [a for a, _ in sorted(void)], list(accumulate((b for _, b in sorted(void)), max))
+        best = {at: w for at, w in best.items() if not ((k := bisect_right(begins, at)) and at < reach[k - 1])}
     words = {padded[at + 1 : padded.index(" ", at + 1)]: w for at, w in best.items()}
     return sum(words.values()), sum(best.values())
 
@@ -127,28 +130,36 @@ def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=["doc_id", "text", "toxic", "copy_key"])
 
 
+def _weighted(seen: dict[tuple[int, float], Counter]) -> pa.RecordBatch:
+    """term, toxic, clean of counts by label and weight; a term may have several rows."""
+    names: list[str] = []
+    sides: tuple[list[float], list[float]] = ([], [])
+    for (label, weight), found in seen.items():
+        names += found
+        sides[label].extend(weight * n for n in found.values())
+        sides[1 - label].extend([0.0] * len(found))
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sides[1], pa.float64()), pa.array(sides[0], pa.float64())], names=["term", "toxic", "clean"])
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     let_go()
     for batch in batches:
         for begin in range(0, batch.num_rows, 1000):
-            part = batch.slice(begin, 1000)
-            seen: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, label in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                seen[label].update(terms(fold(text or "")))
-            names = list(seen[0] | seen[1])
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([s[n] for n in names], pa.int64()) for s in (seen[1], seen[0]))], names=["term", "toxic", "clean"])
+            seen: dict[tuple[int, float], Counter] = {}
+            for text, label, weight in zip(*(c.to_pylist() for c in batch.slice(begin, 1000).columns), strict=True):
+                seen.setdefault((label, weight), Counter()).update(terms(fold(text or "")))
+            yield _weighted(seen)
 
 
 def _phrases(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            seen: dict[tuple[int, float], Counter] = {}
+            for text, label, weight in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = fold(text or "").split()
                 hits = [i for i, w in enumerate(words) if w in lexicon.weights or any(f"{w[:k]}*" in lexicon.weights for k in STEMS)]
-                seen[label].update({f"{words[i]} {words[i + 1]}" for j in hits for i in (j - 1, j) if 0 <= i < len(words) - 1})
-            names = list(seen[0])
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([s[n] for n in names], pa.int64()) for s in (seen[1], seen[0]))], names=["term", "toxic", "clean"])
+                seen.setdefault((label, weight), Counter()).update({f"{words[i]} {words[i + 1]}" for j in hits for i in (j - 1, j) if 0 <= i < len(words) - 1})
+            yield _weighted(seen)
 
     return run
 
@@ -163,12 +174,12 @@ def _weigher(lexicon: Lexicon):
         automaton = lexicon.automaton()
         for batch in batches:
             found = [_features(*weigh(f, automaton), len(f.split())) for t in batch.column(0).to_pylist() for f in (fold(t or ""),)]
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.float64()), batch.column(1)], names=["words", "share", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.float64()), *batch.columns[1:]], names=["words", "share", "toxic", "weight"])
 
     return run
 
 
-def binomial_tail(hits: int, n: int, share: float) -> float:
+def binomial_tail(hits: float, n: float, share: float) -> float:
     """log P(X >= hits), X binomial: the Chernoff bound."""
     p = hits / n
     if p <= share:
@@ -176,16 +187,27 @@ def binomial_tail(hits: int, n: int, share: float) -> float:
     return -n * (p * math.log(p / share) + ((1 - p) * math.log((1 - p) / (1 - share)) if p < 1 else 0.0))
 
 
-def _chosen(counts: list[tuple[str, int, int]], toxic: int, clean: int, candidates: int) -> dict[str, float]:
+def _sure(counted: DataFrame, toxic: float, clean: float, candidates: int) -> DataFrame:
+    """The terms that pass the test, which _chosen repeats: only these go to the driver."""
+    share, t, n = toxic / (toxic + clean), F.col("toxic"), F.col("toxic") + F.col("clean")
+    weight = F.log((t + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
+    p = t / n
+    tail = -n * (p * F.log(p / share) + F.when(p < 1, (1 - p) * F.log((1 - p) / (1 - share))).otherwise(0.0))
+    return counted.where((p > share) & (weight >= LEAST_WEIGHT - 1e-9) & (tail <= math.log(FALSE_TERMS / max(candidates, 1)) + 1e-9))
+
+
+def _chosen(counts: list[tuple[str, float, float]], toxic: float, clean: float, candidates: int) -> dict[str, float]:
     share, limit = toxic / (toxic + clean), math.log(FALSE_TERMS / max(candidates, 1))
     weight = lambda t, c: math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
     sure = lambda t, c: t > 0 and weight(t, c) >= LEAST_WEIGHT and binomial_tail(t, t + c, share) <= limit
     found = {term: (weight(t, c), t, c) for term, t, c in counts if sure(t, c)}
     # A stem that is only found because of a surer longer one goes.
+    names = sorted(found)
     for term in sorted(found, key=len):
         if term.endswith("*"):
             w, t, c = found[term]
-            longer = [x for name, x in found.items() if name != term and name.startswith(term[:-1]) and x[0] >= w + SURER]
+            same = names[bisect_left(names, term[:-1]) : bisect_left(names, term[:-1] + chr(0x10FFFF))]
+            longer = [found[name] for name in same if name != term and name in found and found[name][0] >= w + SURER]
             if longer:
                 top = max(longer, key=lambda x: x[1])
                 if not sure(t - top[1], max(c - top[2], 0)):
@@ -196,17 +218,17 @@ def _chosen(counts: list[tuple[str, int, int]], toxic: int, clean: int, candidat
         shorter = [kept[s] for k in STEMS if (s := f"{term[:k]}*") in kept and k <= len(term.rstrip("*")) and s != term]
         if not shorter or found[term][0] > max(shorter) + SURER:
             kept[term] = found[term][0]
-    return dict(sorted(kept.items(), key=lambda x: (-x[1], x[0]))[:MOST_TERMS])
+    return kept
 
 
-def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
-    """Ridge logistic fit by Newton steps, with slopes of at least 0."""
+def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
+    """Weighted ridge logistic fit by Newton steps, with slopes of at least 0."""
     a = np.column_stack([np.ones(len(x)), x])
     b = np.zeros(3)
     ridge = np.diag([1e-6, 0.05, 0.05])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ b, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge, a.T @ (y - p) - ridge @ b)
+        step = np.linalg.solve((a * (weight * p * (1 - p))[:, None]).T @ a + ridge, a.T @ (weight * (y - p)) - ridge @ b)
         b = b + step
         if np.abs(step).max() < 1e-9:
             break
@@ -219,22 +241,22 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     bounded = known.where("toxic = 1").orderBy(*order).limit(TRAIN_TOXIC).unionByName(known.where("toxic = 0").orderBy(*order).limit(TRAIN_CLEAN))
     texts = plain(docs, id_col, text_col).toDF("doc_id", "text").join(F.broadcast(bounded), "doc_id")  # at most TRAIN_TOXIC + TRAIN_CLEAN pairs of numbers
-    keyed = durable(texts.select("doc_id", "text", "toxic").mapInArrow(_copies, "doc_id long, text string, toxic int, copy_key long"), "labelled")
-    once = keyed.groupBy("copy_key", "toxic").agg(F.min("doc_id").alias("doc_id"))
-    train = durable(keyed.dropDuplicates(["doc_id"]).join(once.select("doc_id"), "doc_id", "left_semi").select("text", "toxic"), "train")
-    sizes = dict(train.groupBy("toxic").count().collect())
-    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
+    keyed = texts.select("doc_id", "text", "toxic").mapInArrow(_copies, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, text string, toxic int, copy_key long")
+    keyed = durable(keyed.groupBy("doc_id", "toxic").agg(F.min(F.struct("copy_key", "text")).alias("one")).select("toxic", "one.*"), "labelled")
+    groups = keyed.groupBy("copy_key", "toxic").agg(F.count("*").alias("copies"))
+    train = durable(keyed.join(groups, ["copy_key", "toxic"]).select("text", "toxic", (1.0 / F.col("copies")).alias("weight")), "train")
+    sizes = dict(train.groupBy("toxic").agg(F.sum("weight")).collect())
+    toxic, clean = sizes.get(1, 0.0), sizes.get(0, 0.0)
     if not toxic or not clean:
         return Lexicon()
-    counted = train.mapInArrow(_counts, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(f"toxic + clean >= {LEAST_TEXTS}")
+    counted = train.mapInArrow(_counts, "term string, toxic double, clean double").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(f"toxic + clean >= {LEAST_TEXTS}")
     counted = durable(counted, "terms")
     candidates = counted.count()
-    lean = counted.where(f"log((toxic + 0.5) / {toxic + 1}) - log((clean + 0.5) / {clean + 1}) >= {LEAST_WEIGHT}").orderBy(F.desc("toxic"), "term").limit(MOST_TERMS)
-    lexicon = Lexicon(_chosen([tuple(r) for r in lean.collect()], toxic, clean, candidates))
-    benign = train.mapInArrow(_phrases(lexicon), "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    lexicon.exceptions = [r[0] for r in benign.where(f"clean >= {LEAST_TEXTS} and clean >= toxic").orderBy(F.desc("clean"), "term").limit(MOST_TERMS).collect()]
-    rows = train.mapInArrow(_weigher(lexicon), "words double, share double, toxic int").toPandas()  # bounded as the sample is
-    lexicon.curve = _curve(rows[["words", "share"]].to_numpy(float), rows.toxic.to_numpy(float))
+    lexicon = Lexicon(_chosen([tuple(r) for r in _sure(counted, toxic, clean, candidates).collect()], toxic, clean, candidates))
+    benign = train.mapInArrow(_phrases(lexicon), "term string, toxic double, clean double").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    lexicon.exceptions = [r[0] for r in benign.where(f"clean >= {LEAST_TEXTS} and clean >= toxic").collect()]
+    rows = train.mapInArrow(_weigher(lexicon), "words double, share double, toxic int, weight double").toPandas()  # bounded as the sample is
+    lexicon.curve = _curve(rows[["words", "share"]].to_numpy(float), rows.toxic.to_numpy(float), rows.weight.to_numpy(float))
     return lexicon
 
 
@@ -267,14 +289,15 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: s
 def keep_civil(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose score is below 0.5, all columns."""
     names = docs.columns
-    held = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").alias("__scored"))
+    scored, found = fresh("scored", names), fresh("score", names)
+    held = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").alias(scored))
     run = _scorer(lexicon)
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in run(batches):
-            yield batch.rename_columns([*names, "__score"])
+            yield batch.rename_columns([*names, found])
 
-    return held.mapInArrow(named, widened(docs, __score="double")).where("__score < 0.5").drop("__score")
+    return held.mapInArrow(named, widened(docs, **{found: "double"})).where(f"{found} < 0.5").drop(found)
 
 
 def held_out(id_column) -> object:
@@ -290,5 +313,3 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of docs."""
     scored = score(docs, learn(docs, learnable(labels)))
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
-
-
