@@ -9,7 +9,7 @@
 
 The trees are trained here, on ``TRAINING`` lines composed of templates, fillers and generated values, true ones and
 look-alikes (dates, versions, amounts, order and serial numbers), which pass through the same generators. Spark ML's
-trees are part of Spark and run in the JVM; the same seeds give the same trees.
+trees are part of Spark and run in the JVM; the same seeds give the same trees, and a Spark application trains them once.
 
 Base matches always stay. An added span never overlaps a base span or a better added one.
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import durable, plain
@@ -30,8 +30,9 @@ from quillspark.llm.spans import count_of, listed, same_row, spans_of, with_matc
 KINDS = ("email", "ip", "card", "phone")
 #: Lines that the trees are trained and calibrated on, trees and their depth, and the precision asked for.
 TRAINING, TREES, DEPTH, PRECISION = 6000, 12, 4, 0.99
-#: Code points of context on either side.
-CONTEXT = 24
+#: Code points of context on either side, and of the buckets in which spans meet.
+CONTEXT, BUCKET = 24, 200
+SPANS = "array<struct<kind:string,start:int,stop:int>>"
 
 # Possessive forms of the base patterns: the same matches, in time proportional to the text. A match can only
 # start where a run of its first characters does, or where the match before it ended.
@@ -83,7 +84,7 @@ def candidates(texts: DataFrame) -> DataFrame:
     df = with_matches(df, "ip", "text", IP, numeric & text.rlike(r"[0-9]\.[0-9]"))
     df = with_matches(df, "card", "text", CARD, numeric & text.rlike("[0-9](?:[ -]?[0-9]){11}"))
     df = with_matches(df, "phone", "text", PHONE, text.contains("+"))
-    gates = {"email": text.rlike(r"(?i)[(\[{ ]at[)\]} ]") & text.rlike(r"(?i)\.[a-z]|[(\[{ ]dot[)\]} ]"), "ip": text.rlike(r"[0-9]\s?\.\s?[0-9]"), "card": text.rlike("[0-9]{4}"), "phone": text.rlike("[0-9]{2,4}[ ./-]?[0-9]{2}")}
+    gates = {"email": text.rlike(r"(?i)[(\[{\s]at[)\]}\s]") & text.rlike(r"(?i)\.|dot"), "ip": text.rlike(r"[0-9]\s?\.\s?[0-9]"), "card": text.rlike("[0-9]{4}"), "phone": text.rlike(r"(?:[0-9][()\s./-]{0,3}){5}[0-9]")}
     for kind in KINDS:
         df = with_matches(df, f"loose_{kind}", "text", MORE[kind], gates[kind] if kind == "email" else numeric & gates[kind])
     base = F.concat(
@@ -100,9 +101,36 @@ def candidates(texts: DataFrame) -> DataFrame:
             F.substring(F.col("text"), m["stop"] + 1, F.lit(4)).alias("right"),
         ),
     )
-    df = df.withColumn("base", base).withColumn("loose", F.concat(*[around(k) for k in KINDS]))
-    clear = F.filter("loose", lambda c: ~F.exists("base", lambda b: (b["start"] < c["stop"]) & (b["stop"] > c["start"])))
-    return df.select("doc_id", "version", "base", clear.alias("loose"))
+    return df.select("doc_id", "version", base.alias("base"), F.concat(*[around(k) for k in KINDS]).alias("loose"))
+
+
+def apart_from_base(parts: DataFrame) -> DataFrame:
+    """doc_id, version and the columns of each looser candidate that no base span overlaps. They meet in buckets of a text, so work doesn't grow with the square of its spans."""
+    each = parts.where(F.size("loose") > 0).select("doc_id", "version", F.explode("loose").alias("c")).select("doc_id", "version", "c.*").distinct()
+    touched = lambda start, stop: F.explode(F.sequence(F.floor(start / BUCKET), F.floor((stop - 1) / BUCKET)))
+    base = parts.where(F.size("loose") > 0).select("doc_id", "version", F.explode("base").alias("b")).select(F.col("doc_id").alias("b_id"), F.col("version").alias("b_version"), F.col("b.start").alias("b_start"), F.col("b.stop").alias("b_stop")).distinct()
+    base = base.withColumn("b_bucket", touched(F.col("b_start"), F.col("b_stop")))
+    spread = each.select("doc_id", "version", "kind", "start", "stop").withColumn("bucket", touched(F.col("start"), F.col("stop")))
+    meet = F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.col("version") == F.col("b_version")) & (F.col("bucket") == F.col("b_bucket")) & F.expr("b_start < stop and b_stop > start")
+    over = spread.join(base, meet, "left_semi").select(*[F.col(c).alias(f"o_{c}") for c in ("doc_id", "version", "kind", "start", "stop")]).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("o_doc_id"))
+    for c in ("version", "kind", "start", "stop"):
+        same = same & (F.col(c) == F.col(f"o_{c}"))
+    return each.join(over, same, "left_anti")
+
+
+def without_overlaps(chosen: DataFrame) -> DataFrame:
+    """doc_id, version, more: of the spans that overlap, the one of the best score stays. Spans are parted where nothing overlaps, and each part decides for itself."""
+    by_start = Window.partitionBy("doc_id", "version").orderBy("start", "stop", "kind")
+    reach = F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    parts = chosen.withColumn("opens", F.coalesce((reach <= F.col("start")).cast("int"), F.lit(1))).withColumn("part", F.sum("opens").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
+    ranked = parts.groupBy("doc_id", "version", "part").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "start", "stop", "kind"))).alias("all"))
+    kept = F.aggregate(
+        "all",
+        F.array().cast(SPANS),
+        lambda acc, c: F.when(F.exists(acc, lambda k: (k["start"] < c["stop"]) & (k["stop"] > c["start"])), acc).otherwise(F.concat(acc, F.array(F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["stop"].alias("stop"))))),
+    )
+    return ranked.select("doc_id", "version", kept.alias("kept")).groupBy("doc_id", "version").agg(F.flatten(F.collect_list("kept")).alias("more"))
 
 
 def features(loose: DataFrame) -> DataFrame:
@@ -179,10 +207,21 @@ def _pick_false_phone(sep: Column) -> Column:
     return F.when(F.pmod("id", F.lit(3)) == 0, F.concat(_pick(["01", "07", "05"], 41), sep, _pick(["02", "11", "12"], 42), sep, year)).when(F.pmod("id", F.lit(3)) == 1, F.concat(_number(3, 43), F.lit("."), _number(3, 44), F.lit("."), _number(3, 45))).otherwise(F.concat(F.lit("0"), _number(3, 46), F.lit("/"), _number(2, 47), F.lit("-"), _number(2, 48)))
 
 
+_kept: dict[str, tuple[GBTClassificationModel, dict[str, float]]] = {}
+
+
 def trained(spark: SparkSession) -> tuple[GBTClassificationModel, dict[str, float]]:
-    """The trees, and the threshold of each kind."""
+    """The trees, and the threshold of each kind; trained once in a Spark application."""
+    application = spark.sparkContext.applicationId
+    if application not in _kept:
+        _kept.clear()
+        _kept[application] = _train(spark)
+    return _kept[application]
+
+
+def _train(spark: SparkSession) -> tuple[GBTClassificationModel, dict[str, float]]:
     lines = durable(training_lines(spark), "lines")
-    found = candidates(lines.withColumn("version", F.col("doc_id")).select("doc_id", "text", "version")).select("doc_id", F.explode("loose").alias("c")).select("doc_id", "c.*")
+    found = apart_from_base(candidates(lines.withColumn("version", F.col("doc_id")).select("doc_id", "text", "version"))).drop("version")
     rows = durable(found.join(F.broadcast(lines.select("doc_id", "truth", "planted")), "doc_id"), "candidates")  # TRAINING rows
     rows = features(rows).select("doc_id", "kind", "features", (F.col("truth") & (F.col("kind") == F.col("planted"))).cast("double").alias("label"))
     rows = durable(rows.coalesce(1), "features")
@@ -203,21 +242,14 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """doc_id, base and spans (base and selected candidates) of every row of docs."""
     model, thresholds = trained(docs.sparkSession)
     parts = durable(candidates(_texts(docs, id_col, text_col)), "pii")
-    loose = parts.where(F.size("loose") > 0).select("doc_id", "version", F.explode("loose").alias("c")).select("doc_id", "version", "c.*").distinct()
-    scored = model.transform(features(loose)).withColumn("score", vector_to_array("probability")[1])
+    scored = model.transform(features(apart_from_base(parts))).withColumn("score", vector_to_array("probability")[1])
     least = F.coalesce(*[F.when(F.col("kind") == k, F.lit(t)) for k, t in thresholds.items()])
     chosen = durable(scored.where(F.col("score") >= least).select("doc_id", "version", "kind", "start", "stop", "score"), "chosen")
-    by_text = chosen.groupBy("doc_id", "version").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "start", "stop", "kind"))).alias("all"))
-    kept = F.aggregate(
-        "all",
-        F.array().cast("array<struct<kind:string,start:int,stop:int>>"),
-        lambda acc, c: F.when(F.exists(acc, lambda k: (k["start"] < c["stop"]) & (k["stop"] > c["start"])), acc).otherwise(F.concat(acc, F.array(F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["stop"].alias("stop"))))),
-    )
-    both = same_row(parts, by_text.select("doc_id", "version", kept.alias("more")), "left")
-    return both.select("doc_id", "base", F.concat("base", F.coalesce("more", F.array().cast("array<struct<kind:string,start:int,stop:int>>"))).alias("spans"))
+    both = same_row(parts, without_overlaps(chosen), "left")
+    return both.select("doc_id", "base", F.concat("base", F.coalesce("more", F.array().cast(SPANS))).alias("spans"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every row of docs."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and n_spans of every row of docs."""
     counts = [count_of(F.col("base"), k).alias(f"n_{k}") for k in KINDS]
-    return find(docs).select("doc_id", *counts, F.sha2(listed(F.col("base"), KINDS), 256).alias("base_sha256"), listed(F.col("spans"), KINDS).alias("spans"))
+    return find(docs).select("doc_id", *counts, F.sha2(listed(F.col("base"), KINDS), 256).alias("base_sha256"), listed(F.col("spans"), KINDS).alias("spans"), F.size("spans").cast("long").alias("n_spans"))

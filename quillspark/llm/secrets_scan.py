@@ -91,6 +91,6 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every row of docs."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans and n_spans of every row of docs."""
     counts = [count_of(F.col("base"), k).alias(f"n_{k}") for k in BASE]
-    return find(docs).select("doc_id", *counts, F.sha2(listed(F.col("base"), KINDS), 256).alias("base_sha256"), listed(F.col("spans"), KINDS).alias("spans"))
+    return find(docs).select("doc_id", *counts, F.sha2(listed(F.col("base"), KINDS), 256).alias("base_sha256"), listed(F.col("spans"), KINDS).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
