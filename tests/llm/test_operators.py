@@ -214,6 +214,33 @@ def test_words_are_encoded_as_in_whole_texts():
         assert enc.encode(text.encode()) == enc.whole(text)
 
 
+def test_symbols_behind_words_and_other_scripts_are_encoded_as_in_whole_texts():
+    enc = packing.Encoder(open(WORD_BPE, encoding="utf-8").read())
+    texts = ["a'###'s b%%%'t c'. d-- e\u0301... f\u00a0g, h\u0085i \u200b \u3000 j###, \u65e5\u672c\u8a9e. \U0001f642!! k\U0001f642## 7%% 12#, ", "", " \n ", "na\u00efve,,, x'll. 'S's it's'. \u212b. \u1e9e! a.b.c;; <<|x|>>"]
+    for text in texts + texts:
+        assert enc.encode(text.encode()) == enc.whole(text)
+    assert enc.encode_all([t.encode() for t in texts]) == [enc.whole(t) for t in texts]
+
+
+def test_encodings_do_not_depend_on_the_cache(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED", 5)
+    enc = packing.Encoder(open(WORD_BPE, encoding="utf-8").read())
+    rng = random.Random(11)
+    for _ in range(40):
+        texts = [" ".join(rng.choice(["ab", "cd.", "ef,", "gh###", "ij", "kl%%%", "ij,", "1.5"]) for _ in range(rng.randrange(5))) for _ in range(4)]
+        assert enc.encode_all([t.encode() for t in texts]) == [enc.whole(t) for t in texts]
+
+
+def test_matches_are_bounded_by_the_capacity():
+    rng = random.Random(13)
+    for capacity in (16, 64, 256):
+        for _ in range(30):
+            lengths = {n: rng.choice([1, 2, 7, 1000, 10**6]) for n in range(1, capacity + 1) if rng.random() < rng.choice([0.2, 0.9])}
+            matches, sequences = packing.best_fit(lengths, capacity)
+            assert len(matches) <= 3 * capacity * capacity.bit_length() + capacity
+            assert sum(int(m[5] - m[1]) for m in matches) == sum(lengths.values()) and sequences * capacity >= sum(n * k for n, k in lengths.items())
+
+
 def test_sequences_hold_the_ids(spark):
     df = spark.createDataFrame([(1, "some words here"), (2, "more")], "doc_id long, text string")
     packed = packing.pack(packing.pieces(df, WORD_BPE, capacity=8, with_ids=True), 8)
@@ -232,6 +259,46 @@ def test_section_tokens_add_up(docs, rows):
     assert got == {i: n for i, t in one.items() if t for n in [len(tokenizer.encode(t, add_special_tokens=False).ids)]}
 
 
+@pytest.mark.parametrize("rule", ["most", "start"])
+def test_sections_match_brute_force(spark, rule):
+    """Every token of every section, by bytes, over random sections with gaps, overlaps and empty ones."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    rng = random.Random(17)
+    rows = []
+    for i in range(40):
+        text = "".join(rng.choice(["hello", " world", "é", "🙂", "\n", "  ", "12", "ñandú", ".", "inter"]) for _ in range(rng.randrange(0, 30)))
+        cuts = sorted(rng.randrange(len(text) + 1) for _ in range(4))
+        rows.append((i, text, [(cuts[0], cuts[1]), (cuts[1], cuts[2]), (cuts[2], cuts[2]), (cuts[2], cuts[3]), (cuts[1], cuts[3])][: rng.randrange(6)]))
+    df = spark.createDataFrame(rows, "doc_id long, text string, s array<struct<start:int,stop:int>>")
+    got = {}
+    for r in token_counts.section_tokens(df, BYTE_BPE, public_tokenizers.PATTERN, rule, sections_col="s").collect():
+        got.setdefault(r.doc_id, {})[r.section] = (r.start, r.stop, r.n_tokens, r.n_crossing, round(r.share, 9))
+    for i, text, sections in rows:
+        lengths, at, tokens = [len(c.encode()) for c in text], 0, []
+        for token in tokenizer.encode(text, add_special_tokens=False).tokens:
+            tokens.append((at, at + len(token)))  # a byte-level token has one character a byte
+            at += len(token)
+        assert at == len(text.encode())
+        byte = [sum(lengths[:k]) for k in range(len(text) + 1)]
+        spans = [(byte[a], byte[z]) for a, z in sections]
+        want = {k: [sections[k][0], sections[k][1], 0, 0, 0.0] for k in range(len(sections))} if text else {}
+        for a, z in tokens if want else []:
+            inside = {k: min(z, t) - max(a, s) for k, (s, t) in enumerate(spans) if min(z, t) > max(a, s)}
+            for k, n in inside.items():
+                want[k][4] += n / (z - a)
+            crossed = [k for k, n in inside.items() if n < z - a]
+            for k in inside:
+                want[k][3] += k in crossed
+                want[k][2] += k not in crossed
+            weight = {k: inside[k] if rule == "most" else int(spans[k][0] <= a) for k in crossed}
+            if weight and max(weight.values()) > 0:
+                want[min(weight, key=lambda k: (-weight[k], spans[k][0], k))][2] += 1
+        assert got.get(i, {}) == {k: (*v[:4], round(v[4], 9)) for k, v in want.items()}
+
+
 def test_crossing_tokens_go_by_the_rule(spark):
     """`hello world`: tokens `hello`, ` world`; the cut lies inside the second."""
     df = spark.createDataFrame([(1, "hello world", [(0, 6), (6, 11)])], "doc_id long, text string, s array<struct<start:int,stop:int>>")
@@ -357,6 +424,41 @@ def test_quality_counts_and_outliers(spark, docs, rows):
     assert all(kept[i] for i in range(300)) and not any(kept[r[0]] for r in junk)
 
 
+def test_estimates_match_exact_concentration(spark):
+    """Each group's centre, scatter and verdicts against concentration steps on sorted distances, and the subset's determinant against many random starts."""
+    rng = np.random.default_rng(3)
+    rows, groups = [], {"a": 400, "b": 260}
+    for g, n in groups.items():
+        x = rng.normal(size=(n, quality.K)) @ np.diag([2.0, 0.3, 0.5, 0.4, 0.6, 0.5]) + (5 if g == "a" else 9)
+        x[: n // 12] += 12 * rng.normal(size=(n // 12, quality.K))
+        rows += [(g, *map(float, r)) for r in x]
+    df = spark.createDataFrame(rows, "grp string, " + ", ".join(f"{c} double" for c in quality.FEATURES))
+    got = {r.grp: r for r in quality.estimates(df).collect()}
+    assert set(got) == {"a", "b", ""}
+    floor = np.diag(np.square(quality.FLOORS))
+
+    def step(x, center, cov):
+        d = np.einsum("ij,jk,ik->i", x - center, np.linalg.inv(cov + floor), x - center)
+        inside = x[np.argsort(d)[: int(np.ceil(quality.SUBSET * len(x)))]]
+        return inside.mean(0), np.cov(inside.T, bias=True)
+
+    for g in groups:
+        x = np.array([r[1:] for r in rows if r[0] == g])
+        best = None
+        for start in range(20):
+            center, cov = (np.median(x, 0), np.cov(x.T)) if not start else (lambda s: (s.mean(0), np.cov(s.T)))(x[rng.choice(len(x), quality.K + 2, replace=False)])
+            for _ in range(30):
+                center, cov = step(x, center, cov)
+            det = np.linalg.slogdet(cov + floor)[1]
+            best = min(best, (det, center.tolist(), cov.tolist())) if best else (det, center.tolist(), cov.tolist())
+        assert got[g].logdet <= best[0] + 0.1
+        assert np.abs(np.array(got[g].center) - best[1]).max() < 0.15
+        inverse = np.array(got[g].inverse).reshape(quality.K, quality.K)
+        mine, exact = (np.einsum("ij,jk,ik->i", x - c, i, x - c) for c, i in ((np.array(got[g].center), inverse), (np.array(best[1]), np.linalg.inv(np.array(best[2]) + floor))))
+        cut = np.quantile(exact, 0.9)
+        assert ((mine > cut * 1.3) <= (exact > cut)).all() and ((exact > cut * 1.3) <= (mine > cut)).all()
+
+
 def test_toxicity_on_held_out_texts(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("aeioundrst") for _ in range(rng.randrange(3, 9)))
@@ -384,6 +486,39 @@ def test_exception_phrases_void_hits():
     assert toxicity.weigh(toxicity.fold("pond scum"), a) == (0, 0)
 
 
+def test_scores_match_brute_force(spark):
+    """The automaton against looking every word up, on random texts and lexicons."""
+    rng = random.Random(19)
+    words = ["grumpf", "grumpfish", "zork", "zorkab", "lamp", "pond", "Zоrk", "gr0mpf", "é"]
+    for _ in range(60):
+        lexicon = toxicity.Lexicon({toxicity.fold(rng.choice(words)) + "*" * (rng.random() < 0.5): rng.choice([1.5, 2.0, 3.0]) for _ in range(3)}, [f"{toxicity.fold(rng.choice(words))} {toxicity.fold(rng.choice(words))}" for _ in range(rng.randrange(3))])
+        folded = toxicity.fold(" ".join(rng.choice(words) for _ in range(rng.randrange(0, 30))))
+        tokens, best, void = folded.split(), {}, set()
+        for i, w in enumerate(tokens):
+            hits = [v for t, v in lexicon.weights.items() if (w.startswith(t[:-1]) if t.endswith("*") else w == t)]
+            if i + 1 < len(tokens) and f"{w} {tokens[i + 1]}" in lexicon.exceptions:
+                void |= {i, i + 1}
+            if hits:
+                best[i] = max(hits)
+        best = {i: v for i, v in best.items() if i not in void}
+        want = sum({tokens[i]: v for i, v in best.items()}.values()), sum(best.values())
+        assert toxicity.weigh(folded, lexicon.automaton()) == pytest.approx(want)
+
+
+def test_copies_share_a_weight_and_ids_may_be_text(spark):
+    """A family of copies of one toxic text teaches no more than one text, and many exception phrases are no limit."""
+    rng = random.Random(23)
+    word = lambda: "".join(rng.choice("aeioundrst") for _ in range(rng.randrange(4, 9)))
+    family = [word() for _ in range(40)]
+    texts = [(f"f{i}", " ".join(family), 1) for i in range(300)]
+    texts += [(f"d{i}", " ".join([word() for _ in range(30)] + (["grumpf"] if i % 6 == 0 else [])), int(i % 6 == 0)) for i in range(600)]
+    docs, marks = spark.createDataFrame([t[:2] for t in texts], "doc_id string, text string"), spark.createDataFrame([(t[0], t[2]) for t in texts], "doc_id string, toxic int")
+    lexicon = toxicity.learn(docs, marks)
+    assert "grumpf" in lexicon.weights or any("grumpf".startswith(t[:-1]) for t in lexicon.weights)
+    assert not set(toxicity.fold(" ".join(family)).split()) & set(lexicon.weights)
+    assert {r.doc_id for r in toxicity.score(docs, lexicon).where("score >= 0.5").collect()} >= {t[0] for t in texts if "grumpf" in t[1]}
+
+
 def test_folding_keeps_positions():
     for text in ["İstanbul ﬁ ½ É", "Іdіоt 1d10t", "x" * 10]:
         assert len(toxicity.fold(text)) == len(text)
