@@ -42,8 +42,8 @@ PERMUTATIONS, BAND_ROWS = 50, 4
 ENTRIES = 2 * PERMUTATIONS
 BANDS = ENTRIES // BAND_ROWS
 
-#: Shingles of a block of a family.
-BLOCK_SHINGLES = 1_000_000
+#: The most shingles of a block of a family (but for one set), those up to which a family is one block, and the blocks that it gets for the sake of spreading its work.
+BLOCK_SHINGLES, SMALL_FAMILY, SPREAD = 1_000_000, 15_000, 16
 #: Postings of a block that are looked at at once.
 POSTINGS = 500_000
 #: Shingles gathered before a block is sketched: small enough to stay in a core's cache.
@@ -230,7 +230,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
     families = connected_components(open_rows.select(F.col("component").alias("a"), F.col("lo").alias("b")), open_rows.rows)
     members = open_rows.select("doc_id", "component").distinct().join(families.select(F.col("node").alias("component"), F.col("component").alias("family")), "component")
     members = durable(members.join(sets, "doc_id"), "members", open_rows.rows, 10_000)
-    blocks = members.groupBy("family").agg(F.ceil(F.sum(F.size("shingles")) / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    size = F.sum(F.size("shingles"))
+    blocks = members.groupBy("family").agg(F.greatest(F.ceil(size / BLOCK_SHINGLES), F.least(F.ceil(size / SMALL_FAMILY), F.lit(SPREAD))).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     dealt = members.join(blocks, "family").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("family", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "doc_id", "component", "shingles")
