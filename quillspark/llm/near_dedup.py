@@ -231,9 +231,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
     members = open_rows.select("doc_id", "component").distinct().join(families.select(F.col("node").alias("component"), F.col("component").alias("family")), "component")
     members = durable(members.join(sets, "doc_id"), "members", open_rows.rows, 10_000)
     size = F.sum(F.size("shingles"))
-    blocks = members.groupBy("family").agg(F.greatest(F.ceil(size / BLOCK_SHINGLES), F.least(F.ceil(size / SMALL_FAMILY), F.lit(SPREAD))).cast("int").alias("blocks"))
+    blocks = members.groupBy("family").agg(F.count("*").alias("n"), F.greatest(F.ceil(size / BLOCK_SHINGLES), F.least(F.ceil(size / SMALL_FAMILY), F.lit(SPREAD))).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    dealt = members.join(blocks, "family").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = join_counted(members, durable(blocks, "blocks", members.rows), ["family"], "n", members.rows).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("family", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "doc_id", "component", "shingles")
     # By block pair: dealt by family alone, as the join leaves it, all pairs of a family would meet in one task.
     dealt = dealt.repartition("family", "low", "high")
