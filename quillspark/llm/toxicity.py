@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import WordHashes, durable, fresh, let_go, plain, widened, word_shingles
+from quillspark.llm.common import WordHashes, durable, fresh, join_counted, let_go, plain, widened, word_shingles
 
 #: The most labelled rows of each class that are learnt from.
 TRAIN_TOXIC, TRAIN_CLEAN = 10_000, 20_000
@@ -244,7 +244,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     keyed = texts.select("doc_id", "text", "toxic").mapInArrow(_copies, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, text string, toxic int, copy_key long")
     keyed = durable(keyed.groupBy("doc_id", "toxic").agg(F.min(F.struct("copy_key", "text")).alias("one")).select("toxic", "one.*"), "labelled")
     groups = keyed.groupBy("copy_key", "toxic").agg(F.count("*").alias("copies"))
-    train = durable(keyed.join(groups, ["copy_key", "toxic"]).select("text", "toxic", (1.0 / F.col("copies")).alias("weight")), "train")
+    train = durable(join_counted(keyed, durable(groups, "copies", keyed.rows), ["copy_key", "toxic"], "copies", keyed.rows).select("text", "toxic", (1.0 / F.col("copies")).alias("weight")), "train")
     sizes = dict(train.groupBy("toxic").agg(F.sum("weight")).collect())
     toxic, clean = sizes.get(1, 0.0), sizes.get(0, 0.0)
     if not toxic or not clean:
