@@ -43,7 +43,7 @@ ANCHOR = 160
 #: Different segments that fill a block of the expansion, and those of one group beyond which it is divided.
 BLOCK_ROWS, LARGE = 4096, 50_000
 #: Bytes that are hashed at once.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 _U = np.uint64
 _TABLE = np.random.default_rng(20240611).integers(0, 2**64, 256, dtype=np.uint64)
