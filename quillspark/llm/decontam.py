@@ -36,7 +36,7 @@ from quillspark.llm.common import durable, let_go, plain
 #: Words of a group of benchmark items.
 GROUP_WORDS = 1_000_000
 #: Words of a segment; a longer document is a segment of its own.
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 500_000
 #: Words on either side of a window's longest word that proximity matches may take in production: twice a window.
 REACH = 20
 #: Candidates for proximity matches that are held at once, or those of one window.
