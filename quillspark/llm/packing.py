@@ -21,7 +21,9 @@ Edge cases: null and empty texts are one piece with the end token only. Repeated
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from operator import itemgetter
@@ -37,7 +39,11 @@ from quillspark.llm.common import durable, held, plain, widened
 
 CAPACITY, END_ID = 2048, 0
 #: Words kept in each of a worker's two generations of cached encodings.
-CACHED = 700_000
+CACHED = 300_000
+#: Words of these letters are one run of the tokenizer's pattern.
+LATIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: Byte-level vocabularies write a byte as the character of its number if that is a visible one, and else as one from 256 on, in order.
+BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b))}
 #: What may stand behind a word: symbols, but for the apostrophe, with which contractions begin.
 SYMBOLS = b""".,;:!?#%&*$()[]{}"/\\+-=<>@^_`~|"""
 #: Pieces of a partition of the range sort.
@@ -51,6 +57,7 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.model = self.tokenizer.model
         self.before: dict[bytes, bytes] = {}
         self.wanted: list[bytes] = []
 
@@ -82,12 +89,25 @@ class Encoder(dict):
             else:
                 new[word] = None
         self.wanted.clear()
-        ids.update(zip(new, self._each(list(new)), strict=True))
+        rest = []
+        for word in new:
+            letters = word.decode() if word.isalpha() else self._letters(word)
+            if letters:
+                ids[word] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            else:
+                rest.append(word)
+        ids.update(zip(rest, self._each(rest), strict=True))
         for word, stem, tail in cut:
             ids[word] = ids[stem] + ids[tail]
         self.update(ids)
         return ids
 
+    @staticmethod
+    def _letters(word: bytes) -> str | None:
+        """The form in which the vocabulary has a word that is one run of Latin letters, which no normalisation but lower case changes; else null."""
+        text = word.decode("utf-8", "replace")
+        return text.lower().encode().decode("latin-1").translate(BYTE_CHARACTERS) if LATIN.fullmatch(text) else None
+
     def _each(self, words: list[bytes]) -> Iterator[bytes]:
         """The ids of each word, by encoding many as one text and cutting it at the words' first characters."""
         for begin in range(0, len(words), 2000):
