@@ -9,11 +9,9 @@ from pyspark.sql import functions as F
 from quillspark.functions.text import without_rank
 from quillspark.plans import export, layouts
 from quillspark.session import session
-from quillspark.sources.sinks import pretty_json, write_csv
+from quillspark.sources.sinks import write_csv
 from quillspark.sources.tables import field, read_csv
 
-JSON_CELLS = ("drug_extraction_reasoning", "drug_validation_search_results", "drug_validation_issues_found", "drug_class_step2_extraction_details", "drug_class_step3_reasoning", "drug_class_step4_extraction_details", "extraction_rules_retrieved", "validation_issues_found", "validation_checks_performed", "errors")
-
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="quillspark")
@@ -45,7 +43,6 @@ def main(argv: list[str] | None = None) -> None:
                 rows = export.indication_export(rows.where("abstract_id <> ''"), *layouts.indication_documents(spark, args.data_dir))
     if args.command == "metrics" and args.limit:
         rows = rows.limit(args.limit)
-    rows = rows.withColumns({c: pretty_json(F.col(c)) for c in JSON_CELLS if c in rows.columns})
     write_csv(rows, args.output)
 
 

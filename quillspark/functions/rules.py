@@ -36,6 +36,15 @@ OVERRIDES = (
 # Regimens and their parts.
 REGIMENS = {"CHOP": ("Cyclophosphamide", "Doxorubicin", "Vincristine", "Prednisone"), "FOLFIRI": ("Folinic Acid", "Fluorouracil", "Irinotecan")}
 CLASS_PRIORITY = {"MoA": 1, "Chemical": 2, "Mode": 3, "Therapeutic": 4}
+# Modalities that are captured with their target, and those that must stay what the source calls them.
+TARGETED = ("agonist", "antagonist", "modulator", "degrader")
+MODALITIES = ("antibody", "inhibitor", "agonist", "antagonist", "modulator", "degrader", "engager", "vaccine")
+# Engager platforms.
+PLATFORMS = ("BIKE", "TRIKE", "SMITE")
+# Classes that are captured whenever a text has them, by pattern.
+ALWAYS = ((r"(?i)\b(?:til therapy|tumor infiltrating lymphocyte therapy)\b", "TIL Therapy"), (r"(?i)\bantibody drug conjugate\b", "Antibody Drug Conjugate"), (r"(?i)\bexon skipping therapy\b", "Exon Skipping Therapy"))
+# Contexts in which a class is not extracted.
+NOT_EXTRACTED = r"(?i)\b(?:stewardship program|previously treated with|prior treatment with|pretreated with|[a-z0-9-]+[- ](?:related|induced|associated)|failed prior|refractory to|resistant to|resistance to)\b"
 
 
 def _between(words: tuple[str, ...]) -> str:
@@ -61,7 +70,7 @@ def by_role(title: Column, role: str) -> Column:
 def with_primary(primary: Column, secondary: Column) -> tuple[Column, Column]:
     """Primary is never empty while there is another drug: the first secondary is promoted."""
     promote = (F.size(primary) == 0) & (F.size(secondary) > 0)
-    return F.when(promote, F.slice(secondary, 1, 1)).otherwise(primary), F.when(promote, F.slice(secondary, 2, 1000)).otherwise(secondary)
+    return F.when(promote, F.slice(secondary, 1, 1)).otherwise(primary), F.when(promote, F.slice(secondary, F.lit(2), F.size(secondary))).otherwise(secondary)
 
 
 def kept_drugs(names: Column) -> Column:
@@ -76,7 +85,7 @@ def cell_name(name: Column) -> Column:
 
 def title_case(text: Column) -> Column:
     """First letters in upper case; gene names (letters, then digits) in capitals; other words in capitals or with digits stay."""
-    word = lambda w: F.when(w.rlike(r"^[a-z]+[0-9]+$"), F.upper(w)).when(w.rlike(r"[0-9]") | (w.rlike(r"[A-Z]") & ~w.rlike(r"[a-z]")), w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1000)))
+    word = lambda w: F.when(w.rlike(r"^[a-z]+[0-9]+$"), F.upper(w)).when(w.rlike(r"[0-9]") | (w.rlike(r"[A-Z]") & ~w.rlike(r"[a-z]")), w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w))))
     return F.array_join(F.transform(F.split(text, " "), word), " ")
 
 
@@ -91,6 +100,8 @@ def class_name(text: Column) -> Column:
         out = F.when(F.upper(out) == short, F.lit(long)).otherwise(out)
     out = F.regexp_replace(out, r"(?i)\b(?:blockers?|blockade)\b", "Inhibitor")
     out = F.regexp_replace(out, r"(?i)^anti-([A-Za-z0-9/]+) (antibody|antibodies|therapy)$", "$1-Targeted $2")
+    out = F.regexp_replace(out, r"(?i)^([A-Za-z0-9/]+) targeted\b", "$1-Targeted")
+    out = F.regexp_replace(F.regexp_replace(out, r"(?i)\bbi-specific\b", "Bispecific"), r"(?i)\btri-specific\b", "Trispecific")
     names = F.transform(F.split(F.regexp_extract(out, r"^([A-Z0-9]+(?:/[A-Z0-9]+)+)-", 1), "/"), lambda t: F.struct(F.regexp_extract(t, r"^([A-Z]*)", 1).alias("letters"), F.lpad(F.regexp_extract(t, r"([0-9]*)$", 1), 6, "0").alias("number"), t.alias("name")))
     targets = F.array_join(F.transform(F.array_sort(names), lambda t: t["name"]), "/")  # CD3 before CD20
     out = F.when(out.rlike(r"^[A-Z0-9]+(?:/[A-Z0-9]+)+-"), F.concat(targets, F.regexp_replace(out, r"^[A-Z0-9/]+-", "-"))).otherwise(out)
@@ -110,6 +121,59 @@ def classes(texts: Column) -> Column:
     return F.when(F.size(left) > 0, left).otherwise(F.array(F.lit("NA")))
 
 
+def captured(text: Column) -> Column:
+    """The classes that a text's own words name: multispecific antibodies and engager platforms with their targets, agonists and the like with what stands before them, and those that are always captured.
+
+    Nothing in a context of prior treatment, cause or resistance.
+    """
+    # Targets after the platform: sorted by letters, then number, and put in front.
+    named = F.regexp_extract(text, r"(?i)\btargeting ([A-Z0-9-]+(?:(?:/| and |, )[A-Z0-9-]+)*)", 1)
+    sorted_targets = F.array_sort(F.transform(F.split(named, r"/| and |, "), lambda t: F.struct(F.regexp_extract(t, r"^([A-Za-z-]*)", 1).alias("letters"), F.lpad(F.regexp_extract(t, r"([0-9]*)$", 1), 6, "0").alias("number"), t.alias("name"))))
+    prefix = F.when(named != "", F.concat(F.array_join(F.transform(sorted_targets, lambda t: t["name"]), "/"), F.lit("-Targeted "))).otherwise("")
+    one = lambda pattern, name: F.when(text.rlike(pattern), F.concat(prefix, F.lit(name)))
+    found = [one(rf"(?i)\b{n}-?specific antibod(?:y|ies)\b", f"{n.capitalize()}specific Antibody") for n in ("bi", "tri")]
+    found += [one(rf"\b{p}s?\b", p) for p in PLATFORMS]
+    for word in TARGETED:
+        before = F.regexp_extract(text, rf"(?i)\b(?:an? |the )?((?:(?!an? |the |is |and |or |with |of )[A-Za-z0-9-]+ ){{1,2}}){word}s?\b", 1)
+        found.append(F.when(before != "", title_case(F.concat(before, F.lit(word)))))
+    found += [F.when(text.rlike(p), F.lit(c)) for p, c in ALWAYS]
+    return F.when(text.rlike(NOT_EXTRACTED), F.array().cast("array<string>")).otherwise(F.filter(F.array(*found), lambda x: x.isNotNull()))
+
+
+def without_general(names: Column) -> Column:
+    """Anti-Metabolite goes where another class is named, and Immune Checkpoint Inhibitor where an inhibitor of a target is."""
+    special = F.filter(names, lambda n: ~F.lower(n).isin("anti-metabolite", "antimetabolite"))
+    left = F.when(F.size(special) > 0, special).otherwise(names)
+    inhibitors = F.exists(left, lambda n: n.rlike(r"(?i)[- ]inhibitor$") & (F.lower(n) != "immune checkpoint inhibitor"))
+    return F.when(inhibitors, F.filter(left, lambda n: F.lower(n) != "immune checkpoint inhibitor")).otherwise(left)
+
+
+def keeps_wording(name: Column, source: Column) -> Column:
+    """Whether every word of a class occurs in the text it was taken from, but for Targeted, Therapy and Inhibitor, which the formatting adds."""
+    words = F.filter(F.split(F.lower(name), r"[^a-z0-9]+"), lambda w: (w != "") & ~w.isin("targeted", "therapy", "inhibitor"))
+    return F.forall(words, lambda w: F.contains(_said(source), w))
+
+
+def _said(source: Column) -> Column:
+    """A text in lower case, with abbreviations in full, plurals in -ies singular and multispecifics in one word."""
+    out = F.regexp_replace(F.regexp_replace(F.lower(source), r"ies\b", "y"), r"\b(bi|tri)-specific\b", "$1specific")
+    for short, long in ABBREVIATIONS.items():
+        out = F.regexp_replace(out, rf"\b{short.lower()}s?\b", long.lower())
+    return out
+
+
+def keeps_modality(name: Column, source: Column) -> Column:
+    """Whether the modality of a class is one that its text names; blockers and blockades count as inhibitors."""
+    said = F.regexp_replace(_said(source), r"block(?:ers?|ade)", "inhibitor")
+    mine = F.filter(F.array(*[F.lit(m) for m in MODALITIES]), lambda m: F.contains(F.lower(name), m))
+    return F.forall(mine, lambda m: F.contains(said, m))
+
+
+def accepted(confidence: Column, choice: Column, choices: tuple[str, ...], low: float = 0.0, high: float = 1.0) -> Column:
+    """Whether a number is within its bounds and a choice is one of those allowed; null is not."""
+    return F.coalesce(confidence.between(low, high) & choice.isin(*choices), F.lit(False))
+
+
 def parts_of(drug: Column) -> Column:
     """A regimen's drugs; an unknown one is itself."""
     known = F.coalesce(*[F.when(F.upper(drug) == r, F.array(*[F.lit(c) for c in cs])) for r, cs in REGIMENS.items()])

@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 WHITE = r"[ \t\n\x0B\f\r ]"
 STRINGS = "array<string>"
@@ -54,6 +55,36 @@ def json_text(value: Column) -> Column:
     return or_empty(F.to_json(value))
 
 
+def pretty_json(value: Column, kind: DataType | str) -> Column:
+    """JSON with an indent of two, other scripts as they are; empty for null. kind: the value's type. Fields that are null are left out."""
+    return or_empty(_pretty(value, kind if isinstance(kind, DataType) else DataType.fromDDL(kind), ""))
+
+
+def _pretty(value: Column, kind: DataType, indent: str) -> Column:
+    deeper = indent + "  "
+
+    def block(items: Column, opening: str, closing: str) -> Column:
+        lines = F.concat(F.lit(f"{opening}\n{deeper}"), F.array_join(items, f",\n{deeper}"), F.lit(f"\n{indent}{closing}"))
+        return F.when(items.isNull(), F.lit(None).cast("string")).when(F.size(items) == 0, opening + closing).otherwise(lines)
+
+    def named(name: Column, item: Column, item_kind: DataType) -> Column:
+        return F.concat(_quoted(name), F.lit(": "), F.coalesce(_pretty(item, item_kind, deeper), F.lit("null")))
+
+    if isinstance(kind, ArrayType):
+        return block(F.transform(value, lambda x: F.coalesce(_pretty(x, kind.elementType, deeper), F.lit("null"))), "[", "]")
+    if isinstance(kind, MapType):
+        return block(F.transform(F.map_entries(value), lambda e: named(e["key"].cast("string"), e["value"], kind.valueType)), "{", "}")
+    if isinstance(kind, StructType):
+        fields = F.array(*[F.when(value[f.name].isNotNull(), named(F.lit(f.name), value[f.name], f.dataType)) for f in kind.fields])
+        return F.when(value.isNull(), F.lit(None).cast("string")).otherwise(block(F.filter(fields, lambda x: x.isNotNull()), "{", "}"))
+    return _quoted(value) if isinstance(kind, StringType) else value.cast("string")
+
+
+def _quoted(text: Column) -> Column:
+    listed_one = F.to_json(F.array(text))
+    return F.when(text.isNotNull(), F.substring(listed_one, F.lit(2), F.length(listed_one) - 2))
+
+
 def parsed_list(text: Column) -> Column:
     """A list from JSON, `;;` or comma separated text, or one value; items stripped, empty ones dropped. Bad JSON falls through."""
     bare = strip(or_empty(text))
@@ -171,6 +202,22 @@ def rounded(seconds: Column) -> Column:
     return F.round(seconds, 2)
 
 
+# What a search for a drug's classes asks for, and where.
+CLASS_TERMS = ("Mechanism of Action", "12.1 Mechanism of Action", "MoA", "mode of action", "Pharmacologic Class", "Pharmacological Class", "Chemical Class", "Therapeutic Class", "Drug Class")
+CLASS_DOMAINS = ("nih.gov", "fda.gov", "clinicaltrials.gov")
+
+
+def class_query(drug: Column) -> Column:
+    """The boolean query for a drug's classes."""
+    return F.concat(F.lit('("'), drug, F.lit('" AND (' + " OR ".join(f'"{t}"' for t in CLASS_TERMS) + "))"))
+
+
+def in_domains(url: Column, domains: tuple[str, ...] = CLASS_DOMAINS) -> Column:
+    """Whether a URL's host is one of the domains or lies below one."""
+    host = F.lower(F.regexp_extract(url, r"^[a-zA-Z]+://([^/:?#]+)", 1))
+    return F.exists(F.array(*[F.lit(d) for d in domains]), lambda d: (host == d) | host.endswith(F.concat(F.lit("."), d)))
+
+
 def firms_key(firms: Column) -> Column:
     """Canonical JSON text of a set of names: lower case, stripped, sorted, as `["a", "b"]`."""
     names = F.array_sort(F.filter(F.transform(firms, lambda x: strip(F.lower(x))), lambda x: x != ""))

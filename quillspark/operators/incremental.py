@@ -13,9 +13,9 @@ from quillspark.sources.scratch import written
 Step = Callable[[DataFrame], DataFrame]
 
 
-def memoised(inputs: DataFrame, done: DataFrame, keys: list[str], step: Step, succeeded: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def memoised(inputs: DataFrame, done: DataFrame, keys: list[str], step: Step, succeeded: Column | None = None, save: Callable[[DataFrame, str], DataFrame] = written) -> tuple[DataFrame, DataFrame]:
     """All results, and the new ones that are to be kept. Inputs with a kept result are not computed again; failures aren't kept."""
-    new = step(inputs.join(done.select(*keys), keys, "left_anti"))
+    new = save(step(inputs.join(done.select(*keys), keys, "left_anti")), "computed")  # once, however often both results are read
     kept = new if succeeded is None else new.where(succeeded)
     return done.join(inputs.select(*keys), keys, "left_semi").unionByName(new), kept
 
@@ -30,7 +30,7 @@ def resumable(items: DataFrame, kept: DataFrame, keys: list[str], item: str, ste
     at, live, found = [*keys, item], items.select(*keys, item), []
     for name, step in steps.items():
         done = kept.where((F.col("step") == name) & (F.col("status") == "success")).select(*at, "status", F.lit(False).alias("computed")).distinct()
-        results, _ = memoised(live, done, at, lambda new: save(step(new).select(*at, "status", F.lit(True).alias("computed")), name))  # noqa: B023
+        results, _ = memoised(live, done, at, lambda new: step(new).select(*at, "status", F.lit(True).alias("computed")), save=lambda new, _: save(new, name))  # noqa: B023
         found.append(results.withColumn("step", F.lit(name)))
         stopped = live.join(results.where("status = 'success'"), at, "left_anti").select(*keys).distinct()
         live = written(live.join(stopped, keys, "left_anti"), "live")
@@ -48,7 +48,7 @@ def workflow(records: DataFrame, kept: DataFrame, keys: list[str], pipelines: di
     for name, (step, needed) in pipelines.items():
         done = kept.where((F.col("pipeline") == name) & (F.col("status") == "success")).select(*keys, F.lit("complete").alias("status"), "output")
         wanted = live if needed is None else live.join(outputs[needed].where(F.size("output") > 0), keys, "left_semi")
-        results, _ = memoised(wanted, done, keys, lambda new: save(step(new).select(*keys, "status", "output"), name))  # noqa: B023
+        results, _ = memoised(wanted, done, keys, lambda new: step(new).select(*keys, "status", "output"), save=lambda new, _: save(new, name))  # noqa: B023
         outputs[name] = written(wanted.join(results, keys, "left").withColumn("status", F.coalesce("status", F.lit("exception"))), name)
         reached = live.join(outputs[name].select(*keys, "status"), keys, "left").select(*keys, F.coalesce("status", F.lit("skipped")).alias(name))
         state = state.join(reached, keys, "left").withColumn(name, F.coalesce(name, F.lit("not_run")))
@@ -61,10 +61,38 @@ def cached_lookup(wanted: DataFrame, cache: DataFrame, keys: list[str], results:
     """Results of all wanted keys, and what was fetched. A cached empty list counts as missing. Each missing key is fetched once."""
     full = cache.where(F.size(results) > 0)
     keyed = wanted.select(*keys).distinct()
-    fetched = fetch(keyed.join(full.select(*keys), keys, "left_anti"))
+    fetched = written(fetch(keyed.join(full.select(*keys), keys, "left_anti")), "fetched")  # once, however often both results are read
     return keyed.join(full, keys).unionByName(fetched), fetched
 
 
+def standalone(items: DataFrame, keys: list[str], item: str, step: Step) -> DataFrame:
+    """A step by itself, without checkpoints: keys, item, output of the records of which every item succeeded; of the others nothing is kept.
+
+    step adds `status` and `output` to the items. An item without an answer counts as failed.
+    """
+    results = written(step(items.select(*keys, item)).select(*keys, item, "status", "output"), "standalone")
+    failed = items.select(*keys, item).join(results.where("status = 'success'"), [*keys, item], "left_anti").select(*keys).distinct()
+    return results.join(failed, keys, "left_anti").select(*keys, item, "output")
+
+
+def transition(step: Column, outcome: Column, at: Column, calls: Column, error: Column) -> Column:
+    """A step's status record after an outcome: running, success or failed set what belongs to them, and a success clears an error.
+
+    step: struct<status, llm_calls, started_at, completed_at, failed_at, error, attempts>, or null for none yet.
+    """
+    old = lambda f: step[f]
+    ran, ok, bad = (outcome == s for s in ("running", "success", "failed"))
+    return F.struct(
+        outcome.alias("status"), calls.alias("llm_calls"), F.when(ran, at).otherwise(old("started_at")).alias("started_at"), F.when(ok, at).otherwise(old("completed_at")).alias("completed_at"),
+        F.when(bad, at).otherwise(old("failed_at")).alias("failed_at"), F.when(bad, error).when(~ok, old("error")).alias("error"), (F.coalesce(old("attempts"), F.lit(0)) + bad.cast("int")).alias("attempts"),
+    )
+
+
+def resumed(status: Column) -> tuple[Column, Column]:
+    """A record's status and errors when it is taken up again: running, without the errors of the run before; pending without a status."""
+    return F.when(status.isNotNull(), "running").otherwise("pending"), F.array().cast("array<string>")
+
+
 def fallback(rows: DataFrame, classes: str, second: Step) -> DataFrame:
     """Rows with no class, or only NA, go through `second`; the others pass. The branches are split, so `second` never sees the others."""
     empty = (F.size(classes) <= 0) | (F.col(classes) == F.array(F.lit("NA"))) | F.col(classes).isNull()

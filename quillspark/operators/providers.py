@@ -8,6 +8,8 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.sources.scratch import written
+
 
 class Provider(Protocol):
     def __call__(self, requests: DataFrame) -> DataFrame:
@@ -60,11 +62,58 @@ def short_circuit(rows: DataFrame, known: Column, answer: Column, provider: Prov
 
 def agent_loop(rows: DataFrame, step: Callable[[DataFrame], DataFrame], done: Column, most: int = 100) -> DataFrame:
     """Repeats a step on the rows that aren't done, up to `most` times; all rows come back."""
-    finished = rows.where(done)
-    rest = rows.where(~done)
+    finished, rest = rows.where(done), rows.where(~done)
     for _ in range(most):
         if rest.isEmpty():
             break
-        rest = step(rest)
+        rest = written(step(rest), "round")  # a round's calls are made once, not again by each later one
         finished, rest = finished.unionByName(rest.where(done)), rest.where(~done)
     return finished.unionByName(rest)
+
+
+# The most batches of a kind of step that call out at the same time.
+CONCURRENT = {"drug": 15, "drug_class": 10, "indication_extraction": 20, "indication_validation": 5, "checkpoint": 50}
+
+
+def capped(call: Callable[[list[dict]], list[str]], kind: str) -> Provider:
+    """external() with the concurrency that its kind of step allows: one task a batch in flight."""
+    return external(call, CONCURRENT[kind])
+
+
+def metered(provider: Provider, tokens: Callable[[Column], Column]) -> Callable[[DataFrame], DataFrame]:
+    """abstract_id, output, llm_calls, tokens, error: the answer as JSON with what it cost inside, as steps hand it on, and taken out again.
+
+    tokens: what an answer costs. A failed call costs one call and no tokens.
+    """
+
+    def run(requests: DataFrame) -> DataFrame:
+        answers = provider(requests)
+        cost = F.when(F.col("response").isNotNull(), tokens(F.col("response"))).otherwise(F.lit(0)).cast("long")
+        wire = F.to_json(F.struct(F.col("response").alias("value"), F.lit(1).alias("_llm_calls"), cost.alias("_token_usage")))
+        read = F.from_json(wire, "value string, _llm_calls long, _token_usage long")
+        return answers.select("abstract_id", read["value"].alias("output"), F.coalesce(read["_llm_calls"], F.lit(1)).alias("llm_calls"), read["_token_usage"].alias("tokens"), "error")
+
+    return run
+
+
+def guarded(provider: Provider) -> Callable[[DataFrame], DataFrame]:
+    """abstract_id, validation_status, issues: a validation that never stops a batch; one that fails is a REVIEW with a system_error."""
+
+    def run(requests: DataFrame) -> DataFrame:
+        issue = F.struct(F.lit("system_error").alias("check_type"), F.lit("high").alias("severity"), F.col("error").alias("description"))
+        none = F.array().cast("array<struct<check_type:string,severity:string,description:string>>")
+        answers = provider(requests)
+        return answers.select("abstract_id", F.coalesce("response", F.lit("REVIEW")).alias("validation_status"), F.when(F.col("error").isNotNull(), F.array(issue)).otherwise(none).alias("issues"))
+
+    return run
+
+
+def consolidated(explicit: Column, selections: Column) -> Column:
+    """What is known without a call: NA without explicit classes, those as they are without selections; else null.
+
+    struct<refined, removed, reasoning>.
+    """
+    none = F.array().cast("array<string>")
+    answer = lambda refined, why: F.struct(refined.alias("refined"), none.alias("removed"), F.lit(why).alias("reasoning"))
+    empty = explicit.isNull() | (F.size(explicit) <= 0) | (explicit == F.array(F.lit("NA")))
+    return F.when(empty, answer(F.array(F.lit("NA")), "No explicit drug classes to consolidate.")).when(selections.isNull() | (F.size(selections) <= 0), answer(explicit, "No drug selections to compare against."))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import first_filled, json_text, keyed_lines, listed, or_empty
+from quillspark.functions.text import first_filled, keyed_lines, listed, or_empty, pretty_json
 from quillspark.operators.records import combined
 from quillspark.sources.sinks import validation_text
 
@@ -33,10 +33,18 @@ def drug_export(abstracts: DataFrame, documents: dict[str, DataFrame]) -> DataFr
     documents: by step, tables with abstract_id and
     drug_extraction (primary_drugs, secondary_drugs, comparator_drugs, reasoning), drug_validation (validation_status, grounded_search_performed, search_results, missed_drugs, issues_found, validation_reasoning),
     drug_class_step1 (components), _step2 (classes, details), _step3 (selections, reasoning), _step4 (explicit_drug_classes, extraction_details), _step5 (refined_explicit_classes, removed_classes, reasoning),
-    drug_class_validation (missed). Maps are ordered: array<struct<key, items>>.
+    drug_class_validation (missed). Maps are ordered: array<struct<key, items>>; details and reasoning of a step are maps or lists, shown as JSON.
     """
-    rows = _documents(abstracts, documents)
+    return drug_columns(_documents(abstracts, documents), abstracts.columns)
+
+
+def drug_columns(rows: DataFrame, columns_of_input: list[str]) -> DataFrame:
+    """The columns of drug_export, of rows that have the documents of their steps as structs."""
     c = F.col
+
+    def json_text(value: Column) -> Column:
+        return pretty_json(value, rows.select(value).schema[0].dataType)
+
     columns = {
         "drug_extraction_primary_drugs": listed(c("drug_extraction.primary_drugs")),
         "drug_extraction_secondary_drugs": listed(c("drug_extraction.secondary_drugs")),
@@ -61,13 +69,17 @@ def drug_export(abstracts: DataFrame, documents: dict[str, DataFrame]) -> DataFr
         "drug_class_combined_all_classes": combined([_classes(c("drug_class_step3.selections")), c("drug_class_step5.refined_explicit_classes")]),
         "drug_class_validation_missed_drug_classes": keyed_lines(c("drug_class_validation.missed"), skip_empty=True),
     }
-    return rows.select(*[F.col(f"`{x}`") for x in abstracts.columns], *[e.alias(n) for n, e in columns.items()])
+    return rows.select(*[F.col(f"`{x}`") for x in columns_of_input], *[e.alias(n) for n, e in columns.items()])
 
 
 def indication_export(abstracts: DataFrame, extraction: DataFrame, validation: DataFrame) -> DataFrame:
     """The input's columns, then 4 of the extraction and 4 of the validation."""
     rows = _documents(abstracts, {"e": extraction, "v": validation})
     c = F.col
+
+    def json_text(value: Column) -> Column:
+        return pretty_json(value, rows.select(value).schema[0].dataType)
+
     return rows.select(
         *[F.col(f"`{x}`") for x in abstracts.columns],
         or_empty(c("e.selected_source")).alias("extraction_selected_source"), or_empty(c("e.generated_indication")).alias("extraction_generated_indication"),
@@ -81,7 +93,7 @@ def metrics_export(base: DataFrame, steps: DataFrame) -> DataFrame:
     """One row a record: BASE, METRICS of each of STEPS as cells (empty for none), errors: 59 columns. base has BASE and errors (array); steps is long: abstract_id, step, METRICS. Records without a status are left out."""
     wide = steps.groupBy("abstract_id").pivot("step", list(STEPS)).agg(*[F.first(m).alias(m) for m in METRICS])
     rows = base.join(wide, "abstract_id", "left")
-    return rows.select(*BASE, *[or_empty(F.col(f"{s}_{m}").cast("string")).alias(f"{s}_{m}") for s in STEPS for m in METRICS], F.when(F.size("errors") > 0, json_text(F.col("errors"))).otherwise("").alias("errors"))
+    return rows.select(*BASE, *[or_empty(F.col(f"{s}_{m}").cast("string")).alias(f"{s}_{m}") for s in STEPS for m in METRICS], F.when(F.size("errors") > 0, pretty_json(F.col("errors"), "array<string>")).otherwise("").alias("errors"))
 
 
 def nested_get(document: Column, path: str) -> Column:
@@ -95,9 +107,16 @@ def aliased(document: Column, snake: str, title: str) -> Column:
     return first_filled(one(snake), one(title))
 
 
-def search_outcome(found: Column) -> Column:
-    """Names, distinct sources and the first detail of array<struct<name, url>>."""
-    return F.struct(F.transform(found, lambda x: x["name"]).alias("names"), F.array_distinct(F.filter(F.transform(found, lambda x: x["url"]), lambda u: u != "")).alias("sources"))
+def search_outcome(found: Column, none_found: Column | bool = False) -> Column:
+    """Names (NA for none), distinct sources, details and success of array<struct<name, url>>. none_found: what the search itself says."""
+    names = F.filter(F.transform(found, lambda x: x["name"]), lambda n: n != "")
+    empty = (F.lit(none_found) if isinstance(none_found, bool) else none_found) | (F.coalesce(F.size(found), F.lit(0)) <= 0)
+    details = F.transform(found, lambda x: F.struct(x["name"].alias("extracted_text"), x["name"].alias("normalized_form"), x["url"].alias("source")))
+    return F.struct(
+        F.when(~empty & (F.size(names) > 0), names).otherwise(F.array(F.lit("NA"))).alias("names"),
+        F.when(~empty, F.array_distinct(F.filter(F.transform(found, lambda x: x["url"]), lambda u: u != ""))).otherwise(F.array().cast("array<string>")).alias("sources"),
+        F.when(~empty, details).otherwise(F.slice(details, 1, 0)).alias("details"), (~empty & (F.size(names) > 0)).alias("success"),
+    )
 
 
 def explicit_outcome(found: Column) -> Column:

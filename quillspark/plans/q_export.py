@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from quillspark.functions import text as T
 from quillspark.operators import providers as L
 from quillspark.operators import records as R
-from quillspark.operators.incremental import Step, workflow
+from quillspark.operators.incremental import Step, standalone, workflow
 from quillspark.plans import export as X
 from quillspark.plans import views as V
+from quillspark.plans.layouts import merged
 from quillspark.plans.registry import query
 from quillspark.sources import documents as D
 from quillspark.sources import sinks as K
@@ -30,63 +31,72 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
     return V.table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("abstract_id"), F.col("o_orderpriority").alias("abstract_title"))
 
 
-def _documents(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """The steps' documents. They are a table on disk, as checkpoints of steps are, made in one pass over the lines."""
+def _records_with_steps(spark: SparkSession, d: str) -> DataFrame:
+    """Records with the documents of their steps as structs, made in one pass over the lines. They are a table on disk, as checkpoints of steps are."""
     rows = V.drugs(spark, d)
     lists = rows.groupBy("abstract_id").agg(
         _names(rows, F.col("class_type") == "MoA").alias("primary"), _names(rows, F.col("class_type") == "Chemical").alias("secondary"), _names(rows, F.col("class_type") == "Mode").alias("comparator"),
         F.max("severity").alias("severity"), F.max("pos").alias("pos"), _names(rows, F.col("tokens") > 48).alias("missed"), _names(rows, F.col("severity") == "high", "severity").alias("issues"), _names(rows, F.col("pos") == 1, "drug_class").alias("explicit"),
+        F.array_sort(F.collect_list(F.struct("pos", "drug", "drug_class", "class_type", "status"))).alias("lines"),
     )
     per_drug = rows.groupBy("abstract_id", "drug").agg(F.min("pos").alias("pos"), F.array_sort(F.collect_set("drug_class")).alias("all"), _names(rows, F.col("status") == "success", "drug_class").alias("done"))
     maps = R.nested(per_drug, ["abstract_id"], ["pos", "drug"], ["drug", "all", "done"])
-    facts = written(lists.join(maps, "abstract_id"), "step-outputs")
     entries = lambda items: F.transform("entries", lambda e: F.struct(e["drug"].alias("key"), items(e).alias("items")))
-    nothing = F.lit(None).cast("array<string>")
-    pick = lambda **columns: facts.select("abstract_id", *[c.alias(n) for n, c in columns.items()])
-    c = F.col
-    validation = pick(
-        validation_status=F.when(c("severity") == "medium", "REVIEW").otherwise("PASS"), grounded_search_performed=c("pos") > 3, search_results=nothing, missed_drugs=c("missed"), issues_found=c("issues"), validation_reasoning=F.lit("checked")
-    )
-    return {
-        "drug_extraction": pick(primary_drugs=c("primary"), secondary_drugs=c("secondary"), comparator_drugs=c("comparator"), reasoning=F.array(F.lit("by type"))),
-        "drug_validation": validation.where("abstract_id % 3 <> 0"),
-        "drug_class_step1": pick(components=entries(lambda e: F.array(e["drug"]))),
-        "drug_class_step2": pick(classes=entries(lambda e: e["all"]), details=nothing),
-        "drug_class_step3": pick(selections=entries(lambda e: e["done"]), reasoning=nothing),
-        "drug_class_step4": pick(explicit_drug_classes=c("explicit"), extraction_details=nothing),
-        "drug_class_step5": pick(refined_explicit_classes=c("explicit"), removed_classes=F.array().cast("array<string>"), reasoning=F.lit("kept")).where("abstract_id % 2 = 0"),
-        "drug_class_validation": pick(missed=entries(lambda e: e["done"])),
+    # A drug of several lines has several entries: the last one counts, at the place of the first.
+    by_line = lambda items: F.map_from_entries(merged(F.transform("lines", lambda e: F.struct(e["drug"].alias("key"), items(e).alias("items")))))
+    c, one = F.col, lambda **columns: F.struct(*[x.alias(n) for n, x in columns.items()])
+    validation = one(
+        validation_status=F.when(c("severity") == "medium", "REVIEW").otherwise("PASS"), grounded_search_performed=c("pos") > 3, search_results=F.transform("missed", lambda x: F.struct(x.alias("drug_queried"), F.lit(True).alias("is_therapeutic_drug"))),
+        missed_drugs=c("missed"), issues_found=c("issues"), validation_reasoning=F.lit("checked"),
+    )
+    steps = {
+        "drug_extraction": one(primary_drugs=c("primary"), secondary_drugs=c("secondary"), comparator_drugs=c("comparator"), reasoning=F.array(F.lit("by type"))),
+        "drug_validation": F.when(c("abstract_id") % 3 != 0, validation),
+        "drug_class_step1": one(components=entries(lambda e: F.array(e["drug"]))),
+        "drug_class_step2": one(classes=entries(lambda e: e["all"]), details=by_line(lambda e: F.array(F.struct(e["drug_class"].alias("extracted_text"), e["class_type"].alias("class_type"))))),
+        "drug_class_step3": one(selections=entries(lambda e: e["done"]), reasoning=by_line(lambda e: e["status"])),
+        "drug_class_step4": one(explicit_drug_classes=c("explicit"), extraction_details=F.transform("explicit", lambda x: F.struct(x.alias("extracted_text"), F.lit("abstract_title").alias("source")))),
+        "drug_class_step5": F.when(c("abstract_id") % 2 == 0, one(refined_explicit_classes=c("explicit"), removed_classes=F.array().cast("array<string>"), reasoning=F.lit("kept"))),
+        "drug_class_validation": one(missed=entries(lambda e: e["done"])),
     }
+    return written(lists.join(maps, "abstract_id").select("abstract_id", *[x.alias(n) for n, x in steps.items()]), "step-outputs")
 
 
 _AGG = "coalesce(string_agg(distinct {v}, ';;' order by {v}) filter ({c}), '')"
+_NL = "|| chr(10) ||"
+_OBJECT = lambda *fields: "'    {' " + _NL + " " + f" || ',' {_NL} ".join(f"""'      "{n}": "' || {e} || '"'""" for n, e in fields) + f" {_NL} '    }}'"
+_MAP = lambda item: f"""'{{' {_NL} string_agg('  "' || drug || '": ' || {item}, ',' || chr(10) order by k) {_NL} '}}'"""
+_OBJECTS = lambda names, first, second: f"""case when len({names}) > 0 then '[' {_NL} array_to_string(list_transform({names}, lambda x: '  {{' {_NL} '    "{first}": "' || x || '",' {_NL} '    {second}' {_NL} '  }}'), ',' || chr(10)) {_NL} ']' else '[]' end"""
 _EXPORT = V.sql(
     f"""+b as (select abstract_id, {_AGG.format(v='drug', c="class_type = 'MoA'")} as p, {_AGG.format(v='drug', c="class_type = 'Chemical'")} as s, {_AGG.format(v='drug', c="class_type = 'Mode'")} as c,
-    max(severity) as sev, max(pos) > 3 as g, {_AGG.format(v='drug', c='tokens > 48')} as m, bool_or(severity = 'high') as h, {_AGG.format(v='drug_class', c='pos = 1')} as x from drugs group by abstract_id),
+    coalesce(array_agg(distinct drug order by drug) filter (tokens > 48), []) as ml, coalesce(array_agg(distinct drug_class order by drug_class) filter (pos = 1), []) as xl, max(severity) as sev, max(pos) > 3 as g, {_AGG.format(v='drug', c='tokens > 48')} as m, bool_or(severity = 'high') as h, {_AGG.format(v='drug_class', c='pos = 1')} as x from drugs group by abstract_id),
   e as (select abstract_id, drug, min(pos) as pos, string_agg(distinct drug_class, ';;' order by drug_class) as a, {_AGG.format(v='drug_class', c="status = 'success'")} as d from drugs group by abstract_id, drug),
   l as (select abstract_id, string_agg('"' || drug || '": ' || drug, chr(10) order by pos, drug) as l1, string_agg('"' || drug || '": ' || a, chr(10) order by pos, drug) as l2, string_agg('"' || drug || '": ' || d, chr(10) order by pos, drug) as l3,
     coalesce(string_agg('"' || drug || '": ' || d, chr(10) order by pos, drug) filter (d <> ''), '') as l4 from e group by abstract_id),
+  r as (select *, row_number() over (partition by abstract_id order by pos, drug, drug_class, class_type, status) as k from drugs), f as (select abstract_id, drug, min(k) as k, arg_max(drug_class, k) as dc, arg_max(class_type, k) as ct, arg_max(status, k) as st from r group by abstract_id, drug),
+  j as (select abstract_id, {_MAP(f"'[' {_NL} " + _OBJECT(("extracted_text", "dc"), ("class_type", "ct")) + f" {_NL} '  ]'")} as j2, {_MAP("""'"' || st || '"'""")} as j3 from f group by abstract_id),
   u as (select abstract_id, string_agg(distinct drug_class, ';;' order by drug_class) as u from drugs where status = 'success' or (pos = 1 and abstract_id::bigint % 2 = 0) group by abstract_id)
   select cast(o_orderkey as varchar) as abstract_id, o_orderpriority as abstract_title, coalesce(p, '') as drug_extraction_primary_drugs, coalesce(s, '') as drug_extraction_secondary_drugs, coalesce(c, '') as drug_extraction_comparator_drugs,
-    case when p is null then '' else '["by type"]' end as drug_extraction_reasoning, case when v then case sev when 'medium' then 'REVIEW' else 'PASS' end else '' end as drug_validation_status,
-    case when v then case when g then 'true' else 'false' end else '' end as drug_validation_grounded_search_performed, '' as drug_validation_search_results, case when v then m else '' end as drug_validation_missed_drugs,
-    case when v then case when h then '["high"]' else '[]' end else '' end as drug_validation_issues_found, case when v then 'checked' else '' end as drug_validation_reasoning,
-    coalesce(l1, '') as drug_class_step1_drug_to_components, coalesce(l2, '') as drug_class_step2_drug_classes, '' as drug_class_step2_extraction_details, coalesce(l3, '') as drug_class_step3_selected_drug_classes, '' as drug_class_step3_reasoning,
-    coalesce(x, '') as drug_class_step4_explicit_drug_classes, '' as drug_class_step4_extraction_details, case when w then x else '' end as drug_class_step5_refined_explicit_classes, '' as drug_class_step5_removed_classes,
+    case when p is null then '' else '[' {_NL} '  "by type"' {_NL} ']' end as drug_extraction_reasoning, case when v then case sev when 'medium' then 'REVIEW' else 'PASS' end else '' end as drug_validation_status,
+    case when v then case when g then 'true' else 'false' end else '' end as drug_validation_grounded_search_performed, case when v then {_OBJECTS('ml', 'drug_queried', '"is_therapeutic_drug": true')} else '' end as drug_validation_search_results, case when v then m else '' end as drug_validation_missed_drugs,
+    case when v then case when h then '[' {_NL} '  "high"' {_NL} ']' else '[]' end else '' end as drug_validation_issues_found, case when v then 'checked' else '' end as drug_validation_reasoning,
+    coalesce(l1, '') as drug_class_step1_drug_to_components, coalesce(l2, '') as drug_class_step2_drug_classes, coalesce(j2, '') as drug_class_step2_extraction_details, coalesce(l3, '') as drug_class_step3_selected_drug_classes, coalesce(j3, '') as drug_class_step3_reasoning,
+    coalesce(x, '') as drug_class_step4_explicit_drug_classes, case when p is null then '' else {_OBJECTS('xl', 'extracted_text', '"source": "abstract_title"')} end as drug_class_step4_extraction_details, case when w then x else '' end as drug_class_step5_refined_explicit_classes, '' as drug_class_step5_removed_classes,
     case when w then 'kept' else '' end as drug_class_step5_reasoning, coalesce(u, '') as drug_class_combined_all_classes, coalesce(l4, '') as drug_class_validation_missed_drug_classes
-  from orders left join (select *, abstract_id::bigint % 3 <> 0 as v, abstract_id::bigint % 2 = 0 as w from b) b on b.abstract_id = cast(o_orderkey as varchar) left join l on l.abstract_id = cast(o_orderkey as varchar) left join u on u.abstract_id = cast(o_orderkey as varchar)""",
+  from orders left join (select *, abstract_id::bigint % 3 <> 0 as v, abstract_id::bigint % 2 = 0 as w from b) b on b.abstract_id = cast(o_orderkey as varchar) left join l on l.abstract_id = cast(o_orderkey as varchar) left join j on j.abstract_id = cast(o_orderkey as varchar) left join u on u.abstract_id = cast(o_orderkey as varchar)""",
     "drugs",
 )
 
 
 @query(_EXPORT)
 def p02_p10_drug_export(spark: SparkSession, d: str) -> DataFrame:
-    return X.drug_export(_records(spark, d), _documents(spark, d))
+    records, steps = _records(spark, d), _records_with_steps(spark, d)
+    return X.drug_columns(records.join(steps, "abstract_id", "left"), records.columns)
 
 
 @query(V.sql("""select a.abstract_id, a.session_title, case when l.id is null then '' else upper(a.session_title) end as extraction_generated_indication, case when l.id is null then '' else 'session_title' end as extraction_selected_source, case when l.id is null then '' else 'named' end as extraction_reasoning,
-  case when l.id is null then '' else '["r1"]' end as extraction_rules_retrieved, case when v.validation_status = 'PASS' then 'PASS' when v.validation_status = 'FAIL' then 'ERROR: timed out' else 'Validation not completed' end as validation_status,
-  case when v.abstract_id is null then '' else '[]' end as validation_issues_found, case when v.abstract_id is null then '' else '{"source":true}' end as validation_checks_performed, case when v.abstract_id is null then '' else 'ok' end as validation_reasoning
+  case when l.id is null then '' else '[' || chr(10) || '  "r1"' || chr(10) || ']' end as extraction_rules_retrieved, case when v.validation_status = 'PASS' then 'PASS' when v.validation_status = 'FAIL' then 'ERROR: timed out' else 'Validation not completed' end as validation_status,
+  case when v.abstract_id is null then '' else '[]' end as validation_issues_found, case when v.abstract_id is null then '' else '{' || chr(10) || '  "source": true' || chr(10) || '}' end as validation_checks_performed, case when v.abstract_id is null then '' else 'ok' end as validation_reasoning
   from abstracts a left join (select abstract_id as id from validations where validation_status <> 'FAIL') l on l.id = a.abstract_id left join validations v on v.abstract_id = a.abstract_id""", "abstracts", "validations"))
 def p11_p12_indication_export(spark: SparkSession, d: str) -> DataFrame:
     rows, v = V.abstracts(spark, d).select("abstract_id", "session_title"), V.validations(spark, d)
@@ -115,7 +125,7 @@ _CELLS = ", ".join(f"coalesce({s}_{m}, '') as {s}_{m}" for s in X.STEPS for m in
 
 @query(f"""with w as (select l_orderkey, {_WIDE} from (select l_orderkey, l_linenumber, max(l_linestatus) as l_linestatus, max(l_quantity) as l_quantity from lineitem group by 1, 2) group by 1)
   select cast(o_orderkey as varchar) as abstract_id, o_orderpriority as abstract_title, o_orderstatus as overall_status, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') as last_updated, o_totalprice as duration_seconds, 1::bigint as total_llm_calls, 2::bigint as total_input_tokens, 3::bigint as total_output_tokens,
-  case o_orderstatus when 'P' then '["late","partial"]' else '' end as errors, {_CELLS} from orders left join w on l_orderkey = o_orderkey""")
+  case o_orderstatus when 'P' then '[' || chr(10) || '  "late",' || chr(10) || '  "partial"' || chr(10) || ']' else '' end as errors, {_CELLS} from orders left join w on l_orderkey = o_orderkey""")
 def p14_metrics_pivot(spark: SparkSession, d: str) -> DataFrame:
     o = V.table(spark, d, "orders")
     n = lambda x: F.lit(x).cast("long")
@@ -126,11 +136,19 @@ def p14_metrics_pivot(spark: SparkSession, d: str) -> DataFrame:
     return X.metrics_export(base, steps)
 
 
-@query(V.sql("select site, string_agg(name, '|' order by name) as names, (select count(distinct u) from unnest(list(url)) t(u)) as n_sources from (select page_id // 5 as site, 'p' || lpad(page_id::varchar, 6, '0') as name, url from search_results) group by site", "search_results"))
+@query(V.sql("select site, string_agg(name, '|' order by name) as names, (select count(distinct u) from unnest(list(url)) t(u)) as n_sources, min(name) as first_detail, count(*) as n_details, true as success from (select page_id // 5 as site, 'p' || lpad(page_id::varchar, 6, '0') as name, url from search_results) group by site", "search_results"))
 def p15_search_outcome(spark: SparkSession, d: str) -> DataFrame:
     rows = V.search_results(spark, d).groupBy(F.expr("page_id div 5").alias("site")).agg(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("p"), F.lpad(F.col("page_id").cast("string"), 6, "0")).alias("name"), "url"))).alias("found"))
     out = rows.select("site", X.search_outcome(F.col("found")).alias("o"))
-    return out.select("site", F.array_join("o.names", "|").alias("names"), F.size("o.sources").cast("long").alias("n_sources"))
+    first = F.get(F.col("o.details"), F.lit(0))["normalized_form"]
+    return out.select("site", F.array_join("o.names", "|").alias("names"), F.size("o.sources").cast("long").alias("n_sources"), first.alias("first_detail"), F.size("o.details").cast("long").alias("n_details"), F.col("o.success").alias("success"))
+
+
+@query(V.sql("select abstract_id, case when validation_status = 'FAIL' then 'NA' else validation_status end as names, validation_status <> 'FAIL' as success, case when validation_status = 'FAIL' then 0 else 1 end::bigint as n_details from validations", "validations"))
+def p15_nothing_found(spark: SparkSession, d: str) -> DataFrame:
+    found = F.array(F.struct(F.col("validation_status").alias("name"), F.lit("").alias("url")))
+    out = V.validations(spark, d).select("abstract_id", X.search_outcome(found, F.col("validation_status") == "FAIL").alias("o"))
+    return out.select("abstract_id", F.array_join("o.names", "|").alias("names"), F.col("o.success").alias("success"), F.size("o.details").cast("long").alias("n_details"))
 
 
 @query(V.sql("select abstract_id, coalesce(string_agg(distinct drug_class, ';;' order by drug_class) filter (class_type = 'MoA'), 'NA') as classes, 'abstract_title' as source from drugs group by abstract_id", "drugs"))
@@ -212,10 +230,25 @@ def s07_step_exists(spark: SparkSession, d: str) -> DataFrame:
     return V.abstracts(spark, d).select("abstract_id", "session_title").join(done.select("abstract_id"), "abstract_id", "left_semi")
 
 
-@query(V.sql("select abstract_id, abstract_title <> '' as for_step2, true as for_later_steps from abstracts where abstract_id <> ''", "abstracts"))
+@query(V.sql("+r as (select abstract_id, case when contains(session_title, '1') then '' else abstract_title end as title from abstracts) select abstract_id, 'step2' as loader from r where abstract_id <> '' and title <> '' union all select abstract_id, 'later' from r where abstract_id <> ''", "abstracts"))
 def s09_step_inputs(spark: SparkSession, d: str) -> DataFrame:
-    rows = V.abstracts(spark, d).where("abstract_id <> ''")
-    return rows.select("abstract_id", (F.col("abstract_title") != "").alias("for_step2"), F.lit(True).alias("for_later_steps"))
+    rows = V.abstracts(spark, d).select("abstract_id", F.when(F.contains(F.col("session_title"), F.lit("1")), " ").otherwise(F.col("abstract_title")).alias("title"))
+    loaded = lambda name, required: S.records(rows, ("abstract_id", "abstract_title"), required).select("abstract_id", F.lit(name).alias("loader"))
+    return loaded("step2", ("abstract_id", "abstract_title")).unionByName(loaded("later", ("abstract_id",)))
+
+
+@query("select n_nationkey::varchar as abstract_id, n_name as abstract_title, n_name || '|' || n_regionkey as firms from nation where n_nationkey <> 3 order by n_nationkey limit 10")
+def s10_batch_load(spark: SparkSession, d: str) -> DataFrame:
+    raw = V.table(spark, d, "nation").select("n_nationkey", F.when(F.col("n_nationkey") == 3, "").otherwise(F.col("n_nationkey").cast("string")).alias("ID"), F.concat(F.lit(" "), "n_name", F.lit(" ")).alias("title"), F.concat("n_name", F.lit(" ;; "), F.col("n_regionkey").cast("string"), F.lit(";;")).alias("Firm"))
+    return S.batch(raw, 10, ["n_nationkey"]).select("abstract_id", "abstract_title", F.array_join("firms", "|").alias("firms"))
+
+
+@query("select 'n' || n_nationkey as abstract_id from nation")
+def s14_prefix_listing(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch_path(spark, "store")
+    rows = V.table(spark, d, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("record"), "n_name")
+    rows.coalesce(1).write.partitionBy("record").text(f"{root}/abstracts")
+    return D.listed_ids(spark, root).select(F.regexp_replace("abstract_id", "record(=|%3D)", "").alias("abstract_id"))
 
 
 @query(V.sql("select abstract_id, coalesce(validation_status, '(none)') as document from abstracts left join validations using (abstract_id)", "abstracts", "validations"))
@@ -263,6 +296,12 @@ def s17_k09_prompt_file(spark: SparkSession, d: str) -> DataFrame:
     return D.read_prompt(spark, path).select(F.lit(1).alias("r_regionkey"), F.regexp_replace("prompt", "\n$", "").alias("prompt"))
 
 
+@query("select p_partkey, '(\"' || p_name || '\" AND (" + " OR ".join(f'"{t}"' for t in T.CLASS_TERMS) + "))' as search_query, p_size % 2 = 0 or p_size % 3 = 0 as in_domains from part")
+def s18_class_query(spark: SparkSession, d: str) -> DataFrame:
+    host = F.when(F.col("p_size") % 2 == 0, "www.FDA.gov").when(F.col("p_size") % 3 == 0, "nih.gov").otherwise("notnih.gov")
+    return V.table(spark, d, "part").select("p_partkey", T.class_query(F.col("p_name")).alias("search_query"), T.in_domains(F.concat(F.lit("https://"), host, F.lit("/x?fda.gov"))).alias("in_domains"))
+
+
 @query(V.sql("select n_nationkey, url from (select n_nationkey, p.url, row_number() over (partition by n_nationkey order by p.url, p.page_id) as k from nation join search_results p on p.page_id % 25 = n_nationkey) where k <= 3", "search_results"))
 def s18_search_source(spark: SparkSession, d: str) -> DataFrame:
     pages = V.search_results(spark, d).withColumn("n_nationkey", (F.col("page_id") % 25).cast("int"))
@@ -270,11 +309,32 @@ def s18_search_source(spark: SparkSession, d: str) -> DataFrame:
     return R.top_k(hits, ["n_nationkey"], [F.col("url"), F.col("page_id")], 3).select("n_nationkey", "url")
 
 
-@query(V.sql("select abstract_id, case when validation_status is null then '{\"error\":\"not processed\"}' else '{\"status\":\"' || validation_status || '\"}' end as model_response from abstracts left join validations using (abstract_id)", "abstracts", "validations"))
-def k03_k05_model_response(spark: SparkSession, d: str) -> DataFrame:
+@query(V.sql("""select abstract_id, '{' || chr(10) || case when validation_status is null then '  "error": "not processed"' else '  "status": "' || validation_status || '"' end || chr(10) || '}' as model_response from abstracts left join validations using (abstract_id)""", "abstracts", "validations"))
+def k03_model_response(spark: SparkSession, d: str) -> DataFrame:
     rows = V.abstracts(spark, d).select("abstract_id").join(V.validations(spark, d), "abstract_id", "left")
-    payload = F.when(F.col("validation_status").isNotNull(), F.to_json(F.struct(F.col("validation_status").alias("status"))))
-    return rows.select("abstract_id", K.model_response(payload, F.lit(None).cast("string")).alias("model_response"))
+    payload = F.when(F.col("validation_status").isNotNull(), F.struct(F.col("validation_status").alias("status")))
+    return rows.select("abstract_id", K.model_response(payload, "struct<status:string>", F.lit(None).cast("string")).alias("model_response"))
+
+
+_LIST = lambda items: f"""case when len({items}) > 0 then '[' {_NL} array_to_string(list_transform({items}, lambda x: '    "' || x || '"'), ',' || chr(10)) {_NL} '  ]' else '[]' end"""
+
+
+@query(V.sql(f"""+e as (select abstract_id, drug, min(pos) as pos, string_agg(distinct '        "' || drug_class || '"', ',' || chr(10) order by '        "' || drug_class || '"') as c from drugs where status = 'success' group by abstract_id, drug),
+  s as (select abstract_id, string_agg('    "' || drug || '": {{' {_NL} '      "selected_drug_classes": [' {_NL} c {_NL} '      ]' {_NL} '    }}', ',' || chr(10) order by pos, drug) as s from e where abstract_id::bigint % 5 <> 0 group by abstract_id),
+  x as (select abstract_id, coalesce(array_agg(distinct drug_class order by drug_class) filter (pos = 1), []) as x, coalesce(array_agg(distinct drug_class order by drug_class) filter (pos = 2), []) as f from drugs where abstract_id::bigint % 3 <> 0 group by abstract_id)
+  select o_orderkey::varchar as abstract_id, '{{' {_NL} '  "drug_selections": ' || coalesce('{{' {_NL} s {_NL} '  }}', '{{}}') || ',' {_NL} '  "explicit_drug_classes": ' || {_LIST("coalesce(x.x, [])")} || ',' {_NL} '  "final_drug_classes": ' || {_LIST("coalesce(x.f, [])")} || ',' {_NL}
+    '  "pipeline_status": "' || case when o_orderkey % 7 = 0 then 'not_processed' else o_orderstatus end || '",' {_NL} '  "total_llm_calls": ' || case when o_orderkey % 7 = 0 then 0 else 4 end {_NL} '}}' as model_response
+  from orders left join s on s.abstract_id = o_orderkey::varchar left join x on x.abstract_id = o_orderkey::varchar""", "drugs"))
+def k05_class_response(spark: SparkSession, d: str) -> DataFrame:
+    """Composed of the documents of steps 3 and 5 and of the status, each of which some records lack."""
+    rows = V.drugs(spark, d)
+    chosen = rows.where("status = 'success' and abstract_id % 5 <> 0").groupBy("abstract_id", "drug").agg(F.min("pos").alias("pos"), F.array_sort(F.collect_set("drug_class")).alias("classes"))
+    step3 = R.nested(chosen, ["abstract_id"], ["pos", "drug"], ["drug", "classes"])
+    step3 = step3.select("abstract_id", F.map_from_entries(F.transform("entries", lambda e: F.struct(e["drug"], F.struct(e["classes"].alias("selected_drug_classes"))))).alias("selections"))
+    step5 = rows.where("abstract_id % 3 <> 0").groupBy("abstract_id").agg(_names(rows, F.col("pos") == 1, "drug_class").alias("explicit"), _names(rows, F.col("pos") == 2, "drug_class").alias("final"))
+    status = V.table(spark, d, "orders").where("o_orderkey % 7 <> 0").select(F.col("o_orderkey").cast("string").alias("abstract_id"), F.col("o_orderstatus").alias("status"), F.lit(4).alias("calls"))
+    joined = _records(spark, d).select("abstract_id").join(step3, "abstract_id", "left").join(step5, "abstract_id", "left").join(status, "abstract_id", "left")
+    return joined.select("abstract_id", K.class_response(F.col("selections"), joined.schema["selections"].dataType, F.col("explicit"), F.col("final"), F.col("status"), F.col("calls")).alias("model_response"))
 
 
 @query(V.sql("select abstract_id, case when validation_status is null then 'Validation not completed' when validation_status = 'FAIL' then 'ERROR: rejected' else validation_status end as status from abstracts left join validations using (abstract_id)", "abstracts", "validations"))
@@ -319,24 +379,56 @@ def l05_l12_external_provider(spark: SparkSession, d: str) -> DataFrame:
     return L.external(lambda batch: [str(len(r["session_title"])) for r in batch], partitions=4)(V.abstracts(spark, d).select("abstract_id", "session_title"))
 
 
-@query("select p_partkey, least(greatest(p_size, 45), 50)::bigint as reached from part")
+@query("select p_partkey, case when p_size % 10 < 3 then p_size % 10 else 3 end::bigint as n_lookups, 'rule ' || p_brand || ' 1' as first_lookup, case when p_size % 10 < 3 then 'answer' else 'lookup' end as last_kind from part where p_size % 10 > 0 union all select p_partkey, 0, '', 'answer' from part where p_size % 10 = 0")
 def l10_l11_agent_loop(spark: SparkSession, d: str) -> DataFrame:
-    rows = V.table(spark, d, "part").select("p_partkey", F.col("p_size").cast("long").alias("reached"))
-    return L.agent_loop(rows, lambda rest: rest.withColumn("reached", F.least(F.col("reached") + 15, F.lit(45)).cast("long")), F.col("reached") >= 45, most=4)
+    """A model's messages and the rules that its tool calls look up, in turn, until it calls none or three rounds are over. The number of calls it makes is drawn from the key."""
+    message = lambda kind, text: F.array(F.struct(F.lit(kind).alias("kind"), text.alias("text")))
+    rows = V.table(spark, d, "part").select("p_partkey", "p_brand", (F.col("p_size") % 10).alias("wanted"), F.array().cast("array<struct<kind:string,text:string>>").alias("messages"))
+    lookups = F.size(F.filter("messages", lambda m: m["kind"] == "lookup"))
+
+    def turn(rest: DataFrame) -> DataFrame:
+        found = message("lookup", F.concat(F.lit("rule "), F.col("p_brand"), F.lit(" "), (lookups + 1).cast("string")))
+        return rest.withColumn("messages", F.when(lookups < F.col("wanted"), F.concat("messages", found)).otherwise(F.concat("messages", message("answer", F.lit("done")))))
 
+    ran = L.agent_loop(rows, turn, F.exists("messages", lambda m: m["kind"] == "answer"), most=3)
+    first = F.coalesce(F.get(F.filter("messages", lambda m: m["kind"] == "lookup"), F.lit(0))["text"], F.lit(""))
+    return ran.select("p_partkey", lookups.cast("long").alias("n_lookups"), first.alias("first_lookup"), F.try_element_at("messages", F.lit(-1))["kind"].alias("last_kind"))
 
-@query(V.sql("select abstract_id, case when validation_status = 'PASS' then 'PASS' else 'REVIEW' end as validation_status, validation_status = 'PASS' as validation_success from abstracts join validations using (abstract_id)", "abstracts", "validations"))
+
+@query(V.sql("select abstract_id, case when validation_status = 'PASS' then 'PASS' else 'REVIEW' end as validation_status, case when validation_status = 'PASS' then '' else 'system_error: no recorded response' end as issue from abstracts join validations using (abstract_id)", "abstracts", "validations"))
 def l09_errors_become_review(spark: SparkSession, d: str) -> DataFrame:
     """A failed validation never stops a batch: it is a REVIEW that says so."""
-    answers = L.replay(V.validations(spark, d).where("validation_status = 'PASS'").select("abstract_id", F.lit("PASS").alias("response")))(V.validations(spark, d))
-    return answers.select("abstract_id", F.coalesce("response", F.lit("REVIEW")).alias("validation_status"), F.col("error").isNull().alias("validation_success"))
+    provider = L.replay(V.validations(spark, d).where("validation_status = 'PASS'").select("abstract_id", F.lit("PASS").alias("response")))
+    issue = F.get("issues", F.lit(0))
+    return L.guarded(provider)(V.validations(spark, d)).select("abstract_id", "validation_status", F.coalesce(F.concat(issue["check_type"], F.lit(": "), issue["description"]), F.lit("")).alias("issue"))
+
+
+@query(V.sql("""+l as (select abstract_id, coalesce(string_agg(distinct drug_class, ';;' order by drug_class) filter (class_type = 'MoA'), '') as e, count(*) filter (tokens > 25) as s from drugs group by abstract_id)
+  select abstract_id, case when e = '' then 'NA' when s = 0 then e else '(call)' end as refined, case when e = '' then 'No explicit drug classes to consolidate.' when s = 0 then 'No drug selections to compare against.' else '' end as reasoning from l""", "drugs"))
+def l08_consolidation_short_circuits(spark: SparkSession, d: str) -> DataFrame:
+    rows = V.drugs(spark, d)
+    lists = rows.groupBy("abstract_id").agg(_names(rows, F.col("class_type") == "MoA", "drug_class").alias("explicit"), _names(rows, F.col("tokens") > 25, "drug_class").alias("selections"))
+    known = L.consolidated(F.col("explicit"), F.col("selections"))
+    return lists.select("abstract_id", F.coalesce(T.listed(known["refined"]), F.lit("")).alias("refined"), F.coalesce(known["reasoning"], F.lit("")).alias("reasoning")).withColumn("refined", F.when(F.col("reasoning") == "", "(call)").otherwise(F.col("refined")))
+
+
+@query(V.sql("select abstract_id, validation_status as output, 1::bigint as llm_calls, coalesce(length(validation_status), 0)::bigint as tokens, case when validation_status is null then 'no recorded response' end as error from abstracts left join validations using (abstract_id)", "abstracts", "validations"))
+def l13_metered_steps(spark: SparkSession, d: str) -> DataFrame:
+    recorded = V.validations(spark, d).select("abstract_id", F.col("validation_status").alias("response"))
+    return L.metered(L.replay(recorded), F.length)(V.abstracts(spark, d))
+
+
+@query(V.sql("select abstract_id, upper(session_title) as response, null::varchar as error from abstracts", "abstracts"))
+def c11_capped_calls(spark: SparkSession, d: str) -> DataFrame:
+    return L.capped(lambda batch: [r["session_title"].upper() for r in batch], "drug_class")(V.abstracts(spark, d).select("abstract_id", "session_title"))
 
 
-@query(V.sql("+u as (select abstract_id, case when max(severity) = 'medium' then 'partial' else 'complete' end as drug from drugs group by 1) select abstract_id, drug, case when drug = 'complete' then 'complete' else 'skipped' end as drug_class, case drug when 'partial' then 'partial' else 'success' end as status from u", "drugs"))
-def c09_workflow(spark: SparkSession, d: str) -> DataFrame:
-    first = V.drugs(spark, d).groupBy("abstract_id").agg(F.when(F.max("severity") == "medium", "partial").otherwise("complete").alias("drug"))
-    second = first.withColumn("drug_class", F.when(F.col("drug") == "complete", "complete").otherwise("skipped"))
-    return second.withColumn("status", F.when(F.col("drug") == "partial", "partial").otherwise("success"))
+@query("with i as (select l_orderkey as id, l_linenumber as pos, max(l_partkey) as p from lineitem group by all) select id, pos, p as output from i where not exists (select 1 from i f where f.id = i.id and f.p % 11 = 0)")
+def c14_standalone_step(spark: SparkSession, d: str) -> DataFrame:
+    """A record is kept whole or not at all. No checkpoint is read or written."""
+    items = V.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("pos")).agg(F.max("l_partkey").alias("p"))
+    step = lambda rows: rows.join(items, ["id", "pos"]).select("id", "pos", F.when(F.col("p") % 11 == 0, "failed").otherwise("success").alias("status"), F.col("p").alias("output"))
+    return standalone(items, ["id"], "pos", step)
 
 
 @query(

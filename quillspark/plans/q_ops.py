@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.functions import rules as U
 from quillspark.functions import text as T
 from quillspark.operators import incremental as I
 from quillspark.operators import records as R
@@ -174,7 +175,7 @@ def f17_requires_validation(spark: SparkSession, d: str) -> DataFrame:
 @query("select l_orderkey, l_linenumber, l_partkey, l_discount * 12 <= 1 and l_discount >= 0 and l_returnflag in ('A', 'R') as accepted from lineitem")
 def f18_constraints(spark: SparkSession, d: str) -> DataFrame:
     confidence = F.col("l_discount") * 12
-    return V.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (confidence.between(0, 1) & F.col("l_returnflag").isin("A", "R")).alias("accepted"))
+    return V.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", U.accepted(confidence, F.col("l_returnflag"), ("A", "R")).alias("accepted"))
 
 
 # Joins
@@ -452,15 +453,17 @@ def c02_cache_through(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("p_name", F.get("results", F.lit(0)).alias("origin"))
 
 
-@query(f"select o_orderkey, case when extraction = 'success' then 'complete' else coalesce(extraction, 'new') end as state, extraction is distinct from 'success' as clear_error from ({_TWO})")
+@query("""select o_orderkey, case o_orderstatus when 'F' then 'success' when 'O' then 'running' else 'failed' end as status, case when o_orderstatus = 'O' then 'now' when o_orderkey % 2 = 0 then 't0' end as started_at,
+  case when o_orderstatus = 'F' then 'now' end as completed_at, case when o_orderstatus = 'P' then 'now' when o_orderkey % 2 = 0 then 't1' end as failed_at, case when o_orderstatus = 'P' then 'late' when o_orderstatus = 'O' and o_orderkey % 2 = 0 then 'old' end as error,
+  (case when o_orderkey % 2 = 0 then 1 else 0 end + case when o_orderstatus = 'P' then 1 else 0 end)::bigint as attempts, case when o_orderkey % 2 = 0 then 'running' else 'pending' end as resumed, 0::bigint as n_errors from orders""")
 def c04_c08_status_transition(spark: SparkSession, d: str) -> DataFrame:
-    e = F.col("extraction")
-    return _two_steps(spark, d).select("o_orderkey", F.when(e == "success", "complete").otherwise(F.coalesce(e, F.lit("new"))).alias("state"), (~e.eqNullSafe("success")).alias("clear_error"))
-
-
-@query(f"select id, {_NEXT} as stopped_at, " + " + ".join(f"(s{i} = 'success')::int" for i in range(1, 2)) + f" as first_done from ({_STEPS5}) where s1 is not null")
-def c05_c06_resumable_steps(spark: SparkSession, d: str) -> DataFrame:
-    return _five(spark, d).where("s1 is not null").select("id", F.col("next_step").alias("stopped_at"), (F.col("s1") == "success").cast("int").alias("first_done"))
+    """Half of the records have a failed run behind them."""
+    rows = V.table(spark, d, "orders")
+    before = F.when(F.col("o_orderkey") % 2 == 0, F.from_json(F.lit('{"status":"failed","llm_calls":1,"started_at":"t0","failed_at":"t1","error":"old","attempts":1}'), "status string, llm_calls int, started_at string, completed_at string, failed_at string, error string, attempts int"))
+    outcome = F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "running").otherwise("failed")
+    after = rows.select("o_orderkey", before.alias("before"), outcome.alias("outcome")).select("o_orderkey", "before", I.transition(F.col("before"), F.col("outcome"), F.lit("now"), F.lit(1), F.lit("late")).alias("a"))
+    status, errors = I.resumed(F.col("before.status"))
+    return after.select("o_orderkey", "a.status", "a.started_at", "a.completed_at", "a.failed_at", "a.error", F.col("a.attempts").cast("long").alias("attempts"), status.alias("resumed"), F.size(errors).cast("long").alias("n_errors"))
 
 
 @query(V.sql("select abstract_id, coalesce(string_agg(distinct drug_class, ';;' order by drug_class) filter (tokens > 40), 'Grounded') as classes from drugs group by abstract_id", "drugs"))

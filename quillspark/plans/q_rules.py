@@ -68,39 +68,70 @@ def r06_cell_names(spark: SparkSession, d: str) -> DataFrame:
     return V.table(spark, d, "part").select("p_partkey", U.cell_name(name).alias("cell"))
 
 
-# Texts as sources write them, and the class that the rules make of each.
-FORMATS = {
-    " flt3 inhibitors ": "FLT3 Inhibitor", "PD-1 blockade": "PD-1 Inhibitor", "anti-PD1 antibody": "PD1-Targeted Antibody", "CD20/CD3-Targeted T Cell Engagers": "CD3/CD20-Targeted T Cell Engager",
-    "adc": "Antibody Drug Conjugate", "monoclonal antibodies": "Monoclonal Antibody", "dendritic cells": "Dendritic Cell Therapy", "BCR-ABL inhibitor": "BCR-ABL Inhibitor",
-}
+# Texts as sources write them, made of columns, and in SQL the class that the rules make of each.
+def _sourced(spark: SparkSession, d: str) -> DataFrame:
+    """p_partkey, p_size, p_name, text."""
+    size, k = F.col("p_size").cast("string"), F.col("p_partkey") % 8
+    text = (
+        F.when(k == 0, F.concat(F.lit(" TG"), size, F.lit("  blockade "))).when(k == 1, F.concat(F.lit("anti-TG"), size, F.lit(" antibodies"))).when(k == 2, F.concat(F.lit("CD"), size, F.lit("/CD3-Targeted engagers")))
+        .when(k == 3, F.concat(F.lower("p_type"), F.lit(" inhibitors"))).when(k == 4, F.lit("adc")).when(k == 5, F.concat("p_name", F.lit(" cells"))).when(k == 6, F.concat(F.lit("BM"), size, F.lit(" targeted therapy"))).otherwise(F.concat("p_name", F.lit(" bi-specific antibodies")))
+    )
+    return V.table(spark, d, "part").select("p_partkey", "p_size", "p_name", "p_type", text.alias("text"))
 
 
-def _cases(spark: SparkSession, d: str, options: list[str]) -> tuple[DataFrame, Column]:
-    return V.table(spark, d, "part"), F.element_at(F.array(*[F.lit(o) for o in options]), (F.col("p_partkey") % len(options) + 1).cast("int"))
+_TITLE = "array_to_string(list_transform(string_split({c}, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
+_CLASS = f"""case p_partkey % 8 when 0 then 'TG' || p_size || ' Inhibitor' when 1 then 'TG' || p_size || '-Targeted Antibody' when 2 then case when p_size < 3 then 'CD' || p_size || '/CD3' else 'CD3/CD' || p_size end || '-Targeted Engager'
+  when 3 then {_TITLE.format(c='p_type')} || ' Inhibitor' when 4 then 'Antibody Drug Conjugate' when 5 then {_TITLE.format(c='p_name')} || ' Cell Therapy' when 6 then 'BM' || p_size || '-Targeted Therapy' else {_TITLE.format(c='p_name')} || ' Bispecific Antibody' end"""
 
 
-def _expected(options: list[str]) -> str:
-    return "([" + ", ".join(f"'{o}'" for o in options) + f"])[p_partkey % {len(options)} + 1]"
+@query(f"select p_partkey, {_CLASS} as class from part")
+def r07_class_format(spark: SparkSession, d: str) -> DataFrame:
+    return _sourced(spark, d).select("p_partkey", U.class_name(F.col("text")).alias("class"))
 
 
-@query(f"select p_partkey, {_expected(list(FORMATS.values()))} as class from part")
-def r07_class_format(spark: SparkSession, d: str) -> DataFrame:
-    rows, text = _cases(spark, d, list(FORMATS))
-    return rows.select("p_partkey", U.class_name(text).alias("class"))
+@query("select p_partkey, p_size % 3 <> 0 as same_words, p_size % 3 <> 0 as same_modality from part")
+def r07_r32_wording_kept(spark: SparkSession, d: str) -> DataFrame:
+    """A class keeps the words and the modality of its text; a third of them are someone else's."""
+    name = F.when(F.col("p_size") % 3 == 0, "Other Antagonist").otherwise(U.class_name(F.col("text")))
+    return _sourced(spark, d).select("p_partkey", U.keeps_wording(name, F.col("text")).alias("same_words"), U.keeps_modality(name, F.col("text")).alias("same_modality"))
+
+
+@query(f"""select p_partkey, case p_partkey % 7 when 0 then case when p_size < 3 then 'CD' || p_size || '/CD3' when p_size = 3 then 'CD3/CD3' else 'CD3/CD' || p_size end || '-Targeted Bispecific Antibody' when 1 then 'TRIKE' when 2 then {_TITLE.format(c='p_name')} || ' Agonist'
+  when 3 then 'TIL Therapy' when 4 then '' when 5 then {_TITLE.format(c='p_type')} || ' Receptor Modulator' else {_TITLE.format(c='p_name')} || ' Antagonist;;Antibody Drug Conjugate' end as classes from part""")
+def r15_r20_r26_r33_captured(spark: SparkSession, d: str) -> DataFrame:
+    k, size = F.col("p_partkey") % 7, F.col("p_size").cast("string")
+    text = (
+        F.when(k == 0, F.concat(F.lit("Drug is a bi-specific antibody targeting CD"), size, F.lit(" and CD3"))).when(k == 1, F.lit("It is a TRIKE therapeutic")).when(k == 2, F.concat(F.lit("Drug is an "), "p_name", F.lit(" agonist")))
+        .when(k == 3, F.lit("a tumor infiltrating lymphocyte therapy")).when(k == 4, F.concat(F.lit("patients previously treated with a "), "p_name", F.lit(" agonist"))).when(k == 5, F.concat(F.lit("the "), F.lower("p_type"), F.lit(" receptor modulators")))
+        .otherwise(F.concat(F.lit("Drug is the "), "p_name", F.lit(" antagonist and an antibody drug conjugate")))
+    )
+    return V.table(spark, d, "part").select("p_partkey", T.listed(U.captured(text)).alias("classes"))
+
 
+@query("select p_partkey, case when p_size % 2 = 0 then p_brand || ' Inhibitor' when p_size % 3 = 0 then 'Immune Checkpoint Inhibitor' else 'Anti-Metabolite' end as classes from part")
+def r17_r28_without_general(spark: SparkSession, d: str) -> DataFrame:
+    names = F.array(F.lit("Anti-Metabolite"), F.when(F.col("p_size") % 3 == 0, "Immune Checkpoint Inhibitor"), F.when(F.col("p_size") % 2 == 0, F.concat("p_brand", F.lit(" Inhibitor"))))
+    return V.table(spark, d, "part").select("p_partkey", T.listed(U.without_general(F.filter(names, lambda n: n.isNotNull()))).alias("classes"))
 
-FORCED = {"18F-FDG for PET imaging": "Diagnostic Imaging Agent", "magnesium sulfate": "Mineral Supplement", "mRNA vaccine": "Vaccine", "Platelet-Rich Plasma gel": "Plasma Therapy", "patients on ADT": "Hormonal Therapy", "PD-1 inhibitor": ""}
 
+_SAID = ["18F-FDG for PET imaging of", "magnesium sulfate with", "mRNA vaccines for", "Platelet-Rich Plasma gel on", "patients on ADT and", "PD-1 inhibitor with", "irony and"]
 
-@query(f"select p_partkey, {_expected(list(FORCED.values()))} as class from part")
+
+def _said(spark: SparkSession, d: str) -> DataFrame:
+    phrase = F.element_at(F.array(*[F.lit(o) for o in _SAID]), (F.col("p_partkey") % len(_SAID) + 1).cast("int"))
+    return V.table(spark, d, "part").select("p_partkey", F.concat("p_name", F.lit(" "), phrase, F.lit(" "), F.lower("p_type")).alias("text"))
+
+
+@query("with t as (select p_partkey, lower(p_name || ' ' || ([" + ", ".join(f"'{o}'" for o in _SAID) + f"])[p_partkey % {len(_SAID)} + 1] || ' ' || p_type) as t from part)"
+  " select p_partkey, case when contains(t, 'pet imaging') or contains(t, 'diagnostic') or contains(t, '18f-') then 'Diagnostic Imaging Agent' when list_has_any(string_split(t, ' '), ['magnesium', 'calcium', 'potassium', 'zinc', 'iron']) then 'Mineral Supplement'"
+  " when contains(t, ' vaccine') then 'Vaccine' when contains(t, 'platelet-rich plasma') then 'Plasma Therapy' when list_contains(string_split(t, ' '), 'adt') then 'Hormonal Therapy' else '' end as class from t")
 def r08_overrides(spark: SparkSession, d: str) -> DataFrame:
-    rows, text = _cases(spark, d, list(FORCED))
-    return rows.select("p_partkey", T.or_empty(U.overridden(text)).alias("class"))
+    return _said(spark, d).select("p_partkey", T.or_empty(U.overridden(F.col("text"))).alias("class"))
 
 
 @query("select p_partkey, case p_partkey % 3 when 0 then 'NA' when 1 then 'PD-1 Inhibitor' else 'Vaccine' end as classes from part")
 def r09_generic_labels(spark: SparkSession, d: str) -> DataFrame:
-    rows, _ = _cases(spark, d, [""])
+    rows = V.table(spark, d, "part")
     extra = F.when(F.col("p_partkey") % 3 == 0, "adjuvant").when(F.col("p_partkey") % 3 == 1, "PD-1 blocker").otherwise("cancer vaccines")
     return rows.select("p_partkey", T.listed(U.classes(F.array(F.lit("chemotherapy"), F.lit("antibodies"), extra))).alias("classes"))
 
@@ -133,35 +164,34 @@ def r13_source_priority(spark: SparkSession, d: str) -> DataFrame:
     return R.top_types(rows, ["abstract_id", "drug"], "source", {"title": 1, "search": 2}).select("abstract_id", "drug", "drug_class").distinct()
 
 
-@query(V.sql("select abstract_id, case when regexp_matches(abstract_title, '(?i)ther') then 'abstract_title' when regexp_matches(session_title, 'src1') then 'session_title' else 'none' end as selected_source from abstracts", "abstracts"))
+@query(V.sql("select abstract_id, case when regexp_matches(abstract_title, '(?i)ther') then 'abstract_title' when regexp_matches(session_title, 'src1') then 'session_title' else 'none' end as selected_source, case when regexp_matches(abstract_title, '(?i)ther') then abstract_title when regexp_matches(session_title, 'src1') then session_title else '' end as chosen from abstracts", "abstracts"))
 def r14_single_source(spark: SparkSession, d: str) -> DataFrame:
-    name, _ = U.source_of(F.col("abstract_title"), F.col("session_title"), "(?i)ther|^src1")
-    return V.abstracts(spark, d).select("abstract_id", name.alias("selected_source"))
-
-
-INDICATIONS = {"male breast  cancers": "Breast Cancer", "Antibiotic-Induced diarrhea": "Diarrhea", "metastatic HER2-positive tumors": "Metastatic HER2-positive Tumor"}
+    name, chosen = U.source_of(F.col("abstract_title"), F.col("session_title"), "(?i)ther|^src1")
+    return V.abstracts(spark, d).select("abstract_id", name.alias("selected_source"), chosen.alias("chosen"))
 
 
-@query(f"select p_partkey, {_expected(list(INDICATIONS.values()))} as indication from part")
+@query(f"select p_partkey, {_TITLE.format(c='p_name')} || case when p_partkey % 3 = 2 then ' Cancer' else '' end as indication from part")
 def r15_indication_format(spark: SparkSession, d: str) -> DataFrame:
-    rows, text = _cases(spark, d, list(INDICATIONS))
-    return rows.select("p_partkey", U.indication(text).alias("indication"))
+    k = F.col("p_partkey") % 3
+    text = F.when(k == 0, F.concat(F.lit("women "), "p_name", F.lit("s"))).when(k == 1, F.concat(F.lower("p_type"), F.lit("-induced  "), "p_name")).otherwise(F.concat("p_name", F.lit("  cancers ")))
+    return V.table(spark, d, "part").select("p_partkey", U.indication(text).alias("indication"))
 
 
-@query(V.sql("select abstract_id, case max(case severity when 'high' then 2 else 1 end) when 2 then 'FAIL' else 'REVIEW' end as validation_status from drugs group by abstract_id", "drugs"))
+@query(V.sql("select abstract_id, case max(case severity when 'high' then 2 when 'medium' then 1 else 0 end) when 2 then 'FAIL' when 1 then 'REVIEW' else 'PASS' end as validation_status from drugs group by abstract_id", "drugs"))
 def r16_severity_rollup(spark: SparkSession, d: str) -> DataFrame:
-    return S.severity_status(V.drugs(spark, d), ["abstract_id"])
+    rows = V.drugs(spark, d).withColumn("severity", F.when(F.col("severity") != "low", F.col("severity")))  # null: no issue
+    return S.severity_status(rows, ["abstract_id"])
 
 
-@query(V.sql("select abstract_id, contains(lower(full_abstract), lower('The And')) as supported from abstracts", "abstracts"))
+@query(V.sql("select abstract_id, contains(lower(full_abstract), lower(case when length(abstract_id) % 2 = 0 then session_title else split_part(abstract_title, ' ', 2) end)) as supported from abstracts", "abstracts"))
 def r17_evidence_in_source(spark: SparkSession, d: str) -> DataFrame:
-    return V.abstracts(spark, d).select("abstract_id", U.supported(F.lit("The And"), F.col("full_abstract")).alias("supported"))
+    return V.abstracts(spark, d).select("abstract_id", U.supported(F.when(F.length("abstract_id") % 2 == 0, F.col("session_title")).otherwise(F.split_part("abstract_title", F.lit(" "), F.lit(2))), F.col("full_abstract")).alias("supported"))
 
 
-@query("select p_partkey, p_partkey % 3 = 1 as well_formed from part")
+@query("select p_partkey, not regexp_matches(p_name || ([';;', ' ;;', ';', ', ', ';;  '])[p_partkey % 5 + 1] || p_type, '\\s;;|;;\\s|^\\s|\\s$|\\s\\s|[^;];[^;]|,') as well_formed from part")
 def r18_format_check(spark: SparkSession, d: str) -> DataFrame:
-    rows, text = _cases(spark, d, ["A Cancer ;;B Cancer", "A Cancer;;B Cancer", "A Cancer, B Cancer"])
-    return rows.select("p_partkey", U.well_formed(text).alias("well_formed"))
+    between = F.element_at(F.array(*[F.lit(x) for x in (";;", " ;;", ";", ", ", ";;  ")]), (F.col("p_partkey") % 5 + 1).cast("int"))
+    return V.table(spark, d, "part").select("p_partkey", U.well_formed(F.concat("p_name", between, "p_type")).alias("well_formed"))
 
 
 @query("select p_partkey, unnest(case p_partkey % 3 when 0 then ['Cyclophosphamide', 'Doxorubicin', 'Vincristine', 'Prednisone'] when 1 then ['Folinic Acid', 'Fluorouracil', 'Irinotecan'] else [p_name] end) as component from part")

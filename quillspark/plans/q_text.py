@@ -44,9 +44,9 @@ def x03_map_lines_skip_empty(spark: SparkSession, d: str) -> DataFrame:
     return _entries(spark, d).select("abstract_id", T.keyed_lines(F.col("entries"), skip_empty=True).alias("lines"))
 
 
-@query(V.sql("""select abstract_id, pos, drug, tokens, '{"drug":"' || drug || '","tokens":' || tokens || '}' as document from drugs""", "drugs"))
+@query(V.sql("""select abstract_id, pos, drug, tokens, '{' || chr(10) || '  "drug": "' || drug || '",' || chr(10) || '  "tokens": ' || tokens || ',' || chr(10) || '  "classes": [' || chr(10) || '    "é ' || drug_class || '"' || chr(10) || '  ]' || chr(10) || '}' as document from drugs""", "drugs"))
 def x04_json_text(spark: SparkSession, d: str) -> DataFrame:
-    return V.drugs(spark, d).select("abstract_id", "pos", "drug", "tokens", T.json_text(F.struct("drug", "tokens")).alias("document"))
+    return V.drugs(spark, d).select("abstract_id", "pos", "drug", "tokens", T.pretty_json(F.struct("drug", "tokens", F.array(F.concat(F.lit("é "), "drug_class")).alias("classes")), "struct<drug:string,tokens:long,classes:array<string>>").alias("document"))
 
 
 _SPLIT = f"""case when starts_with(b, '[') and json_valid(b) then json_extract_string(b, '$[*]') when contains(b, ';;') then string_split(b, ';;') when contains(b, ',') then string_split(b, ',') else [b] end"""

@@ -24,6 +24,12 @@ def record_ids(spark: SparkSession, data_dir: str, marker: str = "status.json")
     return files.select(F.regexp_extract("path", _ID, 1).alias("abstract_id"))
 
 
+def listed_ids(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Ids of the folders of records in a store, whatever files they hold: Spark lists the prefix, so any store that Hadoop reads will do."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{data_dir}/abstracts").select("path")
+    return files.select(F.regexp_extract("path", r".*/abstracts/([^/]+)/", 1).alias("abstract_id")).where("abstract_id <> ''").distinct()
+
+
 def write_step(df: DataFrame, data_dir: str, step: str) -> None:
     """Documents as one table partition a step, replaced whole: the scalable form of a file a record."""
     df.write.mode("overwrite").json(f"{data_dir}/step_outputs/step_name={step}")

@@ -1,26 +1,10 @@
 """Sinks: CSV with fixed columns, documents, retry lists."""
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
-
-from quillspark.functions.text import or_empty
-
-
-@F.pandas_udf(StringType())
-def pretty_json(text: pd.Series) -> pd.Series:
-    """JSON text with an indent of two, other scripts as they are; what is no JSON stays. The one place where Python formats cells."""
+from pyspark.sql.types import ArrayType, DataType, LongType, StringType, StructField, StructType
 
-    def one(t):
-        try:
-            return json.dumps(json.loads(t), indent=2, ensure_ascii=False) if t else t
-        except ValueError:
-            return t
-
-    return text.map(one, na_action="ignore")
+from quillspark.functions.text import or_empty, pretty_json
 
 
 def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, single: bool = False) -> None:
@@ -35,9 +19,24 @@ def write_text(df: DataFrame, path: str, bom: bool = False) -> None:
     (df.select(F.concat(F.lit("﻿"), value).alias("value")) if bom else df.select(value.alias("value"))).write.mode("overwrite").text(path)
 
 
-def model_response(payload: Column, error: Column) -> Column:
-    """The payload as JSON text; an error object where there is none."""
-    return F.coalesce(payload, F.to_json(F.struct(F.coalesce(error, F.lit("not processed")).alias("error"))))
+def model_response(payload: Column, kind: DataType | str, error: Column) -> Column:
+    """The payload as JSON with an indent of two; an error object where there is none. kind: the payload's type."""
+    failure = F.struct(F.coalesce(error, F.lit("not processed")).alias("error"))
+    return F.when(payload.isNotNull(), pretty_json(payload, kind)).otherwise(pretty_json(failure, "struct<error:string>"))
+
+
+def class_response(selections: Column, kind: DataType, explicit: Column, final: Column, status: Column, calls: Column) -> Column:
+    """What the drug-class steps made of a record, as JSON with an indent of two: a missing step's parts are empty, a missing status is not_processed.
+
+    selections: a map of the type `kind`; explicit and final: lists of classes; status, calls: of the status document.
+    """
+    none = F.array().cast("array<string>")
+    parts = {
+        "drug_selections": F.coalesce(selections, F.create_map().cast(kind)), "explicit_drug_classes": F.coalesce(explicit, none), "final_drug_classes": F.coalesce(final, none),
+        "pipeline_status": F.coalesce(status, F.lit("not_processed")), "total_llm_calls": F.coalesce(calls, F.lit(0)).cast("long"),
+    }
+    shape = StructType([StructField("drug_selections", kind), StructField("explicit_drug_classes", ArrayType(StringType())), StructField("final_drug_classes", ArrayType(StringType())), StructField("pipeline_status", StringType()), StructField("total_llm_calls", LongType())])
+    return pretty_json(F.struct(*[c.alias(n) for n, c in parts.items()]), shape)
 
 
 def retry_lists(rows: DataFrame, status: str = "status") -> tuple[DataFrame, DataFrame]:

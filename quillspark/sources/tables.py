@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import or_empty, strip
+from quillspark.functions.text import or_empty, parsed_list, strip
 from quillspark.sources.scratch import written
 
 # The header names that stand for a field, in order of preference.
@@ -41,6 +41,13 @@ def records(df: DataFrame, fields: tuple[str, ...], required: tuple[str, ...] =
     return rows
 
 
+def batch(df: DataFrame, limit: int | None = None, order: list[str] | None = None) -> DataFrame:
+    """Records for a batch: every field stripped, firms as a list, and the first `limit` of those with an id, in order."""
+    fields = ("abstract_id", "abstract_title", "session_title", "full_abstract", "firms")
+    kept = limited(df.where(field(df.columns, "abstract_id") != ""), limit, order or [])
+    return kept.select(*[strip(field(df.columns, f)).alias(f) for f in fields]).withColumn("firms", parsed_list(F.col("firms")))
+
+
 def limited(df: DataFrame, limit: int | None, order: list[str]) -> DataFrame:
     """The first rows; all if the limit is 0 or none."""
     return df.orderBy(*order).limit(limit) if limit else df
