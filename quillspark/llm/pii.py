@@ -149,7 +149,7 @@ def features(loose: DataFrame) -> DataFrame:
         "zero": number(digits.startswith("0")), "checked": number(F.when(F.length(digits).between(12, 19), luhn(F.when(F.length(digits).between(12, 19), digits).otherwise("0"))).otherwise(False)),
         "small_parts": number(F.forall(groups, lambda g: (F.length(g) < 4) & (F.when(F.length(g) < 4, g).otherwise("0").cast("int") < 256))),
         "date": number(found.rlike(r"^(?:19|20)[0-9]{2}[-./ ]|[-./ ](?:19|20)[0-9]{2}$")),
-        "domain": number(found.rlike(r"(?i)(?:com|org|net|edu|info|example|de|fr|es|io|co)$")),
+        "domain": number(found.rlike(r"(?i)(?:\.|dot[)\]}]?)\s?(?:com|org|net|edu|info|example|de|fr|es|io|co|uk)$")), "sentence": number(found.rlike(r"[a-z]\.\s+[A-Z]")),
         "glued": number(left.rlike(r"[\p{L}0-9_.$€#/-]$")), "runs_on": number(F.col("right").rlike(r"^(?:[\p{L}0-9_%]|[.,/-][0-9])")),
         "keyword": number(F.coalesce(*[F.when(F.col("kind") == k, left.rlike(w)) for k, w in _WORDS.items()])),
         "other_word": number(left.rlike(r"order|serial|version|page|isbn|ref|invoice|part|id|no\.|total|date|on the|year")),
@@ -185,7 +185,7 @@ def training_lines(spark: SparkSession, lines: int = TRAINING) -> DataFrame:
         "phone": F.when(F.pmod("id", F.lit(16)) < 8, F.concat(F.lit("("), _pick(["274", "555", "312", "808"], 14), F.lit(") "), _number(3, 15), F.lit("-"), _number(4, 16))).otherwise(F.concat(_pick(["030", "0171", "089", "00 49 30"], 17), sep, _number(3, 18), sep, _number(4, 19))),
     }
     false = {
-        "email": F.concat(_pick(["look", "met", "arrived", "sold", "stay", "him"], 20), F.lit(" at "), _pick(["home", "noon", "the", "least", "work"], 21), _pick([". the", ". a", " dot on", ". in", ". he"], 22)),
+        "email": F.concat(_pick(["look", "met", "arrived", "sold", "stay", "him"], 20), F.lit(" at "), _pick(["home", "noon", "the", "least", "work"], 21), _pick([". the", ". a", " dot on", ". in", ". he", ". Then", ".\nThese", ". Es", ". Denes", " . co", ". Come"], 22)),
         "ip": joined(_pick([". ", " . ", "."], 23), F.lit("3"), _number(1, 24), _number(3, 25), _number(2, 26)),
         "card": spaced(F.concat(_pick(["2019", "1998", "0012", "7310"], 27), _number(12, 28)), _pick(["/", ".", "-", "_"], 29)),
         "phone": _pick_false_phone(sep),
