@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quillspark.functions import rules as U
 from quillspark.functions import text as T
 from quillspark.operators import incremental as I
+from quillspark.operators import providers as L
 from quillspark.operators import records as R
 
 
@@ -119,3 +120,69 @@ def test_lists_survive_a_round_trip(spark, lists):
     df = spark.createDataFrame(rows, "a array<string>").withColumn("t", T.listed(F.col("a")))
     for r in df.withColumn("b", T.parsed_list(F.concat("t", F.lit(";;")))).collect():
         assert r.b == [x.strip() for x in r.a if x.strip()]
+
+
+def test_pretty_json_is_what_python_writes(spark):
+    rows = [
+        (1, ["a", 'q"\\ \n', "é🙂"], {"k": [1, 2]}, (True, None, ["x"])), (2, [], {}, (False, "t", [])), (3, None, None, None), (4, [None, "z"], {"a": [], "b": None}, (None, None, None)),
+    ]
+    kinds = {"l": "array<string>", "m": "map<string,array<int>>", "s": "struct<ok:boolean,note:string,items:array<string>>"}
+    df = spark.createDataFrame(rows, "id int, " + ", ".join(f"{c} {k}" for c, k in kinds.items()))
+    got = {r.id: r for r in df.select("id", *[T.pretty_json(F.col(c), k).alias(c) for c, k in kinds.items()]).collect()}
+    text = lambda x: "" if x is None else json.dumps(x, indent=2, ensure_ascii=False)
+    for i, items, pairs, s in rows:
+        fields = None if s is None else {n: v for n, v in zip(("ok", "note", "items"), s, strict=True) if v is not None}
+        assert (got[i].l, got[i].m, got[i].s) == (text(items), text(pairs), text(fields))
+
+
+def test_outside_work_is_done_once(spark):
+    """Calls are counted in executors, however often their results are read."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        def run(batches):
+            for pdf in batches:
+                calls.add(len(pdf))
+                yield pdf
+
+        return rows.mapInPandas(run, rows.schema)
+
+    rows = spark.range(6).withColumn("n", F.lit(0))
+    out = L.agent_loop(rows, lambda rest: counted(rest).withColumn("n", F.col("n") + 1), F.col("n") > F.col("id") % 3, most=5)
+    assert out.count() == 6 and out.agg(F.sum("n")).first()[0] == 12
+    assert calls.value == 6 + 4 + 2
+    done = spark.createDataFrame([(0, 9)], "id long, n int")
+    every, new = I.memoised(rows.select("id"), done, ["id"], lambda rest: counted(rest.withColumn("n", F.lit(1))))
+    assert every.count() == 6 and new.count() == 5 and calls.value == 12 + 5
+    full, fetched = I.cached_lookup(rows.select("id"), spark.createDataFrame([(0, [1]), (1, [])], "id long, r array<int>"), ["id"], "r", lambda rest: counted(rest.withColumn("r", F.array(F.lit(1)))))
+    assert full.count() == 6 and fetched.count() == 5 and calls.value == 17 + 5
+
+
+def test_standalone_steps_keep_whole_records_only(spark):
+    items = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (2, 2), (3, 1)], "id int, pos int")
+    answers = spark.createDataFrame([(1, 1, "success", "a"), (1, 2, "success", "b"), (2, 1, "success", "c"), (2, 2, "failed", "d")], "id int, pos int, status string, output string")
+    out = I.standalone(items, ["id"], "pos", lambda rows: rows.join(answers, ["id", "pos"]))
+    assert sorted(out.collect()) == [(1, 1, "a"), (1, 2, "b")]
+
+
+def test_rules_have_no_length_limits(spark):
+    many = [f"d{i}" for i in range(1500)]
+    row = spark.createDataFrame([([], many, "x" * 3000 + " ends")], "p array<string>, s array<string>, t string")
+    primary, secondary = U.with_primary(F.col("p"), F.col("s"))
+    got = row.select(primary.alias("p"), secondary.alias("s"), U.title_case(F.col("t")).alias("t")).first()
+    assert (got.p, got.s, got.t) == (["d0"], many[1:], "X" + "x" * 2999 + " Ends")
+
+
+def test_formatting_twice_changes_nothing(spark):
+    texts = ["flt3 inhibitors", "PD-1 blockade", "anti-PD1 antibody", "CD20/CD3-Targeted T Cell Engagers", "monoclonal antibodies", "BM1 targeted therapy", "bi-specific antibodies", "BCR-ABL inhibitor", "alkylating agents", "dendritic cells"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(U.class_name(F.col("t")).alias("once")).select("once", U.class_name(F.col("once")).alias("twice"))
+    assert all(r.once == r.twice for r in rows.collect())
+
+
+def test_captured_classes(spark):
+    cases = {
+        "Drug G is a bispecific antibody targeting CD3 and CD20.": ["CD3/CD20-Targeted Bispecific Antibody"], "Drug H is a trispecific antibody.": ["Trispecific Antibody"], "Drug E is a GLP-1 agonist.": ["GLP-1 Agonist"],
+        "Drug N is a BIKE targeting CD3/CD19.": ["CD3/CD19-Targeted BIKE"], "Drug is an exon skipping therapy.": ["Exon Skipping Therapy"], "Patient failed prior EGFR antagonist": [], "Drug J is an estrogen receptor modulator.": ["Estrogen Receptor Modulator"],
+    }
+    rows = spark.createDataFrame([(t,) for t in cases], "t string").select("t", U.captured(F.col("t")).alias("c"))
+    assert {r.t: r.c for r in rows.collect()} == cases
