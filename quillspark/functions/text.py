@@ -60,12 +60,18 @@ def pretty_json(value: Column, kind: DataType | str) -> Column:
     return or_empty(_pretty(value, kind if isinstance(kind, DataType) else DataType.fromDDL(kind), ""))
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with the value computed once however often `then` uses it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _pretty(value: Column, kind: DataType, indent: str) -> Column:
     deeper = indent + "  "
 
     def block(items: Column, opening: str, closing: str) -> Column:
-        lines = F.concat(F.lit(f"{opening}\n{deeper}"), F.array_join(items, f",\n{deeper}"), F.lit(f"\n{indent}{closing}"))
-        return F.when(items.isNull(), F.lit(None).cast("string")).when(F.size(items) == 0, opening + closing).otherwise(lines)
+        """Null items are left out; no item is an empty text."""
+        lines = lambda joined: F.when(joined == "", opening + closing).otherwise(F.concat(F.lit(f"{opening}\n{deeper}"), joined, F.lit(f"\n{indent}{closing}")))
+        return let(F.array_join(items, f",\n{deeper}"), lines)
 
     def named(name: Column, item: Column, item_kind: DataType) -> Column:
         return F.concat(_quoted(name), F.lit(": "), F.coalesce(_pretty(item, item_kind, deeper), F.lit("null")))
@@ -76,13 +82,12 @@ def _pretty(value: Column, kind: DataType, indent: str) -> Column:
         return block(F.transform(F.map_entries(value), lambda e: named(e["key"].cast("string"), e["value"], kind.valueType)), "{", "}")
     if isinstance(kind, StructType):
         fields = F.array(*[F.when(value[f.name].isNotNull(), named(F.lit(f.name), value[f.name], f.dataType)) for f in kind.fields])
-        return F.when(value.isNull(), F.lit(None).cast("string")).otherwise(block(F.filter(fields, lambda x: x.isNotNull()), "{", "}"))
+        return F.when(value.isNotNull(), block(fields, "{", "}"))
     return _quoted(value) if isinstance(kind, StringType) else value.cast("string")
 
 
 def _quoted(text: Column) -> Column:
-    listed_one = F.to_json(F.array(text))
-    return F.when(text.isNotNull(), F.substring(listed_one, F.lit(2), F.length(listed_one) - 2))
+    return F.when(text.isNotNull(), let(F.to_json(F.array(text)), lambda t: F.substring(t, F.lit(2), F.length(t) - 2)))
 
 
 def parsed_list(text: Column) -> Column:

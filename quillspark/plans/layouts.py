@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from quillspark.functions.text import first_filled
+from quillspark.functions.text import first_filled, let
 from quillspark.plans.export import STEPS
 from quillspark.sources.documents import read_step
 
@@ -50,8 +50,8 @@ def _read(spark: SparkSession, data_dir: str, step: str, schema: str) -> DataFra
 
 def merged(entries: Column) -> Column:
     """array<struct<key, items>> with one entry a key: at the place of its first, with the items of its last."""
-    kept = F.filter(entries, lambda e: e["key"] != "")
-    return F.transform(F.array_distinct(F.transform(kept, lambda e: e["key"])), lambda k: F.element_at(F.filter(kept, lambda e: e["key"] == k), -1))
+    keys = lambda kept: F.array_distinct(F.transform(kept, lambda e: e["key"]))
+    return let(F.filter(entries, lambda e: e["key"] != ""), lambda kept: F.transform(keys(kept), lambda k: F.element_at(F.filter(kept, lambda e: e["key"] == k), -1)))
 
 
 def _pairs(maps: str, value: str) -> Column:

@@ -136,18 +136,12 @@ def x16_truncate(spark: SparkSession, d: str) -> DataFrame:
     return V.search_results(spark, d).select("page_id", T.shortened(F.col("raw_content")).alias("content"))
 
 
-@query(V.sql("select site, string_agg('### Result ' || i || chr(10) || 'URL: ' || url || chr(10) || substr(raw_content, 1, 80), chr(10) || chr(10) order by i) as block from (select *, row_number() over (partition by site order by url, page_id) as i from (select *, page_id // 5 as site from search_results)) group by site", "search_results"))
-def x17_result_block(spark: SparkSession, d: str) -> DataFrame:
-    rows = V.search_results(spark, d).groupBy(F.expr("page_id div 5").alias("site")).agg(F.array_sort(F.collect_list(F.struct("url", "page_id", F.substring("raw_content", 1, 80).alias("content")))).alias("r"))
-    return rows.select("site", T.numbered(F.col("r"), lambda i, x: F.concat(F.lit("### Result "), i, F.lit("\nURL: "), x["url"], F.lit("\n"), x["content"])).alias("block"))
-
-
 _SHORTENED = "case when length(raw_content) > 5000 then substr(raw_content, 1, 5000) || '... [truncated]' else raw_content end"
 
 
 @query(V.sql(f"select site, string_agg('### Result ' || i || chr(10) || 'URL: ' || url || chr(10) || {_SHORTENED}, chr(10) || chr(10) order by i) as block from (select *, row_number() over (partition by site order by url, page_id) as i from (select *, page_id // 5 as site from search_results)) group by site", "search_results"))
 def x17_whole_result_block(spark: SparkSession, d: str) -> DataFrame:
-    """The block with all of each page up to 5000 characters; x17_result_block shows the first 80."""
+    """The block with all of each page up to 5000 characters."""
     rows = V.search_results(spark, d).groupBy(F.expr("page_id div 5").alias("site")).agg(F.array_sort(F.collect_list(F.struct("url", "page_id", T.shortened(F.col("raw_content")).alias("content")))).alias("r"))
     return rows.select("site", T.numbered(F.col("r"), lambda i, x: F.concat(F.lit("### Result "), i, F.lit("\nURL: "), x["url"], F.lit("\n"), x["content"])).alias("block"))
 
