@@ -8,12 +8,14 @@ result with it. A machine-local folder is only ever used in local mode.
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -90,6 +92,21 @@ def let_go() -> None:
     _held.clear()
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, for mapInArrow; when a task ends, the worker gives what it freed back to the system, since workers stay while other stages need the memory."""
+
+    def lean_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+            if trim:
+                trim(0)
+
+    return lean_run
+
+
 def widened(df: DataFrame, **more: str) -> StructType:
     """df's schema with more columns; a new one, since StructType.add changes its own."""
     schema = StructType(list(df.schema.fields))

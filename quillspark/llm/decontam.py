@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quillspark.llm.common import durable, let_go, plain
+from quillspark.llm.common import durable, lean, let_go, plain
 
 #: Words of a group of benchmark items.
 GROUP_WORDS = 1_000_000
@@ -205,7 +205,7 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """The stored index of docs: a table of segments."""
     text = F.col("text").cast("binary")
     rows = plain(docs, id_col, text_col).toDF("doc_id", "text").select("doc_id", F.xxhash64(text).alias("version"), text.alias("text"))
-    return durable(rows.mapInArrow(_indexer, SEGMENT.format(id=rows.schema["doc_id"].dataType.simpleString())), "postings")
+    return durable(rows.mapInArrow(lean(_indexer), SEGMENT.format(id=rows.schema["doc_id"].dataType.simpleString())), "postings")
 
 
 def _searcher(broadcast, reach: int, item_type: pa.DataType):
@@ -277,7 +277,7 @@ def search(segments: DataFrame, benchmark: DataFrame, window: int = 10, reach: i
     context, kind = segments.sparkSession.sparkContext, benchmark.schema[item_col].dataType
     schema = FOUND.format(id=segments.schema["ids"].dataType.elementType.simpleString(), item=kind.simpleString())
     # Each broadcast has at most GROUP_WORDS words and an item.
-    passes = [segments.mapInArrow(_searcher(context.broadcast(g), reach, to_arrow_type(kind)), schema) for g in _groups(benchmark, window, item_col, item_text_col)]
+    passes = [segments.mapInArrow(lean(_searcher(context.broadcast(g), reach, to_arrow_type(kind))), schema) for g in _groups(benchmark, window, item_col, item_text_col)]
     columns = ["doc_id", "version", "n_words", "items", "near_items", "spans"]
     if len(passes) == 1:
         return passes[0].select(columns)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from quillspark.llm.common import WordHashes, durable, join_counted, let_go, plain, word_shingles
+from quillspark.llm.common import WordHashes, durable, join_counted, lean, let_go, plain, word_shingles
 
 PERMUTATIONS, BAND_ROWS = 50, 4
 ENTRIES = 2 * PERMUTATIONS
@@ -199,7 +199,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
     if not isinstance(docs.schema[id_col].dataType, IntegralType):
         raise TypeError(f"{id_col} must be of integers, since groups are named by their smallest")
     source = plain(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    sketches = durable(source.mapInArrow(_sketcher(shingle_words), SKETCH), "sketches")
+    sketches = durable(source.mapInArrow(lean(_sketcher(shingle_words)), SKETCH), "sketches")
     filled = sketches.where("n_shingles > 0 and doc_id is not null")
     classes = durable(filled.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes", sketches.rows)
     facts = durable(
@@ -212,7 +212,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int, percent: int, id_col: s
     central = shared.groupBy("doc_id").agg(F.sum("members").alias("weight"))
     hubs = shared.join(central, "doc_id").groupBy("band").agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("minus"))).alias("top")).select("band", (-F.col("top.minus")).alias("hub"))
     near = shared.select("doc_id", F.col("low").alias("hub")).unionByName(shared.join(hubs, "band").select("doc_id", "hub")).where("doc_id != hub")
-    sets = durable(source.join(central.select("doc_id"), "doc_id", "left_semi").mapInArrow(_set_maker(shingle_words), "doc_id long, shingles array<long>"), "sets", facts.rows, 4_000)
+    sets = durable(source.join(central.select("doc_id"), "doc_id", "left_semi").mapInArrow(lean(_set_maker(shingle_words)), "doc_id long, shingles array<long>"), "sets", facts.rows, 4_000)
 
     def side(frame: DataFrame, p: str, *keys: str) -> DataFrame:
         return frame.select(*keys, *[F.col(c).alias(f"{p}_{c}" if c != "doc_id" else p) for c in frame.columns if c not in keys])

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import durable, held, plain, widened
+from quillspark.llm.common import durable, held, lean, plain, widened
 
 CAPACITY, END_ID = 2048, 0
 #: Words kept in each of a worker's two generations of cached encodings.
@@ -190,7 +190,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     tokenizer = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_path).read_text(encoding="utf-8"))  # a vocabulary file: a few MB
     texts = plain(docs, id_col, text_col).toDF("doc_id", "text").withColumn("text", F.col("text").cast("binary"))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(_cutter(tokenizer, capacity, end_id, with_ids), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    return texts.mapInArrow(lean(_cutter(tokenizer, capacity, end_id, with_ids)), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
 def best_fit(lengths: dict[int, int], capacity: int) -> tuple[np.ndarray, int]:

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import durable, join_counted, let_go, mixed, plain
+from quillspark.llm.common import durable, join_counted, lean, let_go, mixed, plain
 
 ANCHOR = 160
 #: Different segments that fill a block of the expansion, and those of one group beyond which it is divided.
@@ -246,7 +246,7 @@ def _marks(segments: DataFrame, length: int, most: int) -> DataFrame:
         large = durable(sizes.where(F.col("n") > LARGE), "large", most)
         small = groups if not large.rows else groups.join(large.select("grp"), "grp", "left_anti")
         ordered = small.select(columns).repartition(F.col("grp")).sortWithinPartitions("grp", "hash", "segment")
-        found.append(ordered.mapInArrow(_expander(length), "hash long, segment long, first int, last int"))
+        found.append(ordered.mapInArrow(lean(_expander(length)), "hash long, segment long, first int, last int"))
         if not large.rows:
             return durable(reduce(DataFrame.unionByName, found), "marks", most, 50_000)
         big = groups.join(large.select("grp"), "grp", "left_semi")
@@ -296,7 +296,7 @@ def dedup_substrings(docs: DataFrame, length: int, id_col: str = "doc_id", text_
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     source = plain(docs, id_col, text_col).toDF("doc_id", "text").select("doc_id", F.xxhash64(text).alias("version"), text.alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    scanned = durable(source.withColumn("sha", F.sha2("text", 256)).mapInArrow(_anchorer(length), f"doc_id {kind}, version long, sha string, n_bytes long, ranges {RANGES}"), "ranges")
+    scanned = durable(source.withColumn("sha", F.sha2("text", 256)).mapInArrow(lean(_anchorer(length)), f"doc_id {kind}, version long, sha string, n_bytes long, ranges {RANGES}"), "ranges")
     ranged = scanned.select("doc_id", "version", F.explode("ranges").alias("r")).select("doc_id", "version", "r.*")
     total = ranged.count()
     twice = durable(ranged.groupBy("hash").agg(F.count("*").alias("n"), (F.min("segment") < F.max("segment")).alias("various")).where("n > 1"), "twice", total // 2)
@@ -305,7 +305,7 @@ def dedup_substrings(docs: DataFrame, length: int, id_col: str = "doc_id", text_
     suspects = durable(_of_document(source, found.select("doc_id", "version").distinct(), "left_semi"), "suspects", scanned.rows, 10_000)
 
     wanted = each.where("various").select("hash", "segment", "one.*").groupBy("doc_id", "version").agg(F.collect_list(F.struct("hash", "segment", "at", "lo", "hi")).alias("ranges"))
-    segments = _of_document(suspects, wanted, "inner").select("text", "ranges").mapInArrow(_segmenter(length), "hash long, segment long, lead int, last int, bytes binary")
+    segments = _of_document(suspects, wanted, "inner").select("text", "ranges").mapInArrow(lean(_segmenter(length)), "hash long, segment long, lead int, last int, bytes binary")
     segments = durable(segments, "bytes", each.rows, 50_000)
     marks = _marks(segments, length, each.rows)
 
@@ -314,7 +314,7 @@ def dedup_substrings(docs: DataFrame, length: int, id_col: str = "doc_id", text_
     whole = join_counted(found, more, ["hash", "segment"], "copies", found.rows).select("doc_id", "version", F.col("lo").alias("start"), (F.col("hi") + length).alias("stop"))
     spans = durable(partial.unionByName(whole).groupBy("doc_id", "version").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops")), "spans", scanned.rows, 50_000)
     cut = _of_document(suspects, spans, "inner").select("doc_id", "text", "starts", "stops")
-    cut = cut.mapInArrow(_cutter, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    cut = cut.mapInArrow(lean(_cutter), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     zero = F.lit(0).cast("long")
     clear = _of_document(scanned.drop("ranges"), spans.select("doc_id", "version"), "left_anti")
     return cut.unionByName(clear.select("doc_id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.col("sha").alias("kept_sha256"), F.lit(None).cast("binary").alias("kept")))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import WordHashes, durable, fresh, join_counted, let_go, plain, widened, word_shingles
+from quillspark.llm.common import WordHashes, durable, fresh, join_counted, lean, let_go, plain, widened, word_shingles
 
 #: The most labelled rows of each class that are learnt from.
 TRAIN_TOXIC, TRAIN_CLEAN = 10_000, 20_000
@@ -249,11 +249,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     toxic, clean = sizes.get(1, 0.0), sizes.get(0, 0.0)
     if not toxic or not clean:
         return Lexicon()
-    counted = train.mapInArrow(_counts, "term string, toxic double, clean double").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(f"toxic + clean >= {LEAST_TEXTS}")
+    counted = train.mapInArrow(lean(_counts), "term string, toxic double, clean double").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(f"toxic + clean >= {LEAST_TEXTS}")
     counted = durable(counted, "terms")
     candidates = counted.count()
     lexicon = Lexicon(_chosen([tuple(r) for r in _sure(counted, toxic, clean, candidates).collect()], toxic, clean, candidates))
-    benign = train.mapInArrow(_phrases(lexicon), "term string, toxic double, clean double").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    benign = train.mapInArrow(lean(_phrases(lexicon)), "term string, toxic double, clean double").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     lexicon.exceptions = [r[0] for r in benign.where(f"clean >= {LEAST_TEXTS} and clean >= toxic").collect()]
     rows = train.mapInArrow(_weigher(lexicon), "words double, share double, toxic int, weight double").toPandas()  # bounded as the sample is
     lexicon.curve = _curve(rows[["words", "share"]].to_numpy(float), rows.toxic.to_numpy(float), rows.weight.to_numpy(float))
@@ -283,7 +283,7 @@ def _scorer(lexicon: Lexicon):
 def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score of every row of docs."""
     texts = plain(docs, id_col, text_col).toDF("doc_id", "text")
-    return texts.mapInArrow(_scorer(lexicon), f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, score double")
+    return texts.mapInArrow(lean(_scorer(lexicon)), f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def keep_civil(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -297,7 +297,7 @@ def keep_civil(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_c
         for batch in run(batches):
             yield batch.rename_columns([*names, found])
 
-    return held.mapInArrow(named, widened(docs, **{found: "double"})).where(f"{found} < 0.5").drop(found)
+    return held.mapInArrow(lean(named), widened(docs, **{found: "double"})).where(f"{found} < 0.5").drop(found)
 
 
 def held_out(id_column) -> object:
