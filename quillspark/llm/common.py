@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 _U = np.uint64
 #: Odd multipliers of the word mixer.
@@ -107,7 +107,7 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return lean_run
 
 
-def widened(df: DataFrame, **more: str) -> StructType:
+def widened(df: DataFrame, **more: str | DataType) -> StructType:
     """df's schema with more columns; a new one, since StructType.add changes its own."""
     schema = StructType(list(df.schema.fields))
     for name, kind in more.items():
