@@ -15,6 +15,7 @@ from quillspark.llm import line_dedup
 from quillspark.llm import packing
 from quillspark.llm import quality
 from quillspark.llm import substring_dedup
+from quillspark.llm import tandem
 from quillspark.llm import secrets_scan
 from quillspark.llm import pii
 from quillspark.llm import token_counts
@@ -68,10 +69,15 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's runs, after planting, and what is left of it."""
+    return tandem.digest(table(spark, sf_dir, "documents"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens, and the bytes that they decode to."""
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity, op4_decontamination, op2_line_dedup, op1_best_fit_packing, op9_quality_rules, op10_substring_dedup, op6_secret_scans, op3_pii, op5_token_counts, op13_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity, op4_decontamination, op2_line_dedup, op1_best_fit_packing, op9_quality_rules, op10_substring_dedup, op6_secret_scans, op3_pii, op5_token_counts, op12_periodic_runs, op13_byte_bpe)}
 ORACLES: dict[str, str] = {"op7_minhash_near_dedup": oracles.OP7, "op4_decontamination": oracles.OP4, "op2_line_dedup": oracles.OP2, "op10_substring_dedup": oracles.OP10}
