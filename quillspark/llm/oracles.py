@@ -106,3 +106,19 @@ with d as (
 select d.doc_id, octet_length(d.b)::bigint as n_bytes, coalesce(t.n_removed, 0)::bigint as n_removed, coalesce(t.n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(t.kept, ''))) as kept_sha256
 from d left join t using (doc_id)
 """
+
+#: Every anchor against every row, as the contract says it.
+OP11 = """
+WITH v AS (
+    SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id, CAST(list_dot_product(a.e, r.e) AS BIGINT) AS score FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+    SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score
+)
+SELECT * FROM n WHERE rank <= 3
+"""

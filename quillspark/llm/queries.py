@@ -11,6 +11,7 @@ from quillspark.llm import oracles
 from quillspark.llm.common import table
 from quillspark.llm import toxicity
 from quillspark.llm import decontam
+from quillspark.llm import hard_negatives
 from quillspark.llm import line_dedup
 from quillspark.llm import packing
 from quillspark.llm import quality
@@ -69,6 +70,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector; each seventh vector has the next label."""
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's runs, after planting, and what is left of it."""
     return tandem.digest(table(spark, sf_dir, "documents"))
@@ -79,5 +86,5 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity, op4_decontamination, op2_line_dedup, op1_best_fit_packing, op9_quality_rules, op10_substring_dedup, op6_secret_scans, op3_pii, op5_token_counts, op12_periodic_runs, op13_byte_bpe)}
-ORACLES: dict[str, str] = {"op7_minhash_near_dedup": oracles.OP7, "op4_decontamination": oracles.OP4, "op2_line_dedup": oracles.OP2, "op10_substring_dedup": oracles.OP10}
+QUERIES = {f.__name__: f for f in (op7_minhash_near_dedup, op8_toxicity, op4_decontamination, op2_line_dedup, op1_best_fit_packing, op9_quality_rules, op10_substring_dedup, op6_secret_scans, op3_pii, op5_token_counts, op11_hard_negatives, op12_periodic_runs, op13_byte_bpe)}
+ORACLES: dict[str, str] = {"op7_minhash_near_dedup": oracles.OP7, "op4_decontamination": oracles.OP4, "op2_line_dedup": oracles.OP2, "op10_substring_dedup": oracles.OP10, "op11_hard_negatives": oracles.OP11}
