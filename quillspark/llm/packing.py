@@ -120,8 +120,9 @@ class Encoder(dict):
 
     @staticmethod
     def _letter(stem: bytes) -> bool:
+        """Whether it ends in a letter that is one letter in lower case too. The capital dotted I becomes an i and a combining dot, which joins the symbols behind it."""
         last = stem[-4:].decode("utf-8", "ignore")[-1:]
-        return bool(last) and last.isalpha() and ord(last) < 0x250
+        return bool(last) and last.isalpha() and ord(last) < 0x250 and len(last.lower()) == 1
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
