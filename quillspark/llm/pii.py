@@ -25,13 +25,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import durable, plain
-from quillspark.llm.spans import count_of, listed, same_row, spans_of, with_matches
+from quillspark.llm.spans import bound, count_of, listed, same_row, spans_of, with_matches
 
 KINDS = ("email", "ip", "card", "phone")
 #: Lines that the trees are trained and calibrated on, trees and their depth, and the precision asked for.
 TRAINING, TREES, DEPTH, PRECISION = 6000, 12, 4, 0.99
-#: Code points of context on either side, and of the buckets in which spans meet.
-CONTEXT, BUCKET = 24, 200
+#: Code points of context on either side, of the buckets in which spans meet, and of the chunks that contexts are cut from.
+CONTEXT, BUCKET, CHUNK = 24, 200, 1000
 SPANS = "array<struct<kind:string,start:int,stop:int>>"
 
 # Possessive forms of the base patterns: the same matches, in time proportional to the text. A match can only
@@ -93,15 +93,23 @@ def candidates(texts: DataFrame) -> DataFrame:
         spans_of("card", "card", _is_card),
         spans_of("phone", "phone", _is_phone),
     )
-    around = lambda kind: F.transform(
+    # Contexts are cut from chunks, since a substring is counted from its text's start.
+    chunk = lambda own, b: F.coalesce(F.get(own, b), F.lit(""))
+    at = lambda place: F.floor(place / CHUNK).cast("int")
+    left = lambda own, m: F.substring(
+        F.concat(chunk(own, at(m["start"]) - 1), chunk(own, at(m["start"]))),
+        F.greatest(m["start"] - CONTEXT, F.lit(0)) - F.greatest(at(m["start"]) - 1, F.lit(0)) * CHUNK + 1,
+        F.least(m["start"], F.lit(CONTEXT)),
+    )
+    right = lambda own, m: F.substring(F.concat(chunk(own, at(m["stop"])), chunk(own, at(m["stop"]) + 1)), m["stop"] - at(m["stop"]) * CHUNK + 1, F.lit(4))
+    around = lambda own, kind: F.transform(
         F.col(f"loose_{kind}"),
-        lambda m: F.struct(
-            F.lit(kind).alias("kind"), m["start"].alias("start"), m["stop"].alias("stop"), m["found"].alias("found"),
-            F.lower(F.substring(F.col("text"), F.greatest(m["start"] - CONTEXT, F.lit(0)) + 1, F.least(m["start"], F.lit(CONTEXT)))).alias("left"),
-            F.substring(F.col("text"), m["stop"] + 1, F.lit(4)).alias("right"),
-        ),
-    )
-    return df.select("doc_id", "version", base.alias("base"), F.concat(*[around(k) for k in KINDS]).alias("loose"))
+        lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["stop"].alias("stop"), m["found"].alias("found"), F.lower(left(own, m)).alias("left"), right(own, m).alias("right")),
+    )
+    any_loose = sum((F.size(f"loose_{k}") for k in KINDS), F.lit(0)) > 0
+    chunks = F.when(any_loose, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    loose = bound(chunks, lambda own: F.concat(*[around(own, k) for k in KINDS]))
+    return df.select("doc_id", "version", base.alias("base"), loose.alias("loose"))
 
 
 def apart_from_base(parts: DataFrame) -> DataFrame:

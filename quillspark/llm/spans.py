@@ -5,6 +5,8 @@ A span is struct<kind, start, stop>, in code points, stop exclusive. Matches are
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,14 +14,20 @@ from pyspark.sql import functions as F
 RUN = 256
 
 
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value worked out once: an expression that a lambda refers to is worked out anew for each element."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def before(lengths: Column) -> Column:
-    """Of each element, the sum of those before it."""
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / RUN).cast("int")), lambda b: F.slice(lengths, b * RUN + 1, RUN))
+    """Of each element, the sum of those before it, in time proportional to them."""
+    blocks = lambda own: F.transform(F.sequence(F.lit(0), F.floor((F.size(own) - 1) / RUN).cast("int")), lambda b: F.slice(own, b * RUN + 1, RUN))
     total = lambda block: F.aggregate(block, F.lit(0), lambda s, x: s + x)
-    bases = F.aggregate(F.transform(blocks, total), F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+    bases = lambda own: F.aggregate(F.transform(own, total), F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
     run = lambda block, base: F.slice(F.aggregate(block, F.array(base), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x))), 1, F.size(block))
-    summed = F.flatten(F.transform(blocks, lambda block, i: run(block, F.element_at(bases, i + 1))))
-    return F.when(F.size(lengths) > 0, summed).otherwise(F.array().cast("array<int>"))
+    summed = lambda own, base: F.flatten(F.transform(own, lambda block, i: run(block, F.element_at(base, i + 1))))
+    of_blocks = lambda own: bound(bases(own), lambda base: summed(own, base))
+    return bound(lengths, lambda own: F.when(F.size(own) > 0, bound(blocks(own), of_blocks)).otherwise(F.array().cast("array<int>")))
 
 
 def with_matches(df: DataFrame, name: str, text: str, pattern: str, gate: Column) -> DataFrame:
