@@ -193,6 +193,14 @@ def s01_k01_csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return _as_csv(spark, V.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("abstract_id"), F.col("text").alias("full_abstract")))
 
 
+@query("select doc_id::varchar as abstract_id, lang, text as full_abstract, coalesce(source, '') as source from documents")
+def s01_csv_by_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """The same by byte ranges of the files, quoted line breaks and all."""
+    path = scratch_path(spark, "csv")
+    K.write_csv(V.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("abstract_id"), "lang", F.col("text").alias("full_abstract"), "source"), path)
+    return S.read_csv(spark, path, large=0)
+
+
 @query("select n_nationkey::varchar as abstract_id, n_name as abstract_title, '' as session_title from nation where n_nationkey <> 3")
 def s03_s10_typed_records(spark: SparkSession, d: str) -> DataFrame:
     raw = V.table(spark, d, "nation").select(F.when(F.col("n_nationkey") == 3, " ").otherwise(F.col("n_nationkey").cast("string")).alias("ID"), F.concat(F.lit(" "), "n_name", F.lit(" ")).alias("title"))

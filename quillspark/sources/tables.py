@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import or_empty, parsed_list, strip
+from quillspark.sources.csv_blocks import largest_file, read_blocks
 from quillspark.sources.scratch import written
 
 # The header names that stand for a field, in order of preference.
@@ -18,9 +19,14 @@ ALIASES = {
 }
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns are strings; missing cells are empty, names keep their spelling but for a byte-order mark."""
+def read_csv(spark: SparkSession, path: str, large: int = 64 << 20) -> DataFrame:
+    """All columns are strings; missing cells are empty, names keep their spelling but for a byte-order mark.
+
+    With a file of more than `large` bytes, all tasks read each file by byte ranges; smaller files are read by a task each.
+    """
     df = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', inferSchema=False)
+    if largest_file(spark, path) > large:
+        df = read_blocks(spark, path, df.columns)
     return df.select(*[or_empty(F.col(f"`{c}`")).alias(c.lstrip("﻿")) for c in df.columns])
 
 
