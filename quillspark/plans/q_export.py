@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 from quillspark.functions import text as T
 from quillspark.operators import providers as L
 from quillspark.operators import records as R
+from quillspark.operators import search as Q
 from quillspark.operators.incremental import Step, standalone, workflow
 from quillspark.plans import export as X
 from quillspark.plans import views as V
@@ -310,6 +310,42 @@ def s18_class_query(spark: SparkSession, d: str) -> DataFrame:
     return V.table(spark, d, "part").select("p_partkey", T.class_query(F.col("p_name")).alias("search_query"), T.in_domains(F.concat(F.lit("https://"), host, F.lit("/x?fda.gov"))).alias("in_domains"))
 
 
+_TITLES = r"""titles as (select page_id, regexp_extract_all(lower(regexp_extract(html, '<title>([^<]*)</title>', 1)), '[\p{L}\p{N}]+') as w from pages),
+tokens as (select page_id, w[i] as term, i as place from (select page_id, regexp_extract_all(lower(regexp_replace(html, '<[^>]*>', ' ', 'g')), '[\p{L}\p{N}]+') as w from pages), lateral (select unnest(range(1, len(w) + 1)) as i)),
+lengths as (select page_id, url, (select count(*) from tokens t where t.page_id = p.page_id) as n_words from pages p),
+asked as (select page_id as query_id, [[w[1]], [w[2] || ' ' || w[3], w[4]]] as groups from titles where len(w) >= 4),
+each as (select distinct query_id, g, unnest(groups[g]) as phrase from asked, lateral (select unnest([1, 2]) as g)),
+parts as (select distinct phrase, regexp_extract_all(phrase, '[\p{L}\p{N}]+') as t from each),
+hits as (select phrase, a.page_id, count(*) as n from parts join tokens a on a.term = t[1] left join tokens b on b.page_id = a.page_id and b.place = a.place + 1 and b.term = t[2] where len(t) = 1 or b.term is not null group by all),
+df as (select phrase, count(*) as df from hits group by phrase),
+total as (select count(*) as n_all, avg(n_words) as average from lengths),
+rows as (select e.query_id, e.g, h.page_id, e.phrase, l.url, ln(1 + (n_all - df + 0.5) / (df + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * n_words / average)) as weight
+  from each e join hits h using (phrase) join df using (phrase) join lengths l on l.page_id = h.page_id, total where {keep}),
+met as (select query_id, page_id, url, count(distinct g) as met, round(sum(case when g = first_g then weight else 0 end), 6) as score from (select *, min(g) over (partition by query_id, page_id, phrase) as first_g from rows) group by all),
+ranked as (select query_id, page_id, url, score, row_number() over (partition by query_id order by score desc, page_id) as rank from met where met = 2)
+select query_id, cast(rank as integer) as rank, page_id, url, score from ranked where rank <= {top}"""
+
+
+def _title_queries(spark: SparkSession, d: str) -> DataFrame:
+    """(w1 AND ("w2 w3" OR w4)) of the words of each page's title."""
+    titles = V.table(spark, d, "pages").select("page_id", Q.words(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("w")).where("size(w) >= 4")
+    return titles.select(F.col("page_id").alias("query_id"), Q.firm_groups(F.get("w", F.lit(0)), F.array(F.concat_ws(" ", F.get("w", F.lit(1)), F.get("w", F.lit(2))), F.get("w", F.lit(3)))).alias("groups"))
+
+
+@query("with " + _TITLES.replace("{keep}", "true").replace("{top}", "3"))
+def s19_boolean_search(spark: SparkSession, d: str) -> DataFrame:
+    """Drug and one of two firms, for the words of every page's title, over all pages."""
+    index = Q.build(V.table(spark, d, "pages"), Q.page_text(F.col("html")))
+    return Q.search(index, _title_queries(spark, d), 3)
+
+
+@query("with " + _TITLES.replace("{keep}", "regexp_matches(lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1)), '(^|[.])example[.]com$')").replace("{top}", "5"))
+def s18_search_in_domains(spark: SparkSession, d: str) -> DataFrame:
+    """The same within a domain and its subdomains."""
+    index = Q.build(V.table(spark, d, "pages"), Q.page_text(F.col("html")))
+    return Q.search(index, _title_queries(spark, d), 5, T.in_domains(F.col("url"), ("example.com",)))
+
+
 @query(V.sql("select n_nationkey, url from (select n_nationkey, p.url, row_number() over (partition by n_nationkey order by p.url, p.page_id) as k from nation join search_results p on p.page_id % 25 = n_nationkey) where k <= 3", "search_results"))
 def s18_search_source(spark: SparkSession, d: str) -> DataFrame:
     pages = V.search_results(spark, d).withColumn("n_nationkey", (F.col("page_id") % 25).cast("int"))
@@ -461,11 +497,9 @@ def c09_three_pipelines(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select user_id, event_type, max(event_id) as event_id from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as k from events) where k = 1 group by all")
 def c13_stream_latest_state(spark: SparkSession, d: str) -> DataFrame:
-    schema = V.table(spark, d, "events").schema
-    path = scratch_path(spark, "state")
-    run = M.keep_latest(M.events(spark, d, schema, "events.parquet"), path, ["user_id", "event_type"], ["ts", "event_id"], scratch_path(spark, "state-checkpoint"))
-    run.awaitTermination()
-    return spark.read.parquet(f"{path}/version={run.lastProgress['batchId']}").select("user_id", "event_type", "event_id")
+    schema, checkpoint = V.table(spark, d, "events").schema, scratch_path(spark, "state-checkpoint")
+    M.keep_latest(M.events(spark, d, schema, "events.parquet"), ["user_id", "event_type"], ["ts", "event_id"], checkpoint).awaitTermination()
+    return M.live(spark, checkpoint).select("user_id", "event_type", "event_id")
 
 
 @query("select event_type, strftime(date_trunc('hour', ts), '%Y-%m-%dT%H') as hour, count(*) as n from events group by all")

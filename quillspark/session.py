@@ -16,6 +16,8 @@ def session(name: str = "quillspark", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     for key, value in (settings | {k.replace("__", "."): v for k, v in conf.items()}).items():
         builder = builder.config(key, value)

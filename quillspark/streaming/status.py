@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from quillspark.operators.records import latest
-
 
 def events(spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet") -> DataFrame:
     """Files of a folder as a stream, with an event time that can be watermarked."""
@@ -25,15 +25,23 @@ def sessions(stream: DataFrame, keys: list[str], gap: str, late: str = "10 minut
     return stream.withWatermark("ts", late).groupBy(F.session_window("ts", gap), *keys).agg(F.count("*").alias("n")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), *keys, "n")
 
 
-def keep_latest(stream: DataFrame, path: str, keys: list[str], order: list[str], checkpoint: str) -> StreamingQuery:
-    """Keeps the last state of each key in a table: each batch writes a new version of it, so a batch that is run again changes nothing."""
+def keep_latest(stream: DataFrame, keys: list[str], order: list[str], checkpoint: str, changed: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+    """Keeps the last row of each key in the query's state: rows of equal order go by their other columns, null before all values.
+
+    The state is dealt by key and kept in the checkpoint. A batch reads and writes the states of its own keys, so what it costs follows
+    the batch and not all that came before; a query that starts again from the checkpoint goes on where the last batch was committed.
+    changed: gets, per batch, the rows that are new to their keys, as often as a batch is run; in a table, write them under the batch's number.
+    """
+    rest = [c for c in stream.columns if c not in keys and c not in order]
+    state = stream.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("state"))
+
+    def hand_on(batch: DataFrame, epoch: int) -> None:
+        changed(batch.select(*keys, "state.*"), epoch)
+
+    writer = state.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return (writer.foreachBatch(hand_on) if changed else writer.format("noop")).start()
 
-    def merge(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        before = f"{path}/version={epoch - 1}"
-        rows = latest(batch, keys, order)
-        if epoch:
-            rows = latest(spark.read.schema(batch.schema).parquet(before).unionByName(rows), keys, order)
-        rows.write.mode("overwrite").parquet(f"{path}/version={epoch}")
 
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def live(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """All keys and their last rows, as of the last batch committed: read from the state itself, while the query runs or after it."""
+    return spark.read.format("statestore").load(checkpoint).select("key.*", "value.max.*")
