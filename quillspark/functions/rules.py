@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import strip
+from quillspark.functions.targets import targeted
+from quillspark.functions.text import let, strip
 
 # What stands between drugs of a title, by the role of the drug after it.
 SECONDARY = (
@@ -22,13 +23,16 @@ MARK = {"secondary": "\x01", "comparator": "\x02", "primary": "\x03"}
 EXCLUDED = r"(?i)^(?:placebo|chemotherapy|radiotherapy|immunotherapy|fluoropyrimidine|nct[0-9]+|intravenous|subcutaneous|oral|topical|i\.v\.|s\.c\.|inhibitor|blockade|antagonist|agonist|blocker)$"
 DOSAGE = r"(?i)\s*\b[0-9]+(?:\.[0-9]+)?\s?(?:mg|mcg)\b"
 # Labels too general to be a class.
-GENERIC = ("Chemotherapy", "Immunotherapy", "Radiation Therapy", "Immunosuppressant", "Anti-tumor", "Anti-cancer", "Antibody", "Targeted Therapy", "Small Molecule", "Antineoplastic Agent", "Adjuvant")
+GENERIC = (
+    "Chemotherapy", "Immunotherapy", "Radiation Therapy", "Immunosuppressant", "Anti-tumor", "Anti-cancer", "Antibody", "Targeted Therapy", "Small Molecule", "Hormone", "Immunotherapeutic",
+    "Hormone Stimulation Therapy", "Antineoplastic Agent", "Adjuvant", "Agent", "Inhibitor", "Agonist", "Antagonist", "Modulator", "Degrader", "Engager", "Conjugate", "Stimulant",
+)
 # Abbreviations and what they stand for.
 ABBREVIATIONS = {"ADC": "Antibody Drug Conjugate", "ICI": "Immune Checkpoint Inhibitor", "TKI": "Tyrosine Kinase Inhibitor", "BITE": "Bispecific T-cell Engager"}
 # Texts that make a class whatever else they say, by pattern.
 OVERRIDES = (
     (r"(?i)\b(?:pet imaging|diagnostic|radiotracer|18f-|68ga-|technetium)", "Diagnostic Imaging Agent"),
-    (r"(?i)\b(?:magnesium|calcium|potassium|zinc|iron)\b", "Mineral Supplement"),
+    (r"(?i)\b(?:magnesium|calcium|potassium|zinc(?! finger)|iron)\b(?! (?:channel|antagonist|blocker|inhibitor|receptor)s?\b)", "Mineral Supplement"),
     (r"(?i)\bvaccine", "Vaccine"),
     (r"(?i)platelet-rich plasma", "Plasma Therapy"),
     (r"(?i)\b(?:androgen deprivation|adt|hormonal therapy)\b", "Hormonal Therapy"),
@@ -36,15 +40,8 @@ OVERRIDES = (
 # Regimens and their parts.
 REGIMENS = {"CHOP": ("Cyclophosphamide", "Doxorubicin", "Vincristine", "Prednisone"), "FOLFIRI": ("Folinic Acid", "Fluorouracil", "Irinotecan")}
 CLASS_PRIORITY = {"MoA": 1, "Chemical": 2, "Mode": 3, "Therapeutic": 4}
-# Modalities that are captured with their target, and those that must stay what the source calls them.
-TARGETED = ("agonist", "antagonist", "modulator", "degrader")
+# Modalities that must stay what the source calls them.
 MODALITIES = ("antibody", "inhibitor", "agonist", "antagonist", "modulator", "degrader", "engager", "vaccine")
-# Engager platforms.
-PLATFORMS = ("BIKE", "TRIKE", "SMITE")
-# Classes that are captured whenever a text has them, by pattern.
-ALWAYS = ((r"(?i)\b(?:til therapy|tumor infiltrating lymphocyte therapy)\b", "TIL Therapy"), (r"(?i)\bantibody drug conjugate\b", "Antibody Drug Conjugate"), (r"(?i)\bexon skipping therapy\b", "Exon Skipping Therapy"))
-# Contexts in which a class is not extracted.
-NOT_EXTRACTED = r"(?i)\b(?:stewardship program|previously treated with|prior treatment with|pretreated with|[a-z0-9-]+[- ](?:related|induced|associated)|failed prior|refractory to|resistant to|resistance to)\b"
 
 
 def _between(words: tuple[str, ...]) -> str:
@@ -94,18 +91,14 @@ def singular(text: Column) -> Column:
 
 
 def class_name(text: Column) -> Column:
-    """Abbreviations, blockers, anti-targets and target order; then title case and singular."""
+    """Abbreviations, blockers, cells, targets with their modality; then title case and singular."""
     out = F.regexp_replace(strip(text), r"\s+", " ")
     for short, long in ABBREVIATIONS.items():
-        out = F.when(F.upper(out) == short, F.lit(long)).otherwise(out)
+        out = F.regexp_replace(out, rf"^(?i:{short})s?$|\b{short}s?\b", long)
     out = F.regexp_replace(out, r"(?i)\b(?:blockers?|blockade)\b", "Inhibitor")
-    out = F.regexp_replace(out, r"(?i)^anti-([A-Za-z0-9/]+) (antibody|antibodies|therapy)$", "$1-Targeted $2")
-    out = F.regexp_replace(out, r"(?i)^([A-Za-z0-9/]+) targeted\b", "$1-Targeted")
     out = F.regexp_replace(F.regexp_replace(out, r"(?i)\bbi-specific\b", "Bispecific"), r"(?i)\btri-specific\b", "Trispecific")
-    names = F.transform(F.split(F.regexp_extract(out, r"^([A-Z0-9]+(?:/[A-Z0-9]+)+)-", 1), "/"), lambda t: F.struct(F.regexp_extract(t, r"^([A-Z]*)", 1).alias("letters"), F.lpad(F.regexp_extract(t, r"([0-9]*)$", 1), 6, "0").alias("number"), t.alias("name")))
-    targets = F.array_join(F.transform(F.array_sort(names), lambda t: t["name"]), "/")  # CD3 before CD20
-    out = F.when(out.rlike(r"^[A-Z0-9]+(?:/[A-Z0-9]+)+-"), F.concat(targets, F.regexp_replace(out, r"^[A-Z0-9/]+-", "-"))).otherwise(out)
-    out = F.regexp_replace(out, r"(?i)\b(cells?)$", "Cell Therapy")
+    out = F.regexp_replace(out, r"(?i)\b((?:bi|tri)specific) T cell (engagers?)\b", "$1 T-Cell $2")
+    out = F.regexp_replace(let(out, targeted), r"(?i)\b(cells?)$", "Cell Therapy")
     return singular(title_case(out))
 
 
@@ -121,25 +114,6 @@ def classes(texts: Column) -> Column:
     return F.when(F.size(left) > 0, left).otherwise(F.array(F.lit("NA")))
 
 
-def captured(text: Column) -> Column:
-    """The classes that a text's own words name: multispecific antibodies and engager platforms with their targets, agonists and the like with what stands before them, and those that are always captured.
-
-    Nothing in a context of prior treatment, cause or resistance.
-    """
-    # Targets after the platform: sorted by letters, then number, and put in front.
-    named = F.regexp_extract(text, r"(?i)\btargeting ([A-Z0-9-]+(?:(?:/| and |, )[A-Z0-9-]+)*)", 1)
-    sorted_targets = F.array_sort(F.transform(F.split(named, r"/| and |, "), lambda t: F.struct(F.regexp_extract(t, r"^([A-Za-z-]*)", 1).alias("letters"), F.lpad(F.regexp_extract(t, r"([0-9]*)$", 1), 6, "0").alias("number"), t.alias("name"))))
-    prefix = F.when(named != "", F.concat(F.array_join(F.transform(sorted_targets, lambda t: t["name"]), "/"), F.lit("-Targeted "))).otherwise("")
-    one = lambda pattern, name: F.when(text.rlike(pattern), F.concat(prefix, F.lit(name)))
-    found = [one(rf"(?i)\b{n}-?specific antibod(?:y|ies)\b", f"{n.capitalize()}specific Antibody") for n in ("bi", "tri")]
-    found += [one(rf"\b{p}s?\b", p) for p in PLATFORMS]
-    for word in TARGETED:
-        before = F.regexp_extract(text, rf"(?i)\b(?:an? |the )?((?:(?!an? |the |is |and |or |with |of )[A-Za-z0-9-]+ ){{1,2}}){word}s?\b", 1)
-        found.append(F.when(before != "", title_case(F.concat(before, F.lit(word)))))
-    found += [F.when(text.rlike(p), F.lit(c)) for p, c in ALWAYS]
-    return F.when(text.rlike(NOT_EXTRACTED), F.array().cast("array<string>")).otherwise(F.filter(F.array(*found), lambda x: x.isNotNull()))
-
-
 def without_general(names: Column) -> Column:
     """Anti-Metabolite goes where another class is named, and Immune Checkpoint Inhibitor where an inhibitor of a target is."""
     special = F.filter(names, lambda n: ~F.lower(n).isin("anti-metabolite", "antimetabolite"))

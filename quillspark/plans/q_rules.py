@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.functions import mentions as N
 from quillspark.functions import rules as U
 from quillspark.functions import text as T
 from quillspark.operators import records as R
@@ -105,7 +106,112 @@ def r15_r20_r26_r33_captured(spark: SparkSession, d: str) -> DataFrame:
         .when(k == 3, F.lit("a tumor infiltrating lymphocyte therapy")).when(k == 4, F.concat(F.lit("patients previously treated with a "), "p_name", F.lit(" agonist"))).when(k == 5, F.concat(F.lit("the "), F.lower("p_type"), F.lit(" receptor modulators")))
         .otherwise(F.concat(F.lit("Drug is the "), "p_name", F.lit(" antagonist and an antibody drug conjugate")))
     )
-    return V.table(spark, d, "part").select("p_partkey", T.listed(U.captured(text)).alias("classes"))
+    return V.table(spark, d, "part").select("p_partkey", T.listed(N.captured(text)).alias("classes"))
+
+
+# Texts and the classes that the rules make of them; {d} is a name and {n} a number of a row.
+_EXAMPLES = (
+    ("flt3 inhibitor", "FLT3 Inhibitor"),
+    ("PDL{n}-Inhibitor", "PDL{n}-Inhibitor"),
+    ("PD-{n} Inhibitors", "PD-{n} Inhibitor"),
+    ("{d} has two mechanisms: PD-{n} inhibitor and CTLA-{n} inhibitor.", "PD-{n} Inhibitor;;CTLA-{n} Inhibitor"),
+    ("{d} is a cytolytic antibody.", "Cytolytic Antibody"),
+    ("{d} is a monoclonal antibody.", "Monoclonal Antibody"),
+    ("BM{n} targeted therapy", "BM{n}-Targeted Therapy"),
+    ("BCR-ABL inhibitor", "BCR-ABL Inhibitor"),
+    ("{d} is an anti-PD{n} antibody.", "PD{n}-Targeted Antibody"),
+    ("anti-PD-{n} antibody", "PD-{n}-Targeted Antibody"),
+    ("Anti-CD{n} monoclonal antibody", "CD{n}-Targeted Monoclonal Antibody"),
+    ("{d} inhibits PDL{n}.", "PDL{n}-Inhibitor"),
+    ("{d} is an AR-targeted PROTAC.", "AR-Targeted PROTAC"),
+    ("{d} is a CD3/CD1{n} bispecific T cell engager.", "CD3/CD1{n}-Targeted Bispecific T-Cell Engager"),
+    ("{d} is a PD-{n} blocker.", "PD-{n} Inhibitor"),
+    ("{d} works through PD-{n} blockade.", "PD-{n} Inhibitor"),
+    ("{d} is a BK virus inhibitor.", "BK Virus Inhibitor"),
+    ("{d} is a CNS stimulant.", "CNS Stimulant"),
+    ("{d} is a GLP-{n} agonist.", "GLP-{n} Agonist"),
+    ("{d} is an EGFR antagonist.", "EGFR Antagonist"),
+    ("{d} is a bispecific antibody targeting CD3 and CD1{n}.", "CD3/CD1{n}-Targeted Bispecific Antibody"),
+    ("{d} is a trispecific antibody.", "Trispecific Antibody"),
+    ("{d} is an immune checkpoint inhibitor.", "Immune Checkpoint Inhibitor"),
+    ("{d} is an estrogen receptor modulator.", "Estrogen Receptor Modulator"),
+    ("{d} is a PROTAC degrader targeting AR.", "AR Degrader"),
+    ("{d} is a gene therapy for hemophilia.", "Gene Therapy"),
+    ("{d} is used for androgen deprivation therapy.", "Hormonal Therapy"),
+    ("Patient received ADT treatment.", "Hormonal Therapy"),
+    ("{d} is a BIKE targeting CD3/CD19.", "CD3/CD19-Targeted BIKE"),
+    ("{d} is a TRIKE therapeutic.", "TRIKE"),
+    ("{d} is a SMITE molecule.", "SMITE"),
+    ("{d} is a hypomethylating agent.", "Hypomethylating Agent"),
+    ("{d} is 18F-FDG used for PET imaging.", "Diagnostic Imaging Agent"),
+    ("{d} is 68Ga-PSMA for prostate cancer detection.", "Diagnostic Imaging Agent"),
+    ("{d} is a radiotracer for cardiac imaging.", "Diagnostic Imaging Agent"),
+    ("{d} is magnesium sulfate for seizure prevention.", "Mineral Supplement"),
+    ("{d} is potassium chloride for hypokalemia.", "Mineral Supplement"),
+    ("{d} is calcium gluconate.", "Mineral Supplement"),
+    ("{d} is an mRNA vaccine.", "Vaccine"),
+    ("{d} is a live attenuated vaccine.", "Vaccine"),
+    ("{d} is a cancer vaccine.", "Vaccine"),
+    ("{d} is a stem cell product.", "Stem Cell Therapy"),
+    ("{d} uses autologous hematopoietic cells.", "Autologous Hematopoietic Cell Therapy"),
+    ("{d} is an autologous hematopoietic stem cell therapy.", "Autologous Hematopoietic Stem Cell Therapy"),
+    ("{d} is a CAR-T cell product.", "CAR-T Cell Therapy"),
+    ("{d} is an NK cell therapy.", "NK Cell Therapy"),
+    ("{d} uses dendritic cells.", "Dendritic Cell Therapy"),
+    ("{d} is a TIL therapy.", "TIL Therapy"),
+    ("{d} is an antibody drug conjugate.", "Antibody Drug Conjugate"),
+    ("{d} is an exon skipping therapy.", "Exon Skipping Therapy"),
+    ("{d} uses platelet-rich plasma.", "Plasma Therapy"),
+    ("{d} is an anti-metabolite and DHFR inhibitor.", "DHFR Inhibitor"),
+    ("{d} is a PD-L1 inhibitor", "PD-L1 Inhibitor"),
+    ("Primary: Drug A (PD-{n} inhibitor) vs Comparator: Drug B (chemotherapy)", "PD-{n} Inhibitor"),
+    ("{d} is a CD3/CD1{n}-targeted bispecific antibody.", "CD3/CD1{n}-Targeted Bispecific Antibody"),
+    ("Antimicrobial Stewardship Program conference", "NA"),
+    ("NSCLC patients previously treated with EGFR-Inhibitor", "NA"),
+    ("EGFR-Inhibitor Related Cardiac Dysfunction", "NA"),
+    ("Patient failed prior TKI therapy", "NA"),
+    ("Patient received chemotherapy.", "NA"),
+    ("Patient received immunotherapy.", "NA"),
+    ("{d} is a targeted therapy.", "NA"),
+    ("{d} is an antibody.", "NA"),
+    ("{d} has anti-tumor activity.", "NA"),
+    ("{d} is a small molecule.", "NA"),
+    ("{d} is an antineoplastic agent.", "NA"),
+    ("{d} treats breast cancer.", "NA"),
+    ("{d} used in surgery.", "NA"),
+    ("{d} affects cell proliferation.", "NA"),
+    ("No mechanism information provided.", "NA"),
+    ("{d} is used as adjuvant therapy.", "NA"),
+    ("{d} is an ADC.", "Antibody Drug Conjugate"),
+    ("{d} is an ICI.", "Immune Checkpoint Inhibitor"),
+    ("{d} is a TKI.", "Tyrosine Kinase Inhibitor"),
+    ("{d} is a BITE.", "Bispecific T-cell Engager"),
+    ("{d} is an estrogen receptor antagonist; stops drug-induced nausea", "Estrogen Receptor Antagonist"),
+    ("HER2-targeted ADC", "HER2-Targeted Antibody Drug Conjugate"),
+    ("CD1{n}/CD3-targeted antibody", "CD3/CD1{n}-Targeted Antibody"),
+    ("PD-L1/CTLA-4-targeted antibody", "CTLA-4/PD-L1-Targeted Antibody"),
+    ("GLP-1/GIP receptor agonist", "GIP/GLP-1 Receptor Agonist"),
+    ("a 4-1BB agonist, a zinc finger inhibitor", "4-1BB Agonist;;Zinc Finger Inhibitor"),
+    ("a PD-{n} inhibitor is an immune checkpoint inhibitor", "PD-{n} Inhibitor"),
+    ("Patients resistant to a BRAF inhibitor v1.2 received it. It is a MEK inhibitor", "MEK Inhibitor"),
+    ("immune checkpoint inhibitor-related colitis, treated with a JAK{n} inhibitor", "JAK{n} Inhibitor"),
+    ("calcium channel blocker", "Calcium Channel Inhibitor"),
+    ("bite of an insect", "NA"),
+    ("anti-inflammatory agent", "Anti-inflammatory Agent"),
+)
+
+
+def _filled(k: int) -> str:
+    listed = "[" + ", ".join("'" + e[k].replace("'", "''") + "'" for e in _EXAMPLES) + "]"
+    return f"replace(replace({listed}[p_partkey % {len(_EXAMPLES)} + 1], '{{d}}', p_name), '{{n}}', cast(p_size as varchar))"
+
+
+@query(f"select p_partkey, {_filled(0)} as text, {_filled(1)} as classes from part")
+def r03_r38_class_examples(spark: SparkSession, d: str) -> DataFrame:
+    """The classes of texts by all rules together."""
+    template = F.element_at(F.array(*[F.lit(t) for t, _ in _EXAMPLES]), (F.col("p_partkey") % len(_EXAMPLES) + 1).cast("int"))
+    text = F.replace(F.replace(template, F.lit("{d}"), F.col("p_name")), F.lit("{n}"), F.col("p_size").cast("string"))
+    return V.table(spark, d, "part").select("p_partkey", text.alias("text")).withColumn("classes", T.listed(N.classes_of(F.col("text"))))
 
 
 @query("select p_partkey, case when p_size % 2 = 0 then p_brand || ' Inhibitor' when p_size % 3 = 0 then 'Immune Checkpoint Inhibitor' else 'Anti-Metabolite' end as classes from part")

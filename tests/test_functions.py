@@ -7,8 +7,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from quillspark.functions import mentions as N
 from quillspark.functions import rules as U
 from quillspark.functions import text as T
+from quillspark.functions.targets import in_order
 from quillspark.operators import incremental as I
 from quillspark.operators import providers as L
 from quillspark.operators import records as R
@@ -184,5 +186,30 @@ def test_captured_classes(spark):
         "Drug G is a bispecific antibody targeting CD3 and CD20.": ["CD3/CD20-Targeted Bispecific Antibody"], "Drug H is a trispecific antibody.": ["Trispecific Antibody"], "Drug E is a GLP-1 agonist.": ["GLP-1 Agonist"],
         "Drug N is a BIKE targeting CD3/CD19.": ["CD3/CD19-Targeted BIKE"], "Drug is an exon skipping therapy.": ["Exon Skipping Therapy"], "Patient failed prior EGFR antagonist": [], "Drug J is an estrogen receptor modulator.": ["Estrogen Receptor Modulator"],
     }
-    rows = spark.createDataFrame([(t,) for t in cases], "t string").select("t", U.captured(F.col("t")).alias("c"))
+    rows = spark.createDataFrame([(t,) for t in cases], "t string").select("t", N.captured(F.col("t")).alias("c"))
     assert {r.t: r.c for r in rows.collect()} == cases
+
+
+def test_contexts_hide_their_own_mentions_only(spark):
+    cases = {
+        "Drug is an estrogen receptor antagonist; stops drug-induced nausea": "Estrogen Receptor Antagonist",
+        "A MEK inhibitor for patients resistant to a BRAF inhibitor of v1.2 and an ALK inhibitor. It is no TKI": "MEK Inhibitor;;Tyrosine Kinase Inhibitor",
+        "immune checkpoint inhibitor-related colitis, treated with a JAK2 inhibitor": "JAK2 Inhibitor",
+        "previously treated with a PD-1 inhibitor\nnow on a CTLA-4 inhibitor": "CTLA-4 Inhibitor",
+        "Antimicrobial Agent Stewardship Program: an H2 antagonist": "H2 Antagonist",
+        "platinum-refractory disease refractory to ADC": "", "": "", "ADCs and a HER2-targeted ADC, and ADC": "Antibody Drug Conjugate;;HER2-Targeted Antibody Drug Conjugate",
+    }
+    rows = spark.createDataFrame([(t,) for t in cases] + [(None,)], "t string").select("t", F.array_join(N.captured(F.col("t")), ";;").alias("c")).collect()
+    assert {r.t: r.c for r in rows} == cases | {None: ""}
+
+
+def test_targets_have_a_natural_order(spark):
+    cases = {"PD-L1/CTLA-4": "CTLA-4/PD-L1", "CD20 and CD3": "CD3/CD20", "CD123, CD19, and CD3": "CD3/CD19/CD123", "IL-17/IL-6": "IL-6/IL-17", "HER2/4-1BB": "4-1BB/HER2", "BCR-ABL": "BCR-ABL", "CD3/CD3": "CD3/CD3"}
+    rows = spark.createDataFrame([(t,) for t in cases], "t string").select("t", in_order(F.col("t")).alias("o")).collect()
+    assert {r.t: r.o for r in rows} == cases
+
+
+def test_mentions_take_time_in_proportion_to_the_text(spark):
+    texts = [("word " * 40_000,), ("PD-1/" * 20_000 + "x",), ("anti-" * 20_000,), ("a-b-" * 20_000 + "induced",)]
+    rows = spark.createDataFrame(texts, "t string").select(F.size(N.captured(F.col("t"))).alias("n"))
+    assert rows.count() == 4 and rows.agg(F.sum("n")).first()[0] is not None
