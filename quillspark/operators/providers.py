@@ -8,7 +8,7 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.sources.scratch import written
+from quillspark.sources.scratch import scratch_path, written
 
 
 class Provider(Protocol):
@@ -61,14 +61,21 @@ def short_circuit(rows: DataFrame, known: Column, answer: Column, provider: Prov
 
 
 def agent_loop(rows: DataFrame, step: Callable[[DataFrame], DataFrame], done: Column, most: int = 100) -> DataFrame:
-    """Repeats a step on the rows that aren't done, up to `most` times; all rows come back."""
-    finished, rest = rows.where(done), rows.where(~done)
-    for _ in range(most):
+    """Repeats a step on the rows that aren't done, up to `most` times; all rows come back.
+
+    Each round's rows are written once: those that are done to a folder that is read when all rounds are over, the others for the next round.
+    """
+    path = scratch_path(rows.sparkSession, "rounds")
+    rows.where(done).write.parquet(f"{path}/round=0")
+    rest, folders = rows.where(~done), [f"{path}/round=0"]
+    for k in range(1, most + 1):
         if rest.isEmpty():
             break
-        rest = written(step(rest), "round")  # a round's calls are made once, not again by each later one
-        finished, rest = finished.unionByName(rest.where(done)), rest.where(~done)
-    return finished.unionByName(rest)
+        ran = written(step(rest), "round")  # a round's calls are made once, not again by each later one
+        folders.append(f"{path}/round={k}")
+        ran.where(done).write.parquet(folders[-1])
+        rest = ran.where(~done)
+    return rows.sparkSession.read.schema(rows.schema).parquet(*folders).unionByName(rest)
 
 
 # The most batches of a kind of step that call out at the same time.
@@ -108,6 +115,10 @@ def guarded(provider: Provider) -> Callable[[DataFrame], DataFrame]:
     return run
 
 
+# Why nothing was consolidated.
+NO_EXPLICIT, NO_SELECTIONS = "No explicit drug classes to consolidate.", "No drug selections to compare against."
+
+
 def consolidated(explicit: Column, selections: Column) -> Column:
     """What is known without a call: NA without explicit classes, those as they are without selections; else null.
 
@@ -116,4 +127,4 @@ def consolidated(explicit: Column, selections: Column) -> Column:
     none = F.array().cast("array<string>")
     answer = lambda refined, why: F.struct(refined.alias("refined"), none.alias("removed"), F.lit(why).alias("reasoning"))
     empty = explicit.isNull() | (F.size(explicit) <= 0) | (explicit == F.array(F.lit("NA")))
-    return F.when(empty, answer(F.array(F.lit("NA")), "No explicit drug classes to consolidate.")).when(selections.isNull() | (F.size(selections) <= 0), answer(explicit, "No drug selections to compare against."))
+    return F.when(empty, answer(F.array(F.lit("NA")), NO_EXPLICIT)).when(selections.isNull() | (F.size(selections) <= 0), answer(explicit, NO_SELECTIONS))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
 from quillspark.operators import providers as L
 from quillspark.operators import records as R
 from quillspark.operators import search as Q
+from quillspark.operators import tool_loop as G
 from quillspark.operators.incremental import Step, standalone, workflow
 from quillspark.plans import export as X
 from quillspark.plans import views as V
@@ -423,6 +424,51 @@ def l05_l12_external_provider(spark: SparkSession, d: str) -> DataFrame:
     return L.external(lambda batch: [str(len(r["session_title"])) for r in batch], partitions=4)(V.abstracts(spark, d).select("abstract_id", "session_title"))
 
 
+_RULE_CATEGORIES = "(['STANDARD', 'ECONOMY', 'MEDIUM', 'PROMO', 'LARGE', 'SMALL', 'NONE'])"
+_LOOKED = f"""calls as (select s_suppkey, 0 as call, {_RULE_CATEGORIES}[s_suppkey % 7 + 1] as category, s_nationkey % 25 + 1 as a from supplier union all
+  select s_suppkey, 1, {_RULE_CATEGORIES}[s_suppkey % 6 + 1], s_suppkey % 25 + 1 from supplier where s_suppkey % 3 = 0),
+hits as (select s_suppkey, call, p_partkey, row_number() over (partition by s_suppkey, call order by p_partkey) || '. [' || p_partkey || '] ' || p_name as line from calls join part on p_type = category and p_brand in ('Brand#' || a, 'Brand#' || (a + 1))),
+texts as (select c.s_suppkey, c.call, coalesce(string_agg(h.line, chr(10) order by h.p_partkey), 'No rules found.') as text, count(h.p_partkey) as n from calls c left join hits h using (s_suppkey, call) group by all)"""
+
+
+def _rule_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rule table: the parts, by type and brand."""
+    rule = F.concat(F.lit("["), F.col("p_partkey").cast("string"), F.lit("] "), F.col("p_name"))
+    return V.table(spark, d, "part").select(F.col("p_partkey").alias("rule_id"), F.col("p_type").alias("category"), F.col("p_brand").alias("name"), rule.alias("rule"))
+
+
+def _lookups() -> Column:
+    return F.filter("messages", lambda m: m["kind"] == "tool")
+
+
+def _asks(rest: DataFrame) -> DataFrame:
+    """The recorded model: asks by the record's key, some ask a second time, then it says how many rules it was given."""
+    options = F.array(*[F.lit(c) for c in ("STANDARD", "ECONOMY", "MEDIUM", "PROMO", "LARGE", "SMALL", "NONE")])
+    category = lambda n: F.concat(F.lit(" "), F.element_at(options, (F.col("s_suppkey") % n + 1).cast("int")))
+    names = lambda k: F.array(*[F.concat(F.lit("Brand#"), (k + i).cast("string"), F.lit(" ")) for i in (1, 2)])
+    call = lambda c, n: F.array(F.struct(c.alias("category"), n.alias("names")))
+    n = F.size(_lookups())
+    first, second = call(category(7), names(F.col("s_nationkey") % 25)), call(category(6), names(F.col("s_suppkey") % 25))
+    again = (n == 1) & (F.col("s_suppkey") % 3 == 0)
+    lines = F.size(F.filter(F.flatten(F.transform(_lookups(), lambda m: F.split(m["text"], "\n"))), lambda x: x.rlike(r"^[0-9]+\. ")))
+    return rest.withColumns({"calls": F.when(n == 0, first).when(again, second), "answer": F.when((n > 0) & ~again, F.concat(F.when(lines > 0, "PASS").otherwise("FAIL"), F.lit(": "), lines.cast("string"), F.lit(" rules")))})
+
+
+@query(f"with {_LOOKED} select s_suppkey, count(*) as n_lookups, string_agg(text, '|' order by call) as rules, (case when sum(n) > 0 then 'PASS' else 'FAIL' end) || ': ' || cast(sum(n) as bigint) || ' rules' as answer from texts group by s_suppkey")
+def l10_rule_lookups(spark: SparkSession, d: str) -> DataFrame:
+    """An agent that looks rules up in the rule table until it answers."""
+    rows = G.started(V.table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").cast("long").alias("s_nationkey")), F.lit("extract"))
+    ran = G.with_rules(rows, ["s_suppkey"], _rule_rows(spark, d), _asks)
+    return ran.select("s_suppkey", F.size(_lookups()).cast("long").alias("n_lookups"), F.array_join(F.transform(_lookups(), lambda m: m["text"]), "|").alias("rules"), F.try_element_at("messages", F.lit(-1))["text"].alias("answer"))
+
+
+@query(f"with {_LOOKED} select s_suppkey, case when count(*) = 2 then 'REVIEW' when sum(n) > 0 then 'PASS' else 'FAIL' end as validation_status, case when count(*) = 2 then 'system_error' else cast(sum(n) as bigint) || ' rules' end as reason from texts group by s_suppkey")
+def l11_validation_agent(spark: SparkSession, d: str) -> DataFrame:
+    """The validation agent with the same rules; two rounds are too few for those that ask twice."""
+    rows = G.started(V.table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").cast("long").alias("s_nationkey")), F.lit("validate"))
+    return G.validated(rows, ["s_suppkey"], _rule_rows(spark, d), _asks, most=2)
+
+
 @query("select p_partkey, case when p_size % 10 < 3 then p_size % 10 else 3 end::bigint as n_lookups, 'rule ' || p_brand || ' 1' as first_lookup, case when p_size % 10 < 3 then 'answer' else 'lookup' end as last_kind from part where p_size % 10 > 0 union all select p_partkey, 0, '', 'answer' from part where p_size % 10 = 0")
 def l10_l11_agent_loop(spark: SparkSession, d: str) -> DataFrame:
     """A model's messages and the rules that its tool calls look up, in turn, until it calls none or three rounds are over. The number of calls it makes is drawn from the key."""

@@ -9,11 +9,12 @@ from quillspark.functions import rules as U
 from quillspark.functions import text as T
 from quillspark.operators import incremental as I
 from quillspark.operators import records as R
+from quillspark.operators import retries as Y
 from quillspark.operators import status as S
 from quillspark.plans import views as V
 from quillspark.plans.q_text import FENCED, LAST, fenced
 from quillspark.plans.registry import query
-from quillspark.sources.scratch import written
+from quillspark.sources.scratch import scratch_path, written
 from quillspark.sources.tables import limited, with_places
 
 
@@ -472,9 +473,36 @@ def c07_fallback_chain(spark: SparkSession, d: str) -> DataFrame:
     return I.fallback(lists, "classes", lambda rows: rows.withColumn("classes", F.array(F.lit("Grounded")))).select("abstract_id", T.listed(F.col("classes")).alias("classes"))
 
 
-@query("select i as attempt, least(1.0::double * pow(2, i - 1), 30)::double as seconds from range(1, 9) t(i)")
+@query(V.sql("select attempt_id, k as attempt, least(pow(2.0, k - 1), 30.0) as seconds from (select attempt_id, row_number() over (partition by abstract_id, step order by ts, attempt_id) as k from attempts where status = 'failed')", "attempts"))
 def c10_backoff(spark: SparkSession, d: str) -> DataFrame:
-    return spark.range(1, 9).select(F.col("id").alias("attempt"), I.backoff(F.col("id"), 1.0, 2.0, 30.0).alias("seconds"))
+    """How long to wait after each failure of a step."""
+    failed = V.attempts(spark, d).where("status = 'failed'")
+    numbered = R.numbered_rows(failed, ["ts", "attempt_id"], "attempt", ["abstract_id", "step"])
+    return numbered.select("attempt_id", F.col("attempt").cast("long").alias("attempt"), I.backoff(F.col("attempt"), 1.0, 2.0, 30.0).alias("seconds"))
+
+
+_WAITS = "case p_size % 4 when 0 then [1, 2] when 1 then [5, 10] when 2 then [15] else [2, 4] end"
+_TRIES = f"select p_partkey, ['storage', 'fast_llm', 'slow_llm', 'search'][p_size % 4 + 1] as kind, p_partkey % 5 as fails, p_partkey % 7 = 0 as fatal, {_WAITS} as waits from part"
+
+
+@query(f"""with t as ({_TRIES}), n as (select *, case when fatal and fails > 0 then 1 else least(fails, len(waits)) + 1 end as attempts from t)
+  select p_partkey, kind, attempts, case when fails = 0 then 'done' when fatal or fails > len(waits) then 'gave_up' else 'done' end as state, case when fails = 0 or (not fatal and fails <= len(waits)) then '' when fatal then 'ValueError' else 'TimeoutError' end as error,
+  cast(coalesce(list_sum(waits[1:attempts - 1]), 0) as double) as waited from n""")
+def c10_retry_queue(spark: SparkSession, d: str) -> DataFrame:
+    """Work of four kinds, of which some fail again and again: attempts, final states and time waited by the kinds' policies. The clock jumps."""
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("storage", "fast_llm", "slow_llm", "search")]), (F.col("p_size") % 4 + 1).cast("int"))
+    items = V.table(spark, d, "part").select("p_partkey", kind.alias("kind"), (F.col("p_partkey") % 5).alias("fails"))
+    path = scratch_path(spark, "attempts")
+
+    def step(due: DataFrame) -> DataFrame:
+        """Fails as often as the row says: what the log has is what was tried before."""
+        log = Y.attempts(spark, path)
+        tried = due.withColumn("n", F.lit(0)) if log is None else due.join(log.groupBy("p_partkey").agg(F.count("*").alias("n")), "p_partkey", "left")
+        failing = F.coalesce("n", F.lit(0)) < F.col("fails")
+        return tried.withColumn("error", F.when(failing, F.when(F.col("p_partkey") % 7 == 0, "ValueError").otherwise("TimeoutError")))
+
+    found = Y.retried(items, ["p_partkey"], "kind", step, path, clock=Y.Jumping())
+    return found.select("p_partkey", "kind", F.col("attempts").cast("long").alias("attempts"), "state", T.or_empty(F.col("error")).alias("error"), F.col("at").alias("waited"))
 
 
 @query(V.sql("select abstract_id, count(*) as idle_periods from (select abstract_id, ts, lag(ts) over (partition by abstract_id order by ts) as p from attempts) where p is not null and ts - p >= interval 6 hour group by abstract_id", "attempts"))
