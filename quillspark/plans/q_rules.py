@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillspark.functions import mentions as N
 from quillspark.functions import rules as U
 from quillspark.functions import text as T
+from quillspark.operators import phrases as P
 from quillspark.operators import records as R
 from quillspark.operators import status as S
 from quillspark.plans import views as V
@@ -35,6 +36,40 @@ def _by_role(spark: SparkSession, d: str, role: str) -> DataFrame:
     return titles(spark, d).select("p_partkey", F.array_join(U.by_role(F.col("title"), role), "|").alias("drugs"))
 
 
+# Titles, and the drugs of each role in them: {a}, {b} and {c} are three names of the table.
+_TITLE_EXAMPLES = (
+    ("{a} as a single drug", "{a}", "", ""), ("{a} + {b}", "{a};;{b}", "", ""), ("{a} in combination with {b}", "{a};;{b}", "", ""), ("{a} and {b}", "{a};;{b}", "", ""), ("{a} combined with {b}", "{a};;{b}", "", ""),
+    ("{a} alone and in combination with {b}", "{a};;{b}", "", ""), ("{a} monotherapy and in combination with {b}", "{a};;{b}", "", ""), ("{a} with {b}", "{a};;{b}", "", ""), ("{a} as a single agent and in combination with {b}", "{a};;{b}", "", ""),
+    ("{a} given together with {b}", "{a};;{b}", "", ""), ("{a} in combo with {b}", "{a};;{b}", "", ""), ("{a} followed by {b}", "{a};;{b}", "", ""), ("{a} or {b}", "{a};;{b}", "", ""),
+    ("{a} with or without {b}", "{a}", "{b}", ""), ("{a} ± {b}", "{a}", "{b}", ""), ("{a} alone or in combination with {b}", "{a}", "{b}", ""), ("{a} monotherapy and/or in combination with {b}", "{a}", "{b}", ""), ("{a} alone or with {b}", "{a}", "{b}", ""),
+    ("{a} or in combination with {b}", "{a}", "{b}", ""), ("{a} as a single agent or in combination with {b}", "{a}", "{b}", ""), ("{a} monotherapy or in combination with {b}", "{a}", "{b}", ""), ("{a} and/or {b}", "{a}", "{b}", ""),
+    ("{a} vs {b}", "{a}", "", "{b}"), ("{a} comparing to {b}", "{a}", "", "{b}"), ("{a} to compare with {b}", "{a}", "", "{b}"), ("{a} compared with {b}", "{a}", "", "{b}"), ("Comparing {a} and {b}", "{a}", "", "{b}"),
+    ("{a} combined with {b} vs {a} monotherapy", "{a};;{b}", "", "{a}"), ("{a} vs {b} combined with {c}", "{a}", "", "{b};;{c}"), ("{a} 20 mg ± {b} versus oral {c}, a study", "{a}", "{b}", "{c}"), ("Placebo with or without {b}", "{b}", "", ""),
+    ("{a} chemotherapy", "{a}", "", ""), ("{a} for patients previously treated with {b}", "{a}", "", ""), ("{a}, a type of {b}, for the treatment of CLL", "{a}", "", ""), ("placebo vs {c}", "{c}", "", ""), ("A study of chemotherapy", "", "", ""),
+)
+
+
+def _title_parts() -> str:
+    cell = lambda k: f"replace(replace(replace([{', '.join(chr(39) + e[k] + chr(39) for e in _TITLE_EXAMPLES)}][p_partkey % {len(_TITLE_EXAMPLES)} + 1], '{{a}}', a), '{{b}}', b), '{{c}}', c)"
+    names = "names as (select p_name, row_number() over (order by p_name) - 1 as i, count(*) over () as n from (select distinct p_name from part))"
+    three = "three as (select p_partkey, x.p_name as a, y.p_name as b, z.p_name as c from part p join names x on x.i = p.p_partkey % x.n join names y on y.i = (p.p_partkey + 1) % y.n join names z on z.i = (p.p_partkey + 2) % z.n)"
+    return f"with {names}, {three} select p_partkey, {cell(0)} as title, {cell(1)} as primary_drugs, {cell(2)} as secondary_drugs, {cell(3)} as comparator_drugs from three"
+
+
+@query(_title_parts())
+def r01_r05_title_roles(spark: SparkSession, d: str) -> DataFrame:
+    """The roles of drugs in titles, with the names of the table as the dictionary of drugs."""
+    part = V.table(spark, d, "part")
+    names = R.numbered_rows(part.select("p_name").distinct(), ["p_name"], "i").withColumn("i", F.col("i") - 1)  # distinct names: a bounded list
+    of = names.crossJoin(F.broadcast(names.agg(F.count("*").alias("n"))))  # one row
+    rows = part.select("p_partkey", F.element_at(F.array(*[F.lit(e[0]) for e in _TITLE_EXAMPLES]), (F.col("p_partkey") % len(_TITLE_EXAMPLES) + 1).cast("int")).alias("title")).crossJoin(F.broadcast(names.agg(F.count("*").alias("n"))))
+    for k, letter in enumerate("abc"):
+        one = of.select(F.col("i").alias("at"), F.col("p_name").alias("name"))
+        rows = rows.withColumn("at", (F.col("p_partkey") + k) % F.col("n")).join(one, "at").withColumn("title", F.replace("title", F.lit(f"{{{letter}}}"), F.col("name"))).drop("at", "name")
+    found = P.roles(rows, "p_partkey", "title", P.dictionary(part, "p_name"))
+    return rows.select("p_partkey", "title").join(found, "p_partkey").select("p_partkey", "title", *[T.listed(F.col(r)).alias(f"{r}_drugs") for r in ("primary", "secondary", "comparator")])
+
+
 @query(_role("primary", "'plus', 'in combination with', 'and', 'followed by'", True))
 def r01_primary_drugs(spark: SparkSession, d: str) -> DataFrame:
     return _by_role(spark, d, "primary")
