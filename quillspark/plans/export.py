@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +18,15 @@ BASE = ("abstract_id", "abstract_title", "overall_status", "last_updated", "dura
 
 
 def _documents(rows: DataFrame, documents: dict[str, DataFrame]) -> DataFrame:
-    """rows with a struct column a step; null where a record lacks the step. Repeated records in rows stay."""
-    for step, df in documents.items():
-        one = df.select(F.col("abstract_id").alias(f"_{step}"), F.struct(*[c for c in df.columns if c != "abstract_id"]).alias(step))
-        rows = rows.join(one, rows.abstract_id == F.col(f"_{step}"), "left").drop(f"_{step}")
-    return rows
+    """rows with a struct column a step; null where a record lacks the step. Repeated records in rows stay; a step has one document a record.
+
+    The documents of all steps are one union, merged by record with one shuffle; rows are dealt in the same way and joined where they meet.
+    """
+    structs = {step: F.struct(*[c for c in df.columns if c != "abstract_id"]).alias(step) for step, df in documents.items()}
+    kinds = {step: df.select(structs[step]).schema[0].dataType for step, df in documents.items()}
+    tagged = [df.select(F.col("abstract_id").alias("_record"), *[structs[s] if s == step else F.lit(None).cast(kinds[s]).alias(s) for s in documents]) for step, df in documents.items()]
+    merged = reduce(DataFrame.unionByName, tagged).groupBy("_record").agg(*[F.first(s, ignorenulls=True).alias(s) for s in documents])
+    return rows.join(merged, rows.abstract_id == F.col("_record"), "left").drop("_record")
 
 
 def _classes(entries: Column) -> Column:

@@ -18,6 +18,7 @@ from quillspark.plans.registry import query
 from quillspark.sources import documents as D
 from quillspark.sources import sinks as K
 from quillspark.sources import tables as S
+from quillspark.sources.bucket_table import BucketTable
 from quillspark.sources.scratch import scratch_path, written
 from quillspark.streaming import status as M
 
@@ -284,6 +285,17 @@ def s11_s13_k08_documents(spark: SparkSession, d: str) -> DataFrame:
     return read.select(F.regexp_replace(F.regexp_extract(F.col("_metadata.file_path"), r"abstracts/([^/]+)/", 1), "record(=|%3D)", "").alias("abstract_id"), "name")
 
 
+@query("select c_custkey, case when c_custkey % 10 = 3 then 'changed' else c_name end as name, c_acctbal as balance from customer union all select c_custkey + 1000000, 'added', c_acctbal from customer where c_custkey % 50 = 0")
+def k08_bucket_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """A keyed table after three upserts: all rows, changes to some of them, and further rows."""
+    rows = V.table(spark, d, "customer").select(F.col("c_custkey").cast("long").alias("c_custkey"), F.col("c_name").alias("name"), F.col("c_acctbal").cast("double").alias("balance"))
+    store = BucketTable(spark, scratch_path(spark, "customers"), ["c_custkey"], "c_custkey long, name string, balance double", buckets=16)
+    store.upsert(rows)
+    store.upsert(rows.where("c_custkey % 10 = 3").withColumn("name", F.lit("changed")))
+    store.upsert(rows.where("c_custkey % 50 = 0").withColumns({"c_custkey": F.col("c_custkey") + 1000000, "name": F.lit("added")}))
+    return store.read()
+
+
 @query("select page_id, 'gs' as scheme, 'b' || page_id as bucket, 'in/x' as prefix, 'f.csv' as file from pages")
 def s15_locations(spark: SparkSession, d: str) -> DataFrame:
     path = F.concat(F.lit("gs://b"), F.col("page_id").cast("string"), F.lit("/in/x/f.csv"))
