@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import argparse
+import json
 
-from pyspark.sql import functions as F
-
-from quillspark.functions.text import without_rank
 from quillspark.plans import export, layouts
 from quillspark.session import session
+from quillspark.sources.cleaning import clean_csv
 from quillspark.sources.sinks import write_csv
 from quillspark.sources.tables import field, read_csv
 
@@ -27,20 +26,19 @@ def main(argv: list[str] | None = None) -> None:
         one.add_argument("--limit", type=int, default=0)
     args = parser.parse_args(argv)
     spark = session("quillspark")
+    if args.command == "clean-firms":
+        print(json.dumps(clean_csv(spark, args.input, args.output, limit=args.limit)))
+        return
     if args.command == "metrics":
         rows = export.metrics_export(*layouts.status_tables(spark, args.data_dir)).orderBy("abstract_id")
     else:
         rows = read_csv(spark, args.input)
         rows = rows.limit(args.limit) if args.limit else rows
-        if args.command == "clean-firms":
-            firms = [c for c in rows.columns if c.lower().strip() == "firms"]
-            rows = rows.withColumns({c: without_rank(F.col(f"`{c}`")) for c in firms})
+        rows = rows.withColumn("abstract_id", field(rows.columns, "abstract_id"))
+        if args.command == "drug-export":
+            rows = export.drug_export(rows, layouts.workflow_documents(spark, args.data_dir))
         else:
-            rows = rows.withColumn("abstract_id", field(rows.columns, "abstract_id"))
-            if args.command == "drug-export":
-                rows = export.drug_export(rows, layouts.workflow_documents(spark, args.data_dir))
-            else:
-                rows = export.indication_export(rows.where("abstract_id <> ''"), *layouts.indication_documents(spark, args.data_dir))
+            rows = export.indication_export(rows.where("abstract_id <> ''"), *layouts.indication_documents(spark, args.data_dir))
     if args.command == "metrics" and args.limit:
         rows = rows.limit(args.limit)
     write_csv(rows, args.output)

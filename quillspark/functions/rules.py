@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions.targets import targeted
@@ -148,6 +148,31 @@ def accepted(confidence: Column, choice: Column, choices: tuple[str, ...], low:
     return F.coalesce(confidence.between(low, high) & choice.isin(*choices), F.lit(False))
 
 
+def within_limits(temperature: Column, max_tokens: Column, provider: Column, providers: tuple[str, ...] = ("openai", "anthropic", "google")) -> tuple[Column, Column]:
+    """Whether a model's settings are allowed, and what is wrong with them: temperature from 0 to 2, from 1 to 100,000 tokens, a known provider. Null is not allowed."""
+    checks = {"temperature": temperature.between(0.0, 2.0), "max_tokens": max_tokens.between(1, 100_000), "provider": provider.isin(*providers)}
+    wrong = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items()]))
+    return F.size(wrong) == 0, wrong
+
+
+def quarantined(rows: DataFrame, accepted_rows: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows that meet a condition, and the others; null doesn't meet it."""
+    ok = F.coalesce(accepted_rows, F.lit(False))
+    return rows.where(ok), rows.where(~ok)
+
+
+def components(drugs: DataFrame, drug: str, regimens: DataFrame) -> DataFrame:
+    """drugs with `component` and its place: a regimen's drugs by a table of regimens (regimen, place, component), in any case; what is no regimen is itself."""
+    table = regimens.select(F.upper(strip(F.col("regimen"))).alias("_regimen"), "place", F.col("component")).distinct()
+    found = drugs.join(table, F.upper(strip(F.col(drug))) == F.col("_regimen"), "left")
+    return found.select(*drugs.columns, F.coalesce("place", F.lit(1)).alias("place"), F.coalesce("component", drug).alias("component"))
+
+
+def regimen_table(spark: SparkSession) -> DataFrame:
+    """The regimens that are given as examples, as a table that others can be added to: regimen, place, component."""
+    return spark.createDataFrame([(r, k, c) for r, cs in REGIMENS.items() for k, c in enumerate(cs, 1)], "regimen string, place int, component string")
+
+
 def parts_of(drug: Column) -> Column:
     """A regimen's drugs; an unknown one is itself."""
     known = F.coalesce(*[F.when(F.upper(drug) == r, F.array(*[F.lit(c) for c in cs])) for r, cs in REGIMENS.items()])

@@ -19,6 +19,7 @@ from quillspark.sources import documents as D
 from quillspark.sources import sinks as K
 from quillspark.sources import tables as S
 from quillspark.sources.bucket_table import BucketTable
+from quillspark.sources.cleaning import clean_csv
 from quillspark.sources.scratch import scratch_path, written
 from quillspark.streaming import status as M
 
@@ -296,6 +297,15 @@ def k08_bucket_upsert(spark: SparkSession, d: str) -> DataFrame:
     return store.read()
 
 
+@query(V.sql("select firm_id::varchar as id, case when raw = '' then '' else regexp_replace(regexp_replace(regexp_replace(raw, '^[ ]+|[ ]+$', '', 'g'), '^<[0-9]+>', ''), '^[ ]+|[ ]+$', '', 'g') end as firms, name from firms", "firms"))
+def k12_clean_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Firms of a CSV cleaned into another, which is read again."""
+    source, target = scratch_path(spark, "firms"), scratch_path(spark, "firms-clean")
+    K.write_csv(V.firms(spark, d).select(F.col("firm_id").cast("string").alias("id"), F.col("raw").alias("firms"), "name"), source)
+    clean_csv(spark, source, target)
+    return S.read_csv(spark, target)
+
+
 @query("select page_id, 'gs' as scheme, 'b' || page_id as bucket, 'in/x' as prefix, 'f.csv' as file from pages")
 def s15_locations(spark: SparkSession, d: str) -> DataFrame:
     path = F.concat(F.lit("gs://b"), F.col("page_id").cast("string"), F.lit("/in/x/f.csv"))
@@ -310,11 +320,14 @@ def s16_rule_table(spark: SparkSession, d: str) -> DataFrame:
     return D.read_rules(spark, path)
 
 
-@query("select r_regionkey, r_name || chr(10) || 'end' as prompt from region where r_regionkey = 1")
+@query("select r_regionkey, r_name || chr(10) || 'end' as prompt from region")
 def s17_k09_prompt_file(spark: SparkSession, d: str) -> DataFrame:
+    """One prompt file a row, written and read again."""
     path = scratch_path(spark, "prompt")
-    K.write_text(V.table(spark, d, "region").where("r_regionkey = 1").select(F.concat("r_name", F.lit("\nend"))).coalesce(1), path)
-    return D.read_prompt(spark, path).select(F.lit(1).alias("r_regionkey"), F.regexp_replace("prompt", "\n$", "").alias("prompt"))
+    rows = V.table(spark, d, "region").select(F.concat("r_name", F.lit("\nend")).alias("value"), "r_regionkey")
+    rows.repartition("r_regionkey").write.partitionBy("r_regionkey").text(path)
+    read = D.read_prompts(spark, f"{path}/*/*")
+    return read.select(F.regexp_extract("name", "=([0-9]+)$", 1).cast("int").alias("r_regionkey"), F.regexp_replace("prompt", "\n$", "").alias("prompt"))
 
 
 @query("select p_partkey, '(\"' || p_name || '\" AND (" + " OR ".join(f'"{t}"' for t in T.CLASS_TERMS) + "))' as search_query, p_size % 2 = 0 or p_size % 3 = 0 as in_domains from part")

@@ -179,6 +179,17 @@ def f18_constraints(spark: SparkSession, d: str) -> DataFrame:
     return V.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", U.accepted(confidence, F.col("l_returnflag"), ("A", "R")).alias("accepted"))
 
 
+@query("""select p_partkey, p_retailprice >= 0 and p_retailprice / 500 <= 2 and p_size * 4000 between 1 and 100000 and p_brand <> 'Brand#3' as allowed,
+  concat_ws(',', case when p_retailprice / 500 > 2 then 'temperature' end, case when p_size * 4000 > 100000 then 'max_tokens' end, case when p_brand = 'Brand#3' then 'provider' end) as wrong from part""")
+def f18_model_limits(spark: SparkSession, d: str) -> DataFrame:
+    """A model's settings that are allowed, and the others with what is wrong."""
+    rows = V.table(spark, d, "part")
+    ok, wrong = U.within_limits(F.col("p_retailprice") / 500, F.col("p_size") * 4000, F.when(F.col("p_brand") != "Brand#3", "openai").otherwise(F.col("p_brand")))
+    checked = rows.select("p_partkey", ok.alias("allowed"), F.array_join(wrong, ",").alias("wrong"))
+    kept, others = U.quarantined(checked, F.col("allowed"))
+    return kept.unionByName(others)
+
+
 # Joins
 
 

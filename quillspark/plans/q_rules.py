@@ -339,3 +339,14 @@ def r18_format_check(spark: SparkSession, d: str) -> DataFrame:
 def r19_l03_regimens(spark: SparkSession, d: str) -> DataFrame:
     drug = F.when(F.col("p_partkey") % 3 == 0, "chop").when(F.col("p_partkey") % 3 == 1, "FOLFIRI").otherwise(F.col("p_name"))
     return V.table(spark, d, "part").select("p_partkey", F.explode(U.parts_of(drug)).alias("component"))
+
+
+@query("""with t as (select distinct p_brand, p_name from part where p_size % 2 = 0), r as (select p_brand, p_name, row_number() over (partition by p_brand order by p_name) as place from t)
+  select p.p_partkey, case when p.p_partkey % 2 = 0 then coalesce(r.p_name, ' ' || lower(p.p_brand)) else p.p_name end as component, coalesce(r.place, 1) as place from part p left join r on p.p_partkey % 2 = 0 and r.p_brand = p.p_brand""")
+def r19_regimen_table(spark: SparkSession, d: str) -> DataFrame:
+    """Regimens by a table: a brand has its even-sized parts, in the order of their names, as components."""
+    part = V.table(spark, d, "part")
+    parts = part.where("p_size % 2 = 0").select("p_brand", "p_name").distinct()
+    table = R.numbered_rows(parts, ["p_name"], "place", ["p_brand"]).select(F.col("p_brand").alias("regimen"), "place", F.col("p_name").alias("component"))
+    asked = part.select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(" "), F.lower("p_brand"))).otherwise(F.col("p_name")).alias("drug"))
+    return U.components(asked, "drug", table).select("p_partkey", "component", F.col("place").cast("long").alias("place"))

@@ -56,3 +56,23 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
 def read_prompt(spark: SparkSession, path: str) -> DataFrame:
     """prompt: the whole file as one row."""
     return spark.read.text(path, wholetext=True).select(F.col("value").alias("prompt"))
+
+
+def read_prompts(spark: SparkSession, pattern: str) -> DataFrame:
+    """name (the file's folder) and prompt: every file of a pattern as one row, without a byte-order mark."""
+    files = spark.read.text(pattern, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1).alias("name"), F.col("value"))
+    return files.select("name", F.regexp_replace("value", "^\ufeff", "").alias("prompt"))
+
+
+_prompts: dict[tuple[str, str], str] = {}
+
+
+def prompt_text(spark: SparkSession, path: str) -> str:
+    """A prompt file's text, read once in an application however often it is asked for; it is an error if there is none."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _prompts:
+        row = read_prompt(spark, path).first()
+        if row is None:
+            raise FileNotFoundError(path)
+        _prompts[key] = row.prompt
+    return _prompts[key]
