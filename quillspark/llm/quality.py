@@ -201,4 +201,5 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", grou
 
 
 def digest(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept of every row of docs. A null text has no words and fails the base rules; repeated rows share a verdict."""
     return judged(docs)

@@ -24,10 +24,12 @@ from quillspark.llm.near_dedup import near_duplicates
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share 85 percent of their 3-word shingles; the least doc_id of a group is kept."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score of every document by a lexicon that is learnt from labelled rows outside the held-out fold."""
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
@@ -43,30 +45,37 @@ def op4_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated lines of 8 words or more: what each document loses, the first copies staying."""
     return line_dedup.digest(table(spark, sf_dir, "documents"), min_words=8)
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 2048 tokens."""
     return packing.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document, the base rules, and the verdict of the robust distances."""
     return quality.digest(table(spark, sf_dir, "documents"))
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without bytes covered by strings of 400 that start elsewhere too."""
     return substring_dedup.digest(table(spark, sf_dir, "documents"), length=400)
 
 
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, with weak candidates that others complement."""
     return secrets_scan.digest(table(spark, sf_dir, "documents"))
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base matches, and looser candidates that the trees select."""
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of the lines of every document."""
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
