@@ -1,15 +1,21 @@
-"""Removal of repeated line runs, with DataFrame functions only.
-
-A document is a sequence of line ids (128-bit hashes; lines without words are passed over). As in
-building a suffix array by prefix doubling, names of blocks of 1, 2, 4, ... lines are made from
-the names of two blocks of half the size, here all at once within the row of a document. Two overlapping
-blocks of a power of two name a prefix of any other length. Suffixes with the same name for
-their shortest prefix of at least `min_words` words form a longest-common-prefix interval of at least
-that much; prefixes are compared to that depth and no deeper, since a longer common run starts with one of them.
-The first suffix of an interval in document order stays, all others mark their prefix; runs that overlap or touch
-merge into the maximal repeated runs, and those are deleted.
-
-Intervals are counted with map-side combination. Names that make up a thousandth of all suffixes or
+"""Removal of repeated line runs by a suffix array of lines, with DataFrame functions only.
+
+A document is a sequence of lines (128-bit ids; lines without words are passed over), and a suffix begins at each.
+
+1. ``suffix_array``: prefix doubling. The distinct lines are sorted over all tasks; a line's place is the rank of the suffixes
+   that begin with it. Each round pairs a suffix's rank with that of the suffix 1, 2, 4, ... lines later, sorts the
+   distinct pairs over all tasks and numbers them: ranks by twice as many lines. A suffix that has `min_words` words within the lines
+   compared is closed and keeps its place among the others, and the rounds end when no open suffix shares its rank:
+   a longer common run starts with one of `min_words` words.
+2. ``_intervals``: neighbours in that order are compared. Where a suffix shares its lines up to `min_words` words with the one before, its
+   longest-common-prefix interval of at least that much goes on; otherwise one begins. (Ranks may tell apart what lies behind
+   those words.) Neighbours meet in blocks of consecutive ranks; each block also gets the last rank of the one before, and
+   the interval that is still going on there.
+3. The first suffix of an interval in document order stays, all others mark their prefix; runs that overlap or touch
+   merge into the maximal repeated runs, and those are deleted.
+
+Lines that occur once leave the array at once, unless they stand within `min_words` lines after the start of an open suffix, whose order
+may depend on them. Ranks and intervals are counted with map-side combination. Those that make up a thousandth of all rows or
 more are at most a thousand and are joined by broadcast; all others are joined by shuffle, so that no
 common line gathers in one task.
 
@@ -19,37 +25,28 @@ both doc_id and text share one verdict. The order is by doc_id (null first), the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import durable, fresh, plain
+from quillspark.llm.common import durable, fresh, join_counted, plain
 
-#: A name with at least this share of all suffixes counts as common.
-COMMON = 1000
-
-
-def _doubled(names: Column, half: int) -> Column:
-    """Names of blocks of 2 * half lines from those of half; where the text ends sooner, none."""
-    pairs = F.zip_with(F.slice(names, 1, F.greatest(F.size(names) - half, F.lit(0))), F.slice(names, half + 1, F.greatest(F.size(names) - half, F.lit(0))), lambda x, y: F.struct(F.xxhash64(F.lit(3), x["a"], y["a"]).alias("a"), F.xxhash64(F.lit(5), x["b"], y["b"]).alias("b")))
-    return F.when(F.size(names) > half, pairs).otherwise(F.slice(names, 1, 0))
+#: Consecutive ranks whose neighbours are compared in one group.
+BLOCK = 1024
 
 
 def _suffixes(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, version, at, start, stop, a, b: each suffix with the name of its prefix of min_words words."""
+    """t, doc_id, version, at, start, stop, n, near, a, b: each suffix with its text's number and its first line.
+
+    n: its lines until min_words words are reached, 0 if the text ends sooner; near: a suffix that isn't closed by its first line begins less than min_words lines before.
+    """
     lines = F.transform(
         F.split("text", "\n"),
         lambda line, i: F.struct(i.alias("pos"), F.xxhash64(F.lit(1), line).alias("a"), F.xxhash64(F.lit(2), line).alias("b"), _n_words(line, min_words).alias("w")),
     )
-    kept = docs.select("doc_id", "version", F.filter(lines, lambda x: x["w"] > 0).alias("lines")).where(F.size("lines") > 0)
-    names = kept.select("*", F.transform("lines", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"))).alias("names1"))
-    sizes = [1]
-    while sizes[-1] * 2 <= min_words:
-        half = sizes[-1]
-        names = names.withColumn(f"names{2 * half}", _doubled(F.col(f"names{half}"), half))
-        sizes.append(2 * half)
+    numbered = docs.select(F.monotonically_increasing_id().alias("t"), "doc_id", "version", "text")
+    kept = numbered.select("t", "doc_id", "version", F.filter(lines, lambda x: x["w"] > 0).alias("lines")).where(F.size("lines") > 0)
 
     def reach(i: Column) -> Column:
-        """Lines until min_words words are reached; 0 if the text ends sooner."""
         count = F.aggregate(
             F.slice("lines", i + 1, min_words),
             F.struct(F.lit(0).alias("words"), F.lit(0).alias("lines")),
@@ -57,18 +54,14 @@ def _suffixes(docs: DataFrame, min_words: int) -> DataFrame:
         )
         return F.when(count["words"] >= min_words, count["lines"]).otherwise(0)
 
-    starts = names.withColumn("reach", F.transform(F.sequence(F.lit(0), F.size("lines") - 1), reach))
+    starts = kept.withColumn("reach", F.transform(F.sequence(F.lit(0), F.size("lines") - 1), reach))
 
-    def named(n: Column, i: Column) -> Column:
-        name = None
-        for size in reversed(sizes):
-            x, y = F.get(F.col(f"names{size}"), i), F.get(F.col(f"names{size}"), i + n - size)
-            one = F.struct(F.xxhash64(F.lit(7), n, x["a"], y["a"]).alias("a"), F.xxhash64(F.lit(9), n, x["b"], y["b"]).alias("b"))
-            name = one if name is None else F.when(n < 2 * size, one).otherwise(name)
-        return F.struct(i.alias("at"), F.get(F.col("lines"), i)["pos"].alias("start"), F.get(F.col("lines"), i + n - 1)["pos"].alias("stop"), name["a"].alias("a"), name["b"].alias("b"), n.alias("n"))
+    def suffix(n: Column, i: Column) -> Column:
+        line, back = F.get(F.col("lines"), i), F.least(i, F.lit(min_words - 1))
+        near = F.exists(F.slice("reach", i - back + 1, back), lambda x: x != 1)
+        return F.struct(i.alias("at"), line["pos"].alias("start"), F.get(F.col("lines"), i + n - 1)["pos"].alias("stop"), n.alias("n"), near.alias("near"), line["a"].alias("a"), line["b"].alias("b"))
 
-    found = F.filter(F.transform("reach", named), lambda x: x["n"] > 0)
-    return starts.select("doc_id", "version", F.explode(found).alias("s")).select("doc_id", "version", "s.at", "s.start", "s.stop", "s.a", "s.b")
+    return starts.select("t", "doc_id", "version", F.explode(F.transform("reach", suffix)).alias("s")).select("t", "doc_id", "version", "s.*")
 
 
 def _n_words(line: Column, most: int) -> Column:
@@ -81,18 +74,61 @@ def _versioned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return plain(docs, id_col, text_col).toDF("doc_id", "text").withColumn("version", F.xxhash64("text"))
 
 
+def _numbered(keys: DataFrame, by: list[str], most: int) -> DataFrame:
+    """keys, which are distinct, sorted over all tasks; place: their number in that order, from 1."""
+    part, own = F.shiftright("id", 33), F.col("id").bitwiseAND(F.lit(2**33 - 1))
+    ordered = durable(keys.orderBy(*by).withColumn("id", F.monotonically_increasing_id()), "order", most)
+    parts = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("rows"))  # one row a task
+    before = parts.select("part", (F.sum("rows").over(Window.orderBy("part")) - F.col("rows")).alias("before"))
+    return ordered.join(F.broadcast(before), part == F.col("part")).select(*keys.columns, (F.col("before") + own + 1).alias("place"))
+
+
+def suffix_array(suffixes: DataFrame, min_words: int) -> DataFrame:
+    """The suffixes with rank, their place by at least their first n lines, and prefix, the ranks of these lines; equal rows of the order have equal ranks.
+
+    suffixes: a table of `_suffixes` that `durable` has written.
+    """
+    within = Window.partitionBy("t").orderBy("at")
+    lines = suffixes.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("near").alias("near"), F.max("n").alias("n")).where("c > 1 or near")
+    names = _numbered(lines, ["a", "b"], suffixes.rows)
+    array = join_counted(suffixes.drop("near"), names.select("a", "b", "c", F.col("place").alias("rank")), ["a", "b"], "c", suffixes.rows).drop("a", "b", "c")
+    ahead = F.collect_list("rank").over(within.rangeBetween(0, min_words - 1))
+    array = array.withColumn("prefix", F.when(F.col("n") == 1, F.array("rank")).otherwise(F.slice(ahead, 1, F.col("n"))))
+    depth = 1
+    while depth < min_words and not names.where((F.col("c") > 1) & (F.col("n") > depth)).isEmpty():
+        later = F.first("rank").over(within.rangeBetween(depth, depth))  # none: the text has ended
+        pairs = durable(array.withColumn("then", F.when(F.col("n").between(1, depth), 0).otherwise(F.coalesce(later, F.lit(0)))), "pairs", suffixes.rows)
+        names = _numbered(pairs.groupBy("rank", "then").agg(F.count("*").alias("c"), F.max("n").alias("n")), ["rank", "then"], pairs.rows)
+        array = join_counted(pairs, names.drop("n"), ["rank", "then"], "c", pairs.rows).drop("rank", "then", "c").withColumnRenamed("place", "rank")
+        depth *= 2
+    return durable(array, "array", suffixes.rows)
+
+
+def _intervals(array: DataFrame) -> DataFrame:
+    """rank, c, first: the ranks in intervals of more than one suffix, with their rows and the interval's first suffix."""
+    keys = array.groupBy("rank").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "version", "at")).alias("first"), F.any_value("prefix").alias("prefix"))
+    block = F.expr(f"rank div {BLOCK}")
+    dealt = keys.withColumn("block", F.explode(F.when(F.col("rank") % BLOCK == BLOCK - 1, F.array(block, block + 1)).otherwise(F.array(block))))
+    order = Window.partitionBy("block").orderBy("rank")
+    goes_on = (F.size("prefix") > 0) & F.col("prefix").eqNullSafe(F.lag("prefix").over(order))
+    own = F.col("block") == block  # not the last rank of the block before
+    compared = dealt.withColumn("head", F.when(own & ~goes_on, F.col("rank"))).withColumn("since", F.max("head").over(order)).where(own)
+    compared = durable(compared.drop("prefix"), "compared", array.rows)
+    ends = compared.groupBy("block").agg(F.max("head").alias("head"))  # one row a block
+    ends = ends.select("block", F.max("head").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)).alias("open"))
+    members = compared.join(F.broadcast(ends), "block").select("rank", "c", "first", F.coalesce("since", "open").alias("interval"))
+    found = members.groupBy("interval").agg(F.sum("c").alias("n"), F.count("*").alias("ranks"), F.min("first").alias("first")).where("n > 1")
+    found = durable(found, "intervals", compared.rows)
+    return join_counted(members.select("rank", "c", "interval"), found, ["interval"], "ranks", compared.rows).select("rank", "c", "first")
+
+
 def repeated_runs(docs: DataFrame, min_words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, version, runs: the maximal runs of lines (start, stop inclusive, from 0) that are later copies."""
     texts = _versioned(docs, id_col, text_col)
-    suffixes = durable(_suffixes(texts, min_words), "suffixes")
-    intervals = suffixes.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "version", "at")).alias("first")).where("n > 1")
-    total = suffixes.rows
-    intervals = durable(intervals, "intervals", total // 2)
-    common = F.broadcast(intervals.where(F.col("n") * COMMON >= total))  # at most COMMON rows
-    rare = intervals.where(F.col("n") * COMMON < total)
+    array = suffix_array(durable(_suffixes(texts, min_words), "suffixes"), min_words)
+    repeated = durable(_intervals(array), "repeated")
     later = F.struct("doc_id", "version", "at") > F.col("first")
-    columns = ["doc_id", "version", "start", "stop"]
-    marked = suffixes.join(common, ["a", "b"]).where(later).select(columns).unionByName(suffixes.join(common, ["a", "b"], "left_anti").join(rare, ["a", "b"]).where(later).select(columns))
+    marked = join_counted(array.where("n > 0"), repeated, ["rank"], "c", array.rows).where(later).select("doc_id", "version", "start", "stop")
     spans = marked.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
     merged = F.aggregate(
         "spans",

@@ -67,6 +67,36 @@ def test_line_runs_match_brute_force(spark, rows):
     assert sum(r.n_removed for r in got) > 20
 
 
+def short_lines(seed, n):
+    """Texts of a few short lines that follow each other in many ways, so runs of 8 words take one to eight lines."""
+    rng = random.Random(seed)
+    lines = ["a", "b", "a b", "a b c", "c d e f", "one two three four five", "a b c d e f g h", ""]
+    return [(i, "\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 14)))) for i in range(n)]
+
+
+def test_suffixes_of_lines_are_in_order(spark):
+    """Ranks follow the lines of a suffix as far as the run that it begins; each run of equal ones is one stretch of the order."""
+    docs = line_dedup._versioned(spark.createDataFrame(short_lines(5, 60), "doc_id long, text string"), "doc_id", "text")
+    suffixes = line_dedup.durable(line_dedup._suffixes(docs, 8), "suffixes")
+    line = {(r.t, r.at): (r.a, r.b) for r in suffixes.collect()}
+    held = sorted((r.rank, [line[r.t, r.at + k] for k in range(r.n)]) for r in line_dedup.suffix_array(suffixes, 8).collect() if r.n)
+    assert [p for _, p in held] == sorted(p for _, p in held)
+    assert {len(p) for _, p in held} >= {1, 2, 3, 4, 5}
+    prefix = {}
+    assert all(prefix.setdefault(rank, p) == p for rank, p in held)
+    assert len(prefix) > len({tuple(p) for p in prefix.values()})  # neighbours that only their comparison joins
+
+
+@pytest.mark.parametrize("block", [1024, 2])
+def test_neighbouring_suffixes_meet_across_blocks(spark, block, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    rows = short_lines(6, 90) + [(90, None), (91, ""), (92, "\n" * 9), (93, "a\n" * 40)]
+    got = {r.doc_id: r for r in line_dedup.digest(spark.createDataFrame(rows, "doc_id long, text string"), 8).collect()}
+    for doc_id, n, gone, runs, left in B.removed_lines(rows, 8):
+        r = got[doc_id]
+        assert (r.n_lines, r.n_removed, r.n_runs, r.kept_sha256) == (n, gone, runs, hashlib.sha256(left.encode()).hexdigest())
+
+
 def test_line_dedup_keeps_other_columns(docs, rows):
     out = line_dedup.dedup_lines(docs, 8)
     assert out.columns[: len(docs.columns)] == docs.columns
